@@ -1,0 +1,45 @@
+"""Exact weighted median per group without gathering a group in one place."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+# Values of one cell share all but their lowest 16 bits: 32-bit values make at most 65,536 cells of 65,536 values.
+CELL_BITS = 16
+
+
+def weighted_median(df: DataFrame, group: str, value: str, weight: str) -> DataFrame:
+    """``(group, median)``: the middle value, or half the sum of the middle two, truncated.
+
+    The weights per cell locate the one or two cells that hold the middle ranks; only the values of those cells are then
+    ranked one by one. Both windows see counted values, never rows, and 32-bit values bound them to 65,536 each.
+    """
+    cell = F.shiftright(F.col(value).cast("bigint"), CELL_BITS)
+    valued = df.select(group, cell.alias("cell"), F.col(value).alias("v"), F.col(weight).alias("w"))
+
+    per_cell = valued.groupBy(group, "cell").agg(F.sum("w").alias("w"))
+    upto = Window.partitionBy(group).orderBy("cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = per_cell.select(
+        group,
+        "cell",
+        (F.sum("w").over(upto) - F.col("w")).alias("before"),
+        F.sum("w").over(upto).alias("until"),
+        F.sum("w").over(Window.partitionBy(group)).alias("total"),
+    )
+    middle = F.array(F.expr("(total + 1) div 2"), F.expr("total div 2 + 1"))
+    wanted = (
+        ranked.select(group, "cell", "before", "until", F.posexplode(middle).alias("side", "rank"))
+        .filter((F.col("before") < F.col("rank")) & (F.col("rank") <= F.col("until")))
+        .drop("until")
+    )
+
+    values = valued.join(wanted, [group, "cell"]).groupBy(group, "side", "rank", "before", "v").agg(
+        F.sum("w").alias("w")
+    )
+    within = Window.partitionBy(group, "side").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    until = F.col("before") + F.sum("w").over(within)
+    hits = values.withColumn("until", until).filter(
+        (F.col("until") - F.col("w") < F.col("rank")) & (F.col("rank") <= F.col("until"))
+    )
+    return hits.groupBy(group).agg(F.sum("v").alias("both")).select(group, F.expr("both div 2").alias("median"))

@@ -1,0 +1,79 @@
+"""Text vectors, their clusters and the silhouette of a clustering, on Spark ML."""
+
+from __future__ import annotations
+
+from typing import NamedTuple
+
+from pyspark.ml.clustering import KMeans, KMeansModel
+from pyspark.ml.evaluation import ClusteringEvaluator
+from pyspark.ml.feature import Word2Vec, Word2VecModel
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from loomwork.operators.tokens import vocabulary
+from loomwork.staging import staged
+
+# Tokens one training task reads. Fewer tasks train better vectors, more train faster.
+TOKENS_PER_TASK = 500_000
+# Spark ML keeps all word vectors in one array, indexed by a 32-bit number.
+MAX_WEIGHTS = 2**31 - 1
+
+
+class Embedding(NamedTuple):
+    model: Word2VecModel
+    vectors: DataFrame
+
+
+def embed(
+    token_arrays: DataFrame,
+    vector_size: int = 100,
+    min_count: int = 5,
+    seed: int = 1,
+    partitions: int | None = None,
+    tokens: str = "tokens",
+    vector: str = "vector",
+) -> Embedding:
+    """Train word vectors on all texts and average them per text; a text without known words has the zero vector.
+
+    The number of training tasks follows the number of tokens up to the cores there are, because every task sends back
+    the vectors of all words it met. The vectors are staged, since the clustering reads them
+    in every round.
+    """
+    known = vocabulary(token_arrays, min_count, tokens).agg(
+        F.count("*").alias("words"), F.coalesce(F.sum("n"), F.lit(0)).alias("tokens")
+    )
+    size = known.first()
+    if size.words * vector_size > MAX_WEIGHTS:
+        raise ValueError(f"{size.words} words of {vector_size} dimensions exceed one model: raise min_count")
+    cores = token_arrays.sparkSession.sparkContext.defaultParallelism
+    tasks = partitions or max(1, min(cores, -(-size.tokens // TOKENS_PER_TASK)))
+    trainer = Word2Vec(
+        inputCol=tokens, outputCol=vector, vectorSize=vector_size, minCount=min_count, seed=seed, numPartitions=tasks
+    )
+    model = trainer.fit(token_arrays.select(tokens))
+    return Embedding(model, staged(model.transform(token_arrays).drop(tokens)))
+
+
+def cluster(
+    vectors: DataFrame, k: int = 2, max_iter: int = 20, seed: int = 1, vector: str = "vector",
+    prediction: str = "predicted_cluster",
+) -> tuple[KMeansModel, DataFrame]:
+    """The fitted model and ``vectors`` with their cluster."""
+    model = KMeans(k=k, maxIter=max_iter, seed=seed, featuresCol=vector, predictionCol=prediction).fit(vectors)
+    return model, model.transform(vectors)
+
+
+def centers(model: KMeansModel, predicted: DataFrame, prediction: str = "predicted_cluster") -> DataFrame:
+    """``(cluster, size, center)``, one row per cluster centre."""
+    rows = [(i, [float(v) for v in center]) for i, center in enumerate(model.clusterCenters())]
+    listed = predicted.sparkSession.createDataFrame(rows, "cluster int, center array<double>")
+    sizes = predicted.groupBy(F.col(prediction).alias("cluster")).agg(F.count("*").alias("size"))
+    return listed.join(sizes, "cluster", "left").select(
+        "cluster", F.coalesce("size", F.lit(0)).alias("size"), "center"
+    )
+
+
+def silhouette(predicted: DataFrame, vector: str = "vector", prediction: str = "predicted_cluster") -> float:
+    """Mean silhouette by squared Euclidean distance, from one set of sums per cluster instead of pairs of points."""
+    evaluator = ClusteringEvaluator(featuresCol=vector, predictionCol=prediction, distanceMeasure="squaredEuclidean")
+    return evaluator.evaluate(predicted)

@@ -1,0 +1 @@
+"""Empty on purpose: every query of this package reads bounded inputs once."""
