@@ -13,6 +13,7 @@ from loomwork.operators import lloyd, vectors
 from loomwork.operators.tokens import vocabulary
 from loomwork.operators.word_counts import corpus_words, counts_by_source, paired_counts, without_stop_words
 from loomwork.plans import common_words, forum, recommend, text_clusters
+from loomwork.staging import staged
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -65,7 +66,8 @@ def sample_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def nearest_centroid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lloyd.assigned(domain_points(spark, sf_dir), lloyd.centroid_list(sample_centroids(spark, sf_dir)))
+    points = staged(domain_points(spark, sf_dir))
+    return lloyd.assigned(points, lloyd.centroid_list(forum.sample_centroids(points, seed=views.SEED)))
 
 
 def lloyd_step(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -46,7 +46,7 @@ def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stop_words(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(word,) for word in STOP_WORDS], "word string")
+    return spark.range(1).select(F.explode(F.lit(STOP_WORDS)).alias("word"))
 
 
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:

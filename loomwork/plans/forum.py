@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from loomwork.functions.geometry import centroid_array
 from loomwork.operators import lloyd, postings
-from loomwork.operators.median import weighted_median
+from loomwork.operators.score_summary import score_summary
 from loomwork.staging import staged
 
 # The domain list in its order, the distance between two domains on the x axis, the number of clusters,
@@ -80,16 +80,8 @@ def cluster_report(
     """
     final = lloyd.centroid_list(centroids)
     located = lloyd.assigned(_weighted(points), final)
-    scores = located.groupBy("cluster", "y").agg(F.sum("w").alias("w"))
-    totals = scores.groupBy("cluster").agg(
-        F.sum("w").alias("size"), F.sum(F.col("y") * F.col("w")).alias("total")
-    )
     place = F.get(centroid_array(final), F.col("cluster"))
-    report = (
-        totals.join(weighted_median(scores, "cluster", "y", "w"), "cluster")
-        .select("cluster", place.alias("at"), "size", "median", F.expr("total div size").alias("avg"))
-        .select("cluster", "at.cx", "at.cy", "size", "median", "avg")
-    )
+    report = score_summary(located, "cluster", "y", "w").withColumn("at", place).select("*", "at.cx", "at.cy")
     index = F.expr(f"cx div {int(spread)}").cast("int")
     return report.select(
         "cluster", "cx", "cy", F.get(F.lit(list(domains)), index).alias("domain"), "size", "median", "avg"
