@@ -21,8 +21,9 @@ def centroid_array(centroids: Sequence[tuple[int, int]]) -> Column:
 
 
 def nearest(x: Column, y: Column, centroids: Sequence[tuple[int, int]]) -> Column:
-    """Index of the nearest centroid; the lowest index wins ties.
+    """Index of the nearest centroid; the lowest index wins ties. -1 if there are none.
 
+    It is never NULL and says so: joins on it would else filter by it first and compute all distances twice.
     The centroids are one constant array of the plan, so its shape, and with it the generated code, is the same in
     every round of a loop.
     """
@@ -30,4 +31,4 @@ def nearest(x: Column, y: Column, centroids: Sequence[tuple[int, int]]) -> Colum
         centroid_array(centroids),
         lambda c, i: F.struct(squared_distance(x, y, c["cx"], c["cy"]).alias("d"), i.alias("i")),
     )
-    return F.array_min(ranked)["i"]
+    return F.coalesce(F.array_min(ranked)["i"], F.lit(-1))
