@@ -14,7 +14,7 @@ from loomwork.operators.tokens import vocabulary
 from loomwork.staging import staged
 
 # Tokens one training task reads. Fewer tasks train better vectors, more train faster.
-TOKENS_PER_TASK = 500_000
+TOKENS_PER_TASK = 250_000
 # Spark ML keeps all word vectors in one array, indexed by a 32-bit number.
 MAX_WEIGHTS = 2**31 - 1
 
@@ -39,14 +39,14 @@ def embed(
     the vectors of all words it met. Tokens and vectors are staged: training passes over the tokens four times, clustering
     over the vectors in every round.
     """
-    token_arrays = staged(token_arrays)
+    cores = token_arrays.sparkSession.sparkContext.defaultParallelism
+    token_arrays = staged(_spread(token_arrays, cores))
     known = vocabulary(token_arrays, min_count, tokens).agg(
         F.count("*").alias("words"), F.coalesce(F.sum("n"), F.lit(0)).alias("tokens")
     )
     size = known.first()
     if size.words * vector_size > MAX_WEIGHTS:
         raise ValueError(f"{size.words} words of {vector_size} dimensions exceed one model: raise min_count")
-    cores = token_arrays.sparkSession.sparkContext.defaultParallelism
     tasks = partitions or max(1, min(cores, -(-size.tokens // TOKENS_PER_TASK)))
     trainer = Word2Vec(
         inputCol=tokens, outputCol=vector, vectorSize=vector_size, minCount=min_count, seed=seed, numPartitions=tasks
@@ -55,6 +55,11 @@ def embed(
     return Embedding(model, staged(model.transform(token_arrays).drop(tokens)))
 
 
+def _spread(df: DataFrame, parts: int) -> DataFrame:
+    """Input that comes in fewer partitions than there are cores, such as one unsplittable file, is spread first."""
+    return df.repartition(parts) if df.rdd.getNumPartitions() < parts else df
+
+
 def cluster(
     vectors: DataFrame, k: int = 2, max_iter: int = 20, seed: int = 1, vector: str = "vector",
     prediction: str = "predicted_cluster",
