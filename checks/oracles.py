@@ -19,6 +19,11 @@ words AS (
   FROM (SELECT source, unnest(string_split_regex(text, '[ \t\n\r\f]+')) AS word FROM corpus)
   WHERE word <> '')"""
 
+PAIRED = """
+paired AS (
+  SELECT word, count(*) FILTER (source = 0) AS n0, count(*) FILTER (source = 1) AS n1
+  FROM words WHERE word NOT IN (SELECT word FROM stop) GROUP BY word)"""
+
 ENTRIES = """
 ratings AS (
   SELECT CAST(o_custkey AS INTEGER) AS "user", CAST(split_part(p_brand, '#', 2) AS INTEGER) AS item,
@@ -146,13 +151,19 @@ FORUM = (QUESTIONS, POINTS, DRAWS)
 def oracle_sql() -> dict[str, str]:
     return {
         "word_counts_by_source": with_(WORDS) + "SELECT word, source, count(*) AS n FROM words GROUP BY ALL",
-        "stopword_filtered_counts": with_(WORDS, STOP)
-        + "SELECT word, count(*) FILTER (source = 0) AS n0, count(*) FILTER (source = 1) AS n1 FROM words "
-        + "WHERE word NOT IN (SELECT word FROM stop) GROUP BY word",
-        "top_common_words": with_(WORDS, STOP)
-        + """SELECT least(n0, n1) AS count, word
-FROM (SELECT word, count(*) FILTER (source = 0) AS n0, count(*) FILTER (source = 1) AS n1
-      FROM words WHERE word NOT IN (SELECT word FROM stop) GROUP BY word)
+        "stopword_filtered_counts": with_(WORDS, STOP, PAIRED) + "SELECT word, n0, n1 FROM paired",
+        "common_word_counts": with_(WORDS, STOP, PAIRED)
+        + "SELECT word, least(n0, n1) AS count FROM paired WHERE least(n0, n1) > 0",
+        "written_word_counts": with_(WORDS, STOP, PAIRED)
+        + "SELECT word || chr(9) || n0 || ',' || n1 AS line FROM paired",
+        "csv_texts": "SELECT p_name AS text FROM part",
+        "parsed_ratings": with_(ENTRIES) + 'SELECT "user", item, score FROM ratings',
+        "parsed_postings": with_(QUESTIONS)
+        + """SELECT 1 AS posting_type, id, CAST(NULL AS INTEGER) AS parent_id, score, tags FROM questions
+UNION ALL SELECT 2, CAST(l_partkey AS INTEGER), CAST(l_orderkey AS INTEGER),
+                 CAST(floor(l_extendedprice / 100) - 500 AS INTEGER), NULL FROM lineitem""",
+        "top_common_words": with_(WORDS, STOP, PAIRED)
+        + """SELECT least(n0, n1) AS count, word FROM paired
 WHERE least(n0, n1) > 0 ORDER BY count DESC, word LIMIT 20""",
         "user_score_vectors": with_(ENTRIES)
         + """SELECT "user", CAST(floor(item / 1024) AS BIGINT) AS block,
@@ -172,6 +183,9 @@ WHERE NOT EXISTS (SELECT 1 FROM entries e WHERE e."user" = p."user" AND e.item =
         "nearest_centroid": with_(*FORUM) + located("points", "draws", "p.id, p.x, p.y"),
         "lloyd_step": with_(*FORUM)
         + f"{MEANS} FROM ({located('weighted', 'draws', 'p.x, p.y, p.w')}) GROUP BY cluster",
+        "centroid_shift": with_(*FORUM)
+        + f"""SELECT sum({squared("d.cx - m.cx", "d.cy - m.cy")}) AS shift
+FROM draws d JOIN ({MEANS} FROM ({located("weighted", "draws", "p.x, p.y, p.w")}) GROUP BY cluster) m USING (cluster)""",
         "lloyd_kmeans": with_(*FORUM, LLOYD, recursive=True) + "SELECT cluster, cx, cy FROM final",
         "cluster_report": with_(*FORUM, LLOYD, recursive=True)
         + f"""SELECT cluster, any_value(c.cx) AS cx, any_value(c.cy) AS cy,

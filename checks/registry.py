@@ -11,9 +11,16 @@ from pyspark.sql import functions as F
 from checks import views
 from loomwork.operators import lloyd, vectors
 from loomwork.operators.tokens import vocabulary
-from loomwork.operators.word_counts import corpus_words, counts_by_source, paired_counts, without_stop_words
+from loomwork.operators.word_counts import (
+    common_counts,
+    corpus_words,
+    counts_by_source,
+    paired_counts,
+    without_stop_words,
+)
 from loomwork.plans import common_words, forum, recommend, text_clusters
-from loomwork.staging import staged
+from loomwork.sources import records, text_files
+from loomwork.staging import staged, staging_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,10 +34,37 @@ def stopword_filtered_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_stop_words(paired_counts(tokens), views.stop_words(spark))
 
 
+def common_word_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return common_counts(stopword_filtered_counts(spark, sf_dir))
+
+
 def top_common_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return common_words.top_common_words(views.corpus(spark, sf_dir), views.stop_words(spark))
 
 
+def written_word_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word counts through the key/value sink and back as lines."""
+    path = staging_path(spark)
+    text_files.write_key_values(stopword_filtered_counts(spark, sf_dir), path, "word", "n0", "n1")
+    return text_files.read_lines(spark, path).withColumnRenamed("value", "line")
+
+
+def csv_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sixth column of the parts written as CSV without a header."""
+    path = staging_path(spark)
+    parts = views.table(spark, sf_dir, "part")
+    parts.select("p_partkey", "p_size", "p_brand", "p_type", "p_retailprice", "p_name").write.csv(path)
+    return text_files.read_csv_texts(spark, path)
+
+
+def parsed_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return records.parse_ratings(views.rating_lines(spark, sf_dir))
+
+
+def parsed_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return records.parse_postings(views.posting_lines(spark, sf_dir))
+
+
 def user_score_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     entry = F.transform("scores", lambda s: F.concat_ws(":", s["item"], s["score"], s["n"]))
     vectors_ = recommend.user_score_vectors(views.ratings(spark, sf_dir))
@@ -75,6 +109,13 @@ def lloyd_step(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lloyd.cluster_means(points, lloyd.centroid_list(forum.sample_centroids(points, seed=views.SEED)))
 
 
+def centroid_shift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Total squared shift of the first round, which decides whether another follows."""
+    points = forum.staged_points(domain_points(spark, sf_dir))
+    drawn = lloyd.centroid_list(forum.sample_centroids(points, seed=views.SEED))
+    return spark.createDataFrame([(lloyd.one_round(points, drawn).shift,)], "shift double")
+
+
 def lloyd_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
     points = forum.staged_points(domain_points(spark, sf_dir))
     return forum.lloyd_kmeans(points, forum.sample_centroids(points, seed=views.SEED))
@@ -122,7 +163,12 @@ def queries() -> dict[str, Query]:
     return {
         "word_counts_by_source": word_counts_by_source,
         "stopword_filtered_counts": stopword_filtered_counts,
+        "common_word_counts": common_word_counts,
         "top_common_words": top_common_words,
+        "written_word_counts": written_word_counts,
+        "csv_texts": csv_texts,
+        "parsed_ratings": parsed_ratings,
+        "parsed_postings": parsed_postings,
         "user_score_vectors": user_score_vectors,
         "co_occurrence": co_occurrence,
         "score_products": score_products,
@@ -133,6 +179,7 @@ def queries() -> dict[str, Query]:
         "sample_centroids": sample_centroids,
         "nearest_centroid": nearest_centroid,
         "lloyd_step": lloyd_step,
+        "centroid_shift": centroid_shift,
         "lloyd_kmeans": lloyd_kmeans,
         "cluster_report": cluster_report,
         "clean_tokens": clean_tokens,

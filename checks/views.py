@@ -88,5 +88,19 @@ def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return questions.unionByName(answers)
 
 
+def rating_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ratings as ``user,item,score`` lines."""
+    return ratings(spark, sf_dir).select(
+        F.concat_ws(",", *[F.col(c).cast("string") for c in ("user", "item", "score")]).alias("value")
+    )
+
+
+def posting_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The postings as ``type,id,[parent],score[,tag]`` lines; untagged questions end in an empty field."""
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("posting_type", "id", "parent_id", "score")]
+    tag = F.when(F.col("posting_type") == 1, F.concat(F.lit(","), F.coalesce("tags", F.lit("")))).otherwise("")
+    return postings(spark, sf_dir).select(F.concat(F.concat_ws(",", *parts), tag).alias("value"))
+
+
 def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", "text")

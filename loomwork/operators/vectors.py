@@ -40,7 +40,7 @@ def embed(
     over the vectors in every round.
     """
     cores = token_arrays.sparkSession.sparkContext.defaultParallelism
-    token_arrays = staged(_spread(token_arrays, cores))
+    token_arrays = _spread(staged(token_arrays), cores)
     known = vocabulary(token_arrays, min_count, tokens).agg(
         F.count("*").alias("words"), F.coalesce(F.sum("n"), F.lit(0)).alias("tokens")
     )
@@ -55,9 +55,9 @@ def embed(
     return Embedding(model, staged(model.transform(token_arrays).drop(tokens)))
 
 
-def _spread(df: DataFrame, parts: int) -> DataFrame:
-    """Input that comes in fewer partitions than there are cores, such as one unsplittable file, is spread first."""
-    return df.repartition(parts) if df.rdd.getNumPartitions() < parts else df
+def _spread(table: DataFrame, parts: int) -> DataFrame:
+    """A staged table in fewer partitions than there are cores, such as one unsplittable file, is spread over them."""
+    return staged(table.repartition(parts)) if table.rdd.getNumPartitions() < parts else table
 
 
 def cluster(

@@ -25,9 +25,13 @@ def staging_folder(spark: SparkSession) -> str:
     return folder
 
 
+def staging_path(spark: SparkSession) -> str:
+    """A new path in the shared folder."""
+    return f"{staging_folder(spark).rstrip('/')}/loomwork-{uuid.uuid4().hex}"
+
+
 def staged(df: DataFrame) -> DataFrame:
     """Write ``df`` once and return a scan of what was written."""
-    spark = df.sparkSession
-    path = f"{staging_folder(spark).rstrip('/')}/loomwork-{uuid.uuid4().hex}"
+    path = staging_path(df.sparkSession)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
