@@ -49,8 +49,8 @@ def main() -> int:
         theirs = sorted_rows(columns, result.fetchall())
         same = sorted(columns) == sorted(df.columns) and mine == theirs
         failed += not same
-        print(f"{name:28s} {len(mine):8d} rows  {took:6.2f}s  {time.time() - start:6.2f}s  {'ok' if same else 'DIFFERS'}",
-              flush=True)
+        sql_took, verdict = time.time() - start, "ok" if same else "DIFFERS"
+        print(f"{name:28s} {len(mine):8d} rows  {took:6.2f}s  {sql_took:6.2f}s  {verdict}", flush=True)
         if not same:
             print(sorted(df.columns), sorted(columns), len(mine), len(theirs))
             for pair in [p for p in zip(mine, theirs) if p[0] != p[1]][:3]:

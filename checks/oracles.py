@@ -45,7 +45,7 @@ predicted AS (
   GROUP BY ALL)"""
 
 TAG_CASES = "\n".join(
-    f"    WHEN o_orderpriority = '{priority}'" + (f" AND o_orderstatus = '{status}'" if status else "") + f" THEN '{tag}'"
+    f"    WHEN o_orderpriority = '{priority}'{f" AND o_orderstatus = '{status}'" if status else ''} THEN '{tag}'"
     for (priority, status), tag in TAGS.items()
 )
 
@@ -185,7 +185,8 @@ WHERE NOT EXISTS (SELECT 1 FROM entries e WHERE e."user" = p."user" AND e.item =
         + f"{MEANS} FROM ({located('weighted', 'draws', 'p.x, p.y, p.w')}) GROUP BY cluster",
         "centroid_shift": with_(*FORUM)
         + f"""SELECT sum({squared("d.cx - m.cx", "d.cy - m.cy")}) AS shift
-FROM draws d JOIN ({MEANS} FROM ({located("weighted", "draws", "p.x, p.y, p.w")}) GROUP BY cluster) m USING (cluster)""",
+FROM draws d
+  JOIN ({MEANS} FROM ({located("weighted", "draws", "p.x, p.y, p.w")}) GROUP BY cluster) m USING (cluster)""",
         "lloyd_kmeans": with_(*FORUM, LLOYD, recursive=True) + "SELECT cluster, cx, cy FROM final",
         "cluster_report": with_(*FORUM, LLOYD, recursive=True)
         + f"""SELECT cluster, any_value(c.cx) AS cx, any_value(c.cy) AS cy,

@@ -12,10 +12,10 @@ CELL_BITS = 16
 def score_summary(df: DataFrame, group: str, value: str, weight: str) -> DataFrame:
     """``(group, size, median, avg)`` of weighted whole numbers, for few groups.
 
-    The median of an even number of values is half the sum of the middle two; it and the mean are truncated. The weights
-    per cell locate the one or two cells that hold the middle ranks, and only the values of those cells are ranked one by
-    one. Both windows see summed weights, never rows, and 32-bit values bound them to 65,536 each. Two rows per group are
-    broadcast.
+    The median of an even number of values is half the sum of the middle two; it and the mean are truncated. The
+    weights per cell locate the one or two cells that hold the middle ranks, and only the values of those cells are
+    ranked one by one. Both windows see summed weights, never rows, and 32-bit values bound them to 65,536 each. Two
+    rows per group are broadcast.
     """
     v, w = F.col(value).cast("bigint"), F.col(weight)
     valued = df.select(group, F.shiftright(v, CELL_BITS).alias("cell"), v.alias("v"), w.alias("w"))

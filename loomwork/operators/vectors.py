@@ -36,8 +36,8 @@ def embed(
     """Train word vectors on all texts and average them per text; a text without known words has the zero vector.
 
     The number of training tasks follows the number of tokens up to the cores there are, because every task sends back
-    the vectors of all words it met. Tokens and vectors are staged: training passes over the tokens four times, clustering
-    over the vectors in every round.
+    the vectors of all words it met. Tokens and vectors are staged: training passes over the tokens four times,
+    clustering over the vectors in every round.
     """
     cores = token_arrays.sparkSession.sparkContext.defaultParallelism
     token_arrays = _spread(staged(token_arrays), cores)
