@@ -22,15 +22,14 @@ def draw_centroids(weighted: DataFrame, k: int, seed: int) -> DataFrame:
     """``k`` seeded draws with replacement, uniform over the rows behind the weights: ``(cluster, cx, cy)``.
 
     Every draw is a race: a point of weight w finishes after an exponential time of rate w, the first one is drawn, so
-    its chance is w over the sum of all weights. The times come from a hash of seed, draw and point; the result does not
-    depend on partitioning, and each task sends on one candidate per draw.
+    its chance is w over the sum of all weights. The times come from a hash of seed, draw and point, so the result does
+    not depend on partitioning. Each task hash-aggregates to one candidate per draw.
     """
     digest = F.md5(F.concat_ws("#", F.lit(seed), "cluster", "x", "y"))
     uniform = (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + 0.5) / F.lit(float(2**52))
-    finish = (-F.log(uniform) / F.col("w")).alias("finish")
-    raced = weighted.withColumn("cluster", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
-    first = raced.groupBy("cluster").agg(F.min(F.struct(finish, "x", "y")).alias("first"))
-    return first.select("cluster", F.col("first.x").alias("cx"), F.col("first.y").alias("cy"))
+    finish = -F.log(uniform) / F.col("w")
+    raced = weighted.withColumn("cluster", F.explode(F.sequence(F.lit(0), F.lit(k - 1)))).withColumn("finish", finish)
+    return raced.groupBy("cluster").agg(F.min_by("x", "finish").alias("cx"), F.min_by("y", "finish").alias("cy"))
 
 
 def centroid_list(centroids: DataFrame) -> list[Centroid]:
