@@ -31,8 +31,5 @@ def nearest(x: Column, y: Column, centroids: Sequence[tuple[int, int]]) -> Colum
     The centroids are one constant array of the plan, so its shape, and with it the generated code, is the same in
     every round of a loop.
     """
-    ranked = F.transform(
-        centroid_array(centroids),
-        lambda c, i: F.struct(squared_distance(x, y, c["cx"], c["cy"]).alias("d"), i.alias("i")),
-    )
-    return F.coalesce(F.array_min(ranked)["i"], F.lit(-1))
+    distances = F.transform(centroid_array(centroids), lambda c: squared_distance(x, y, c["cx"], c["cy"]))
+    return F.coalesce(F.array_position(distances, F.array_min(distances)).cast("int") - 1, F.lit(-1))

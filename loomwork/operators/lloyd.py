@@ -53,12 +53,12 @@ def cluster_means(weighted: DataFrame, centroids: Sequence[Centroid]) -> DataFra
 
     Tasks send on one partial sum per cluster, never the points.
     """
-    sums = assigned(weighted, centroids).groupBy("cluster").agg(
-        F.sum(F.col("x") * F.col("w")).alias("sx"),
-        F.sum(F.col("y") * F.col("w")).alias("sy"),
+    cluster = nearest(F.col("x"), F.col("y"), centroids).alias("cluster")
+    return weighted.groupBy(cluster).agg(
+        F.expr("sum(x * w) div sum(w)").alias("cx"),
+        F.expr("sum(y * w) div sum(w)").alias("cy"),
         F.sum("w").alias("size"),
     )
-    return sums.select("cluster", F.expr("sx div size").alias("cx"), F.expr("sy div size").alias("cy"), "size")
 
 
 def one_round(weighted: DataFrame, centroids: Sequence[Centroid]) -> Round:

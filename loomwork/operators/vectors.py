@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomwork.operators.tokens import vocabulary
-from loomwork.staging import staged
+from loomwork.staging import spread, staged
 
 # Tokens one training task reads. Fewer tasks train better vectors, more train faster.
 TOKENS_PER_TASK = 250_000
@@ -39,14 +39,16 @@ def embed(
     the vectors of all words it met. Tokens and vectors are staged: training passes over the tokens four times,
     clustering over the vectors in every round.
     """
-    cores = token_arrays.sparkSession.sparkContext.defaultParallelism
-    token_arrays = _spread(staged(token_arrays), cores)
+    table = staged(token_arrays)
+    wide = spread(table)
+    token_arrays = table if wide is table else staged(wide)
     known = vocabulary(token_arrays, min_count, tokens).agg(
         F.count("*").alias("words"), F.coalesce(F.sum("n"), F.lit(0)).alias("tokens")
     )
     size = known.first()
     if size.words * vector_size > MAX_WEIGHTS:
         raise ValueError(f"{size.words} words of {vector_size} dimensions exceed one model: raise min_count")
+    cores = token_arrays.sparkSession.sparkContext.defaultParallelism
     tasks = partitions or max(1, min(cores, -(-size.tokens // TOKENS_PER_TASK)))
     trainer = Word2Vec(
         inputCol=tokens, outputCol=vector, vectorSize=vector_size, minCount=min_count, seed=seed, numPartitions=tasks
@@ -55,11 +57,6 @@ def embed(
     return Embedding(model, staged(model.transform(token_arrays).drop(tokens)))
 
 
-def _spread(table: DataFrame, parts: int) -> DataFrame:
-    """A staged table in fewer partitions than there are cores, such as one unsplittable file, is spread over them."""
-    return staged(table.repartition(parts)) if table.rdd.getNumPartitions() < parts else table
-
-
 def cluster(
     vectors: DataFrame, k: int = 2, max_iter: int = 20, seed: int = 1, vector: str = "vector",
     prediction: str = "predicted_cluster",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from loomwork.functions.geometry import centroid_array
 from loomwork.operators import lloyd, postings
 from loomwork.operators.score_summary import score_summary
-from loomwork.staging import staged
+from loomwork.staging import spread, staged
 
 # The domain list in its order, the distance between two domains on the x axis, the number of clusters,
 # the total squared shift below which the clusters count as settled, and the number of rounds before the last one.
@@ -61,7 +61,7 @@ def lloyd_kmeans(
     points: DataFrame, centroids: DataFrame, eta: float = ETA, max_iter: int = MAX_ITER
 ) -> DataFrame:
     """Final ``(cluster, cx, cy)``. Each round is one small job over the cached points; k rows come back."""
-    weighted = (points if "w" in points.columns else staged_points(points)).persist()
+    weighted = spread(points if "w" in points.columns else staged_points(points)).persist()
     try:
         final = lloyd.centroid_list(centroids)
         for done in lloyd.rounds(weighted, final, eta, max_iter):

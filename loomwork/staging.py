@@ -30,6 +30,15 @@ def staging_path(spark: SparkSession) -> str:
     return f"{staging_folder(spark).rstrip('/')}/loomwork-{uuid.uuid4().hex}"
 
 
+def spread(table: DataFrame) -> DataFrame:
+    """A staged table over at least as many partitions as there are cores.
+
+    Only small tables and single unsplittable files come in fewer; steps that compute long on each row spread them.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
+
+
 def staged(df: DataFrame) -> DataFrame:
     """Write ``df`` once and return a scan of what was written."""
     path = staging_path(df.sparkSession)
