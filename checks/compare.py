@@ -1,4 +1,4 @@
-"""Run registered queries and their DuckDB counterparts side by side: ``python -m checks.compare [sf_dir] [query…]``."""
+"""Run registered queries and their DuckDB counterparts side by side: ``python -m checks.compare [sf_dir] [name…]``."""
 
 from __future__ import annotations
 
