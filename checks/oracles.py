@@ -159,8 +159,8 @@ def oracle_sql() -> dict[str, str]:
         "csv_texts": "SELECT p_name AS text FROM part",
         "parsed_ratings": with_(ENTRIES) + 'SELECT "user", item, score FROM ratings',
         "parsed_postings": with_(QUESTIONS)
-        + """SELECT 1 AS posting_type, id, CAST(NULL AS INTEGER) AS parent_id, score, tags FROM questions
-UNION ALL SELECT 2, CAST(l_partkey AS INTEGER), CAST(l_orderkey AS INTEGER),
+        + """SELECT 1 AS posting_type, id, CAST(NULL AS VARCHAR) AS parent_id, score, tags FROM questions
+UNION ALL SELECT 2, CAST(l_partkey AS INTEGER), CAST(l_orderkey AS VARCHAR),
                  CAST(floor(l_extendedprice / 100) - 500 AS INTEGER), NULL FROM lineitem""",
         "top_common_words": with_(WORDS, STOP, PAIRED)
         + """SELECT least(n0, n1) AS count, word FROM paired

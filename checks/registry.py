@@ -62,7 +62,9 @@ def parsed_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def parsed_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return records.parse_postings(views.posting_lines(spark, sf_dir))
+    """The parent as text, since data frames of different make show missing whole numbers differently."""
+    parsed = records.parse_postings(views.posting_lines(spark, sf_dir))
+    return parsed.withColumn("parent_id", F.col("parent_id").cast("string"))
 
 
 def user_score_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
