@@ -3,31 +3,31 @@
 A step whose result is read several times, or by every round of a loop, is written as Parquet into the shared folder
 the cluster names in ``spark.checkpoint.dir``. That cuts the lineage (a lost executor costs a re-read, not a re-run of
 the joins above), gives later steps column pruning, and tells the planner the true size of what it joins.
+
+Where Spark runs on one machine and names no folder, the step is persisted in Spark's own storage instead.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
-def staging_folder(spark: SparkSession) -> str:
-    """The shared folder of the session. A temporary folder stands in for it only where Spark runs on one machine."""
+def staging_folder(spark: SparkSession) -> str | None:
+    """The shared folder of the session; none on a single machine that names none."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
+    local = spark.sparkContext.master.split("[")[0] == "local"
+    if not folder and not local:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="loomwork-")
-    spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 
 def staging_path(spark: SparkSession) -> str:
-    """A new path in the shared folder."""
-    return f"{staging_folder(spark).rstrip('/')}/loomwork-{uuid.uuid4().hex}"
+    """A new path in the shared folder, for steps that write files; on one machine that names none, in the warehouse."""
+    folder = staging_folder(spark) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{folder.rstrip('/')}/loomwork-{uuid.uuid4().hex}"
 
 
 def spread(table: DataFrame) -> DataFrame:
@@ -41,6 +41,27 @@ def spread(table: DataFrame) -> DataFrame:
 
 def staged(df: DataFrame) -> DataFrame:
     """Write ``df`` once and return a scan of what was written."""
-    path = staging_path(df.sparkSession)
+    spark = df.sparkSession
+    if not staging_folder(spark):
+        kept = df.persist(StorageLevel.DISK_ONLY)
+        kept.write.format("noop").mode("overwrite").save()
+        return kept
+    path = staging_path(spark)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(table: DataFrame) -> None:
+    """Delete what ``staged`` wrote. Only for tables that nothing reads any more."""
+    spark = table.sparkSession
+    table.unpersist()
+    folder = staging_folder(spark)
+    for name in {file.rpartition("/")[0] for file in table.inputFiles()} if folder else ():
+        if "/loomwork-" in name:
+            delete(spark, name)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a path of the shared folder."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
