@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomwork.llm import decontamination
+from loomwork.llm import bpe, decontamination, token_files
+from loomwork.staging import staging_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,5 +26,31 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def round_trip(documents: DataFrame) -> DataFrame:
+    """``doc_id, ids, decoded`` with the byte-level tokenizer."""
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    return bpe.decode(bpe.encode(documents, tokenizer), tokenizer)
+
+
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "documents")).select(
+        "doc_id", n_ids("ids").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids with end id 1 in packed files, read back."""
+    files = token_files.write(
+        table(spark, sf_dir, "documents"), staging_path(spark), public_tokenizers.path("word_bpe_49k.json"), 49_408, 1
+    )
+    return token_files.read(files).select("doc_id", "start", n_ids("ids").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
+def n_ids(column: str) -> Column:
+    """Number of 32-bit ids in a binary column."""
+    return (F.octet_length(column) / 4).cast("long")
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op4_decontamination,)}
+    return {f.__name__: f for f in (op4_decontamination, op7_bpe, op10_token_files)}
