@@ -34,5 +34,53 @@ FROM docs LEFT JOIN hit USING (r) LEFT JOIN named USING (r)
 """
 
 
+# The pages name no canonical address and no redirect, so only spellings of one address are aliases.
+OP1 = r"""
+WITH rules(rule_host, rule_path, rule_verdict) AS (
+  VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')
+), parsed AS (
+  SELECT row_number() OVER () AS r, page_id,
+         translate(regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)', 1, 's'),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(coalesce(url, ''), '^.*?://[^/?#]*([^?#]*)', 1, 's') AS path,
+         list_sort(list_filter(string_split(regexp_extract(coalesce(url, ''), '^[^?#]*\?([^#]*)', 1, 's'), '&'),
+                     lambda p: p <> '' AND NOT regexp_matches(p, '^(utm_[^=]*|ref|fbclid|gclid|msclkid|mc_[ce]id)(=|$)', 'i'))) AS args
+  FROM pages
+), keyed AS (
+  SELECT r, page_id, host, path, CASE WHEN host <> '' THEN
+         regexp_replace(regexp_replace(host, ':(80|443)$', ''), '^www\.', '') || regexp_replace(path, '/$', '')
+         || CASE WHEN len(args) > 0 THEN '?' || array_to_string(args, '&') ELSE '' END END AS key
+  FROM parsed
+), best AS (
+  SELECT r, arg_min(struct_pack(rule := rule_host || rule_path, v := rule_verdict),
+                    (-length(rule_host || rule_path), rule_verdict <> 'allow', rule_host || rule_path)) AS b
+  FROM keyed JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+  GROUP BY r
+), blocked AS (
+  SELECT DISTINCT key FROM keyed JOIN best USING (r) WHERE b.v = 'block'
+)
+SELECT page_id, host, path, b.rule AS rule,
+       coalesce(b.v, CASE WHEN blocked.key IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict
+FROM keyed LEFT JOIN best USING (r) LEFT JOIN blocked ON keyed.key = blocked.key
+"""
+
+# Reading the template back must give the table again; its length follows from the roles and the escaped texts.
+OP8 = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, unnest([0, 1]), unnest(['user', 'assistant']), '</s>[INST] ok [/INST]'
+), sized AS (
+  SELECT *, regexp_replace(text, '([<\[])(\\*)(/?(?:s>|SYS\]|INST\]|ROLE\]|TEXT\]))', '\1\\\2\3', 'g') AS body,
+         regexp_replace(role, '([<\[])(\\*)(/?(?:s>|SYS\]|INST\]|ROLE\]|TEXT\]))', '\1\\\2\3', 'g') AS name FROM turns
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       (3 + sum(length(body) + CASE role WHEN 'system' THEN 13 WHEN 'user' THEN 15 WHEN 'assistant' THEN 5
+                               ELSE 23 + length(name) END))::BIGINT AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_decontamination": OP4}
+    return {"op1_url_filter": OP1, "op4_decontamination": OP4, "op8_chat": OP8}

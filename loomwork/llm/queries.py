@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomwork.llm import bpe, decontamination, token_files
-from loomwork.staging import staging_path
+from loomwork.llm import bpe, chat, decontamination, token_files, url_filters
+from loomwork.staging import staged, staging_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,6 +18,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# The rules of the URL filter.
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.range(1).select(F.inline(F.array(*[F.struct(*map(F.lit, rule)) for rule in URL_RULES])))
+    judged = url_filters.judged(table(spark, sf_dir, "pages"), rules.toDF("host", "path", "verdict"))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return rows.select(
@@ -47,10 +57,30 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(files).select("doc_id", "start", n_ids("ids").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 
 
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and number -1, whose turns look like the template's own marks."""
+    tricky = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"),
+    )
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(tricky)
+    conversations = staged(chat.formatted(chat.linear_threads(turns)))
+    said = chat.read_back(conversations).groupBy("tree").agg(
+        F.count("*").alias("n_turns"),
+        F.array_sort(F.collect_list(F.struct("turn", F.concat("role", F.lit("\n"), "text", F.lit("\n")).alias("said"), "loss_text"))).alias("turns"),
+    )
+    loss = F.array_join("turns.loss_text", "")
+    lengths = conversations.select("tree", F.length("conversation").cast("long").alias("formatted_chars"))
+    return said.join(lengths, "tree").select(
+        F.col("tree").try_cast("long").alias("conv_id"), "n_turns", F.sha2(F.array_join("turns.said", ""), 256).alias("turns_sha256"),
+        F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"), "formatted_chars",
+    )
+
+
 def n_ids(column: str) -> Column:
     """Number of 32-bit ids in a binary column."""
     return (F.octet_length(column) / 4).cast("long")
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op4_decontamination, op7_bpe, op10_token_files)}
+    return {f.__name__: f for f in (op1_url_filter, op4_decontamination, op7_bpe, op8_chat, op10_token_files)}
