@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomwork.llm import bpe, chat, decontamination, near_dedup, token_files, url_filters
+from loomwork.llm import bpe, chat, decontamination, near_dedup, pii, token_files, url_filters
 from loomwork.staging import staged, staging_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,13 @@ def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = [F.size(kind).cast("long").alias(f"n_{kind}") for kind in pii.PATTERNS]
+    return pii.personal_data(table(spark, sf_dir, "documents")).select(
+        "doc_id", *counts, F.sha2(pii.as_text(F.col("base")), 256).alias("base_sha256"), pii.as_text(F.col("spans")).alias("spans")
+    )
+
+
 def round_trip(documents: DataFrame) -> DataFrame:
     """``doc_id, ids, decoded`` with the byte-level tokenizer."""
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
@@ -87,4 +94,4 @@ def n_ids(column: str) -> Column:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_url_filter, op4_decontamination, op5_near_dedup, op7_bpe, op8_chat, op10_token_files)}
+    return {f.__name__: f for f in (op1_url_filter, op4_decontamination, op5_near_dedup, op6_pii, op7_bpe, op8_chat, op10_token_files)}
