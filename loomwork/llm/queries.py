@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomwork.llm import bpe, chat, decontamination, near_dedup, pii, token_files, url_filters
+from loomwork.llm import bpe, chat, decontamination, lm_scoring, near_dedup, pii, quality, token_files, url_filters
 from loomwork.staging import staged, staging_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,21 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op2_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The target corpus is what is labelled good and not toxic."""
+    target = table(spark, sf_dir, "labels").where("quality = 1 and toxic = 0").select("doc_id")
+    return lm_scoring.cross_entropy_difference(table(spark, sf_dir, "documents"), target)
+
+
+def quality_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality.scored(table(spark, sf_dir, "documents"), quality_labels(spark, sf_dir))
+    return scored.select("doc_id", *quality.SCORES, (F.col("quality") >= quality.KEEP).alias("kept"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return rows.select(
@@ -94,4 +109,4 @@ def n_ids(column: str) -> Column:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_url_filter, op4_decontamination, op5_near_dedup, op6_pii, op7_bpe, op8_chat, op10_token_files)}
+    return {f.__name__: f for f in (op1_url_filter, op2_cross_entropy, op3_quality, op4_decontamination, op5_near_dedup, op6_pii, op7_bpe, op8_chat, op10_token_files)}
