@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomwork.llm import bpe, chat, decontamination, lm_scoring, near_dedup, pii, quality, token_files, url_filters
+from loomwork.llm import bpe, chat, decontamination, lm_scoring, near_dedup, neighbours, pii, quality, token_files, url_filters
 from loomwork.staging import staged, staging_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -103,10 +103,15 @@ def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
+    return neighbours.nearest(vectors, "vec_id % 20 = 0", 20)
+
+
 def n_ids(column: str) -> Column:
     """Number of 32-bit ids in a binary column."""
     return (F.octet_length(column) / 4).cast("long")
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_url_filter, op2_cross_entropy, op3_quality, op4_decontamination, op5_near_dedup, op6_pii, op7_bpe, op8_chat, op10_token_files)}
+    return {f.__name__: f for f in (op1_url_filter, op2_cross_entropy, op3_quality, op4_decontamination, op5_near_dedup, op6_pii, op7_bpe, op8_chat, op9_neighbours, op10_token_files)}
