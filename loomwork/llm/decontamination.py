@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomwork.llm.arrow_rows import slices, utf8
+from loomwork.llm.arrow_rows import REST, apart, slices, together, utf8
 from loomwork.staging import discard, staged
 
 WINDOW = 10
@@ -261,9 +261,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i, (marks, n) in enumerate(zip(batch.column("hits").to_pylist(), batch.column("n_words").to_pylist())):
             if marks is not None:
                 texts[i] = without_marked(texts[i], np.unpackbits(np.frombuffer(marks, np.uint8))[:n].astype(bool))
-        cleaned = pa.array(texts, pa.binary()).cast(pa.string())
-        columns = {c: cleaned if c == "text" else batch.column(c) for c in batch.schema.names if c not in ("hits", "n_words")}
-        yield pa.RecordBatch.from_pydict(columns)
+        yield pa.RecordBatch.from_arrays([batch.column(REST), pa.array(texts, pa.binary()).cast(pa.string())], [REST, "text"])
 
 
 def decontaminated(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_coverage: float = MAX_COVERAGE) -> DataFrame:
@@ -271,6 +269,7 @@ def decontaminated(documents: DataFrame, benchmark: DataFrame, window: int = WIN
 
     A document of whose words more than ``max_coverage`` are hit goes as a whole. All others stay.
     """
-    rows = marked(documents, benchmark, window).where(F.col("n_hit") <= max_coverage * F.col("n_words"))
-    cut = rows.drop("items", "n_hit").mapInArrow(_cut, documents.schema)
-    return cut.select(*documents.columns)
+    rows = apart(documents)
+    schema = rows.schema
+    rows = marked(rows, benchmark, window).where(F.col("n_hit") <= max_coverage * F.col("n_words"))
+    return together(rows.drop("items", "n_hit").mapInArrow(_cut, schema), documents)

@@ -26,6 +26,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loomwork.llm.arrow_rows import REST, apart, together
 from loomwork.staging import discard, staged
 
 # The patterns and checks of the base spans, in the order of their kinds.
@@ -58,7 +59,7 @@ FEATURES = ["has_at", "has_equals", "letters", "capitals", "four_digits", "eight
 ROUNDS = 50
 
 _SPAN = "array<struct<start:int,end:int>>"
-_CANDIDATE_TYPE = f"array<struct<start:int,end:int,kind:string,votes:array<boolean>,features:array<boolean>>>"
+_CANDIDATE_TYPE = "array<struct<start:int,end:int,kind:string,votes:array<boolean>,features:array<boolean>>>"
 
 
 def _digits(text: Column) -> Column:
@@ -168,9 +169,7 @@ def _of_kind(kind: str):
 
 def _all_spans(lists: dict[str, Column]) -> Column:
     """Spans of several kinds as ``start, rank, kind, end`` in order of start, then kind."""
-    named = [
-        F.transform(spans, _named(kind, rank)) for rank, (kind, spans) in enumerate(lists.items())
-    ]
+    named = [F.transform(spans, _named(kind, rank)) for rank, (kind, spans) in enumerate(lists.items())]
     return F.array_sort(F.concat(*named))
 
 
@@ -271,15 +270,18 @@ def masked(documents: DataFrame) -> DataFrame:
     trained = staged(detected(documents).select("candidates"))
     weights = trained_weights(trained)
     discard(trained)
-    rows = _with_spans(detected(documents, *documents.columns), weights)
+    rows = _with_spans(detected(apart(documents), REST, "text"), weights)
 
     def cut(state: Column, s: Column) -> Column:
         # A span that begins inside the last one only moves its end.
-        fresh = s["start"] >= state["at"]
         kept = F.substring("text", state["at"] + 1, s["start"] - state["at"])
-        out = F.when(fresh, F.concat(state["out"], F.array(kept, F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))))).otherwise(state["out"])
+        mark = F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))
+        out = F.when(s["start"] >= state["at"], F.concat(state["out"], F.array(kept, mark))).otherwise(state["out"])
         return F.struct(F.greatest(state["at"], s["end"]).alias("at"), out.alias("out"))
 
+    def rest(state: Column) -> Column:
+        return F.concat(F.array_join(state["out"], ""), F.substring("text", state["at"] + 1, F.length("text")))
+
     empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-    text = F.aggregate("spans", empty, cut, lambda s: F.concat(F.array_join(s["out"], ""), F.expr("substring(text, 1)").substr(s["at"] + 1, F.length("text"))))
-    return rows.withColumn("text", F.when(F.size("spans") > 0, text).otherwise(F.col("text"))).select(*documents.columns)
+    text = F.when(F.size("spans") > 0, F.aggregate("spans", empty, cut, rest)).otherwise(F.col("text"))
+    return together(rows, documents, text)

@@ -202,24 +202,30 @@ def train(documents: DataFrame, labels: DataFrame) -> Model | None:
 SCORES = ("p_text", "p_meta", "quality")
 
 
-def _score(batches: Iterator[pa.RecordBatch], model: Model | None, kept: list[str]) -> Iterator[pa.RecordBatch]:
+def _score(batches: Iterator[pa.RecordBatch], model: Model | None, kept: list[str], names: list[str]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for batch in slices(whole, _ROWS):
-            scores = model.probabilities(*_views(batch)) if model else [np.ones(batch.num_rows)] * 3
+            scores = model.probabilities(*_views(batch)) if model else [np.ones(batch.num_rows)] * len(names)
             columns = [batch.column(c) for c in kept] + [pa.array(s) for s in scores]
-            yield pa.RecordBatch.from_arrays(columns, [*kept, *SCORES])
+            yield pa.RecordBatch.from_arrays(columns, [*kept, *names])
 
 
-def scored(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """``documents`` (``doc_id, text, lang, source, n_chars`` and any others) with ``p_text, p_meta, quality``."""
+def scored(documents: DataFrame, labels: DataFrame, names: tuple[str, ...] = SCORES) -> DataFrame:
+    """``documents`` (``doc_id, text, lang, source, n_chars`` and any others) with three probabilities of good quality.
+
+    They are by the text, by the metadata and by both. Columns of ``documents`` with their ``names`` are replaced.
+    """
     model = train(documents, labels)
-    kept = [c for c in documents.columns if c not in SCORES]
+    kept = [c for c in documents.columns if c not in names]
     needed = {"text": "string", "lang": "string", "source": "string", "n_chars": "long"}
     rows = documents.select(*(F.col(c).cast(needed[c]).alias(c) if c in needed else c for c in kept))
-    schema = ", ".join([*(f"`{c}` {kind}" for c, kind in rows.dtypes), *(f"{c} double" for c in SCORES)])
-    return rows.mapInArrow(partial(_score, model=model, kept=kept), schema)
+    schema = ", ".join([*(f"`{c}` {kind}" for c, kind in rows.dtypes), *(f"`{c}` double" for c in names)])
+    return rows.mapInArrow(partial(_score, model=model, kept=kept, names=list(names)), schema)
 
 
 def good_documents(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``documents`` that are not rejected."""
-    return scored(documents, labels).where(F.col("quality") >= KEEP).select(*(F.col(f.name).cast(f.dataType) for f in documents.schema))
+    longest = max(documents.columns, key=len)
+    names = tuple(f"{longest}_{score}" for score in SCORES)  # no column has such a name
+    rows = scored(documents, labels, names).where(F.col(names[-1]) >= KEEP)
+    return rows.select(*(F.col(f.name).cast(f.dataType) for f in documents.schema))
