@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from loomwork.llm.arrow_rows import place, slices, utf8
-from loomwork.llm.tokenizing import encoder
+from loomwork.llm.tokenizing import encoder, word_end_words
 from loomwork.staging import staged
 
 MAGIC, HEADER = b"LOOMTOK1", struct.Struct("<8sIIQQQ")
@@ -131,8 +131,8 @@ def _write_files(batches: Iterator[pa.RecordBatch], folder: str, tokenizer: str,
     end = np.array([end_id], "<u4").tobytes()
     for whole in batches:
         for batch in slices(whole, _ROWS):
-            texts = [(text or b"").split() for text in utf8(batch, "text")]
-            known = encoder(tokenizer).learn(w for words in texts for w in words)
+            texts = [word_end_words(text) for text in utf8(batch, "text")]
+            known = encoder(tokenizer).learn(set().union(*texts))
             for name, words in zip(batch.column("doc_id").to_pylist(), texts):
                 ids = np.frombuffer(b"".join([*map(known.__getitem__, words), end]), "<u4")
                 held.append((name, ids))
@@ -147,8 +147,8 @@ def _write_files(batches: Iterator[pa.RecordBatch], folder: str, tokenizer: str,
 def write(documents: DataFrame, folder: str, tokenizer: str, vocabulary: int, end_id: int) -> DataFrame:
     """Encode every text, end it with ``end_id`` and write the files; one row per file in order.
 
-    ``tokenizer`` is a file of the tokenizers library whose words never reach over ASCII white space. Columns:
-    ``range, part, path, documents, n_ids, start`` (ids of all files before).
+    ``tokenizer`` is a file of the tokenizers library that lower-cases, drops white space and parts letters from
+    punctuation. Columns: ``range, part, path, documents, n_ids, start`` (ids of all files before).
     """
     ordered = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     ordered = ordered.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"))
