@@ -7,7 +7,8 @@ for texts of some length.
 
 1. Documents with equal sets are one class, named by its smallest ``doc_id``.
 2. Signatures are cut into bands; classes that share a band meet in its bucket, where sketches of two bits for each
-   position must agree as they do for similar sets. Buckets give the edges of a spanning forest, not pairs.
+   position must agree as they do for similar sets. Of each part that holds together by
+   sketches a bucket gives the edges to its smallest class, not pairs.
 3. The components of these edges are clusters. Inside a cluster, pairs in order of their estimated similarity are
    confirmed on full sets until union-find has joined what can be joined.
 4. The components of the confirmed links are the result.
@@ -204,17 +205,16 @@ def _bounds(table: pa.Table, keys: list[str]) -> np.ndarray:
     return np.flatnonzero(changes)
 
 
-def _forest(near: np.ndarray) -> list[tuple[int, int]]:
-    """Edges of a spanning forest of a symmetric matrix of neighbours."""
+def _parts(near: np.ndarray) -> list[tuple[int, int]]:
+    """An edge from the first member of each connected part of a symmetric matrix of neighbours to every other."""
     unseen, edges = np.ones(len(near), dtype=bool), []
     for root in range(len(near)):
         queue = [root] if unseen[root] else []
         unseen[root] = False
         while queue:
-            x = queue.pop()
-            found = np.flatnonzero(near[x] & unseen)
+            found = np.flatnonzero(near[queue.pop()] & unseen)
             unseen[found] = False
-            edges += [(x, y) for y in found.tolist()]
+            edges += [(root, y) for y in found.tolist()]
             queue += found.tolist()
     return edges
 
@@ -245,7 +245,7 @@ def _bucket_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             if end - begin > 2:
                 near = agreement(sketch[begin:end], sketch[begin:end]) >= AGREEING
                 allowed = _compared(side[begin:end], block_i[begin], block_j[begin])
-                for x, y in _forest(near if allowed is None else near & allowed):
+                for x, y in _parts(near if allowed is None else near & allowed):
                     a.append(int(reps[begin + x]))
                     b.append(int(reps[begin + y]))
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], schema=_EDGES)
@@ -310,7 +310,7 @@ def _dealt(members: DataFrame, group: str) -> DataFrame:
 
 
 def _in_units(rows: DataFrame) -> DataFrame:
-    return rows.repartition(*_UNIT).sortWithinPartitions(*_UNIT)
+    return rows.repartition(*_UNIT).sortWithinPartitions(*_UNIT, "rep")
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
