@@ -120,7 +120,7 @@ def super_min_hash(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def band_keys(signatures: np.ndarray) -> np.ndarray:
-    bands = signatures.reshape(len(signatures), -1, ROWS)
+    bands = signatures.reshape(-1, POSITIONS // ROWS, ROWS)
     keys = np.arange(bands.shape[1], dtype=np.uint64)[None, :] * _U(_BASE)
     for row in range(ROWS):
         keys = mixed(keys ^ bands[:, :, row]) + _U(_BASE)
@@ -129,7 +129,7 @@ def band_keys(signatures: np.ndarray) -> np.ndarray:
 
 def sketches(signatures: np.ndarray) -> np.ndarray:
     """Two bits of every position, as four 64-bit words a signature."""
-    bits = (mixed(signatures) & _U(3)).astype(np.uint64).reshape(len(signatures), -1, 32)
+    bits = (mixed(signatures) & _U(3)).astype(np.uint64).reshape(-1, POSITIONS // 32, 32)
     return (bits << (np.arange(32, dtype=np.uint64) * _U(2))).sum(axis=2, dtype=np.uint64)
 
 
