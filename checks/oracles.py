@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from checks.registry import CENTERS, ROUNDS, VECTORS
 from checks.views import SEED, STOP_WORDS, TAGS
+from loomwork.operators.word_vectors import NEGATIVES, RATE
 from loomwork.plans.forum import CLUSTERS, DOMAINS, ETA, MAX_ITER, SPREAD
 
 
@@ -24,6 +26,14 @@ paired AS (
   SELECT word, count(*) FILTER (source = 0) AS n0, count(*) FILTER (source = 1) AS n1
   FROM words WHERE word NOT IN (SELECT word FROM stop) GROUP BY word)"""
 
+def line_ratings(item: str) -> str:
+    return f"""
+ratings AS (
+  SELECT CAST(o_custkey AS INTEGER) AS "user", CAST({item} AS INTEGER) AS item, l_quantity AS score
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+entries AS (SELECT "user", item, max(score) AS score, count(*) AS n FROM ratings GROUP BY ALL)"""
+
+
 ENTRIES = """
 ratings AS (
   SELECT CAST(o_custkey AS INTEGER) AS "user", CAST(split_part(p_brand, '#', 2) AS INTEGER) AS item,
@@ -141,6 +151,94 @@ SELECT round(avg(CASE WHEN n = 1 THEN 0 WHEN a < b THEN 1 - a / b WHEN a > b THE
 FROM ab"""
 
 
+SIZE = VECTORS["vector_size"]
+
+
+def listed(term: str, dimensions: int = SIZE) -> str:
+    return "[" + ", ".join(term.replace("@", str(i + 1)) for i in range(dimensions)) + "]"
+
+
+def dot(a: str, b: str) -> str:
+    return "(" + " + ".join(f"{a}[{i + 1}] * {b}[{i + 1}]" for i in range(SIZE)) + ")"
+
+
+def start(kind: str) -> str:
+    hashes = [
+        f"""((CAST(CAST('0x' || substr(md5(concat_ws('#', {VECTORS["seed"]}, token, '{kind}', {i})), 1, 13) AS BIGINT) AS DOUBLE)
+        + CAST(0.5 AS DOUBLE)) / CAST(4503599627370496 AS DOUBLE) - CAST(0.5 AS DOUBLE)) / {SIZE}"""
+        for i in range(SIZE)
+    ]
+    return f"[{', '.join(hashes)}]"
+
+
+def step(n: int) -> str:
+    """One step of the word vectors, from ``words{n}`` to the next."""
+    gap = f"p.n * (1 - 1 / (1 + exp(-{dot('a.u', 'b.v')})))"
+    means = ", ".join(listed(f"sum(total * {c}[@]) / sum(total)") + f" AS m{c}" for c in "uv")
+    new = ", ".join(
+        listed(f"{own}[@] + {RATE} * (pull_{own}[@] / total - {NEGATIVES} * (1 / (1 + exp(-{dot(own, 'm' + other)}))) * m{other}[@])")
+        + f" AS {own}"
+        for own, other in ("uv", "vu")
+    )
+    return f"""
+met{n} AS MATERIALIZED (
+  SELECT p.token, p.context, a.u, b.v, {gap} AS g
+  FROM pairs p JOIN words{n} a ON p.token = a.token JOIN words{n} b ON p.context = b.token),
+words{n + 1} AS MATERIALIZED (
+  SELECT token, total, {new}
+  FROM words{n}
+    JOIN (SELECT token, {listed("sum(g * v[@])")} AS pull_u FROM met{n} GROUP BY token) USING (token)
+    JOIN (SELECT context AS token, {listed("sum(g * u[@])")} AS pull_v FROM met{n} GROUP BY context) USING (token),
+    (SELECT {means} FROM words{n}))"""
+
+
+WORD_VECTORS = (
+    f"""
+known AS (SELECT token FROM (SELECT unnest(tokens) AS token FROM cleaned) GROUP BY token HAVING count(*) >= {VECTORS["min_count"]}),
+apart AS (
+  SELECT tokens[i] AS a, tokens[i + d] AS b
+  FROM (SELECT tokens, d, unnest(range(1, len(tokens) - d + 1)) AS i FROM cleaned, (SELECT unnest(range(1, {VECTORS["window"]} + 1)) AS d))),
+once AS (
+  SELECT a, b, count(*) AS n FROM apart WHERE a IN (SELECT token FROM known) AND b IN (SELECT token FROM known) GROUP BY ALL),
+pairs AS MATERIALIZED (
+  SELECT token, context, CAST(sum(n) AS DOUBLE) AS n
+  FROM (SELECT a AS token, b AS context, n FROM once UNION ALL SELECT b, a, n FROM once) GROUP BY ALL),
+words0 AS MATERIALIZED (
+  SELECT token, total, {start("input")} AS u, {start("output")} AS v
+  FROM (SELECT token, sum(n) AS total FROM pairs GROUP BY token))""",
+    *(step(n) for n in range(VECTORS["steps"])),
+)
+
+MEANS_OF_TEXTS = ", ".join(
+    f"round(coalesce(sum(u[{i + 1}]), 0) / greatest(any_value(n), 1), 6) + 0.0 AS v{i}" for i in range(SIZE)
+)
+
+
+def center_round(n: int) -> str:
+    """Assignment to the centres ``centers{n}`` and their means."""
+    return f"""
+assigned{n} AS MATERIALIZED (
+  SELECT vec_id, arg_min(cluster, row(dist, cluster)) AS cluster
+  FROM (SELECT vec_id, cluster, sum((p.v - c.v) * (p.v - c.v)) AS dist FROM coords p JOIN centers{n} c USING (d) GROUP BY ALL)
+  GROUP BY vec_id),
+centers{n + 1} AS MATERIALIZED (
+  SELECT c.cluster, c.d, coalesce(m.v, c.v) AS v
+  FROM centers{n} c LEFT JOIN (
+    SELECT cluster, d, avg(v) AS v FROM coords JOIN assigned{n} USING (vec_id) GROUP BY ALL) m USING (cluster, d))"""
+
+
+VECTOR_CLUSTERS = (
+    f"""
+coords AS MATERIALIZED (
+  SELECT vec_id, unnest(range(len(embedding))) AS d, CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings),
+centers0 AS MATERIALIZED (
+  SELECT CAST(r - 1 AS INTEGER) AS cluster, d, v
+  FROM coords JOIN (SELECT vec_id, row_number() OVER (ORDER BY md5('{SEED}#' || vec_id)) AS r FROM embeddings) USING (vec_id)
+  WHERE r <= {CENTERS})""",
+    *(center_round(n) for n in range(ROUNDS + 1)),
+)
+
+
 def with_(*parts: str, recursive: bool = False) -> str:
     return f"WITH {'RECURSIVE ' if recursive else ''}{','.join(parts)}\n"
 
@@ -159,16 +257,31 @@ def oracle_sql() -> dict[str, str]:
         "csv_texts": "SELECT p_name AS text FROM part",
         "parsed_ratings": with_(ENTRIES) + 'SELECT "user", item, score FROM ratings',
         "parsed_postings": with_(QUESTIONS)
-        + """SELECT 1 AS posting_type, id, CAST(NULL AS VARCHAR) AS parent_id, score, tags FROM questions
-UNION ALL SELECT 2, CAST(l_partkey AS INTEGER), CAST(l_orderkey AS VARCHAR),
-                 CAST(floor(l_extendedprice / 100) - 500 AS INTEGER), NULL FROM lineitem""",
+        + """SELECT 1 AS posting_type, id, CAST(-1 AS INTEGER) AS parent_id, score, tags, false AS has_parent FROM questions
+UNION ALL SELECT 2, CAST(l_partkey AS INTEGER), CAST(l_orderkey AS INTEGER),
+                 CAST(floor(l_extendedprice / 100) - 500 AS INTEGER), NULL, true FROM lineitem""",
+        "stop_file_counts": with_(WORDS)
+        + """SELECT word, count(*) FILTER (source = 0) AS n0, count(*) FILTER (source = 1) AS n1 FROM words
+WHERE word NOT IN (SELECT word FROM words WHERE source = 1 AND regexp_matches(word, '^[ad]')) GROUP BY word""",
+        "ordered_recommendations": with_(ENTRIES, MATRIX, PREDICTED)
+        + """SELECT "user" || chr(9) || item || ',' || CAST(score AS BIGINT) AS line,
+       row_number() OVER (ORDER BY "user" || ',' || item) AS place
+FROM predicted p WHERE NOT EXISTS (SELECT 1 FROM entries e WHERE e."user" = p."user" AND e.item = p.item)""",
         "top_common_words": with_(WORDS, STOP, PAIRED)
         + """SELECT least(n0, n1) AS count, word FROM paired
 WHERE least(n0, n1) > 0 ORDER BY count DESC, word LIMIT 20""",
-        "user_score_vectors": with_(ENTRIES)
-        + """SELECT "user", CAST(floor(item / 1024) AS BIGINT) AS block,
-       string_agg(item || ':' || score || ':' || n, ',' ORDER BY item) AS scores
-FROM entries GROUP BY ALL""",
+        "user_score_vectors": with_(line_ratings("l_partkey * 5003"))
+        + """SELECT "user", CAST((rank - 1) // 64 AS BIGINT) AS block,
+       string_agg(item || ':' || score || ':' || n, ',' ORDER BY item, score) AS scores
+FROM (SELECT *, row_number() OVER (PARTITION BY "user" ORDER BY item, score) AS rank
+      FROM (SELECT "user", item, score, count(*) AS n FROM ratings GROUP BY ALL))
+GROUP BY ALL""",
+        "part_co_occurrence": with_(line_ratings("l_partkey * 5003"), MATRIX) + "SELECT item1, item2, n FROM matrix",
+        "supplier_scores": with_(line_ratings("l_suppkey"), MATRIX, PREDICTED)
+        + 'SELECT "user", item, score FROM predicted',
+        "supplier_recommendations": with_(line_ratings("l_suppkey"), MATRIX, PREDICTED)
+        + """SELECT "user", item, score FROM predicted p
+WHERE NOT EXISTS (SELECT 1 FROM entries e WHERE e."user" = p."user" AND e.item = p.item)""",
         "co_occurrence": with_(ENTRIES, MATRIX) + "SELECT item1, item2, n FROM matrix",
         "score_products": with_(ENTRIES, MATRIX)
         + """SELECT e."user", e.item AS via, m.item2 AS item, e.score * m.n AS product
@@ -200,5 +313,13 @@ FROM ({located("points", "final", "p.id, p.x, p.y")}) JOIN final c USING (cluste
         "w2v_vocabulary": with_(TOKENS)
         + """SELECT token, count(*) AS n FROM (SELECT unnest(tokens) AS token FROM cleaned)
 GROUP BY token HAVING count(*) >= 5""",
+        "embed_texts": with_(TOKENS, *WORD_VECTORS)
+        + f"""SELECT doc_id, {MEANS_OF_TEXTS}
+FROM (SELECT doc_id, len(tokens) AS n, unnest(CASE WHEN len(tokens) = 0 THEN [NULL] ELSE tokens END) AS token FROM cleaned)
+  LEFT JOIN words{VECTORS["steps"]} USING (token) GROUP BY doc_id""",
+        "cluster_vectors": with_(*VECTOR_CLUSTERS)
+        + f"""SELECT cluster, coalesce(size, 0) AS size, CAST(d AS INTEGER) AS dim, round(v, 6) + 0.0 AS value
+FROM centers{ROUNDS} LEFT JOIN (SELECT cluster, count(*) AS size FROM assigned{ROUNDS} GROUP BY cluster) USING (cluster)""",
+        "vector_assignments": with_(*VECTOR_CLUSTERS) + f"SELECT vec_id, cluster AS predicted_cluster FROM assigned{ROUNDS}",
         "silhouette": SILHOUETTE,
     }

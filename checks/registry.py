@@ -4,19 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from checks import views
-from loomwork.operators import lloyd, vectors
+from loomwork.operators import lloyd, vector_clusters
 from loomwork.operators.tokens import vocabulary
 from loomwork.operators.word_counts import (
     common_counts,
     corpus_words,
     counts_by_source,
-    paired_counts,
-    without_stop_words,
+    counts_without,
 )
 from loomwork.plans import common_words, forum, recommend, text_clusters
 from loomwork.sources import records, text_files
@@ -30,8 +29,7 @@ def word_counts_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stopword_filtered_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tokens = corpus_words(views.corpus(spark, sf_dir))
-    return without_stop_words(paired_counts(tokens), views.stop_words(spark))
+    return counts_without(corpus_words(views.corpus(spark, sf_dir)), views.stop_words(spark))
 
 
 def common_word_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,6 +40,26 @@ def top_common_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return common_words.top_common_words(views.corpus(spark, sf_dir), views.stop_words(spark))
 
 
+def stop_file_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with a stop list that was written to a file: the words that begin with a or d in the conversations."""
+    path = staging_path(spark)
+    said = corpus_words(views.corpus(spark, sf_dir).where("source = 1")).select("word").where("word rlike '^[ad]'").distinct()
+    said.write.text(path)
+    return counts_without(corpus_words(views.corpus(spark, sf_dir)), text_files.read_stop_words(spark, path))
+
+
+def ordered_recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recommendations written in the order of their text key, with the place each line came to."""
+    path = staging_path(spark)
+    order = recommend.recommendation_order()
+    scores = recommendations(spark, sf_dir).withColumn("score", F.col("score").cast("bigint"))
+    text_files.write_key_values(scores, path, "user", "item", "score", order_by=order)
+    lines = text_files.read_lines(spark, path).select("value", "_metadata.file_path", F.monotonically_increasing_id().alias("at"))
+    # The lines of a file are read in their order, the files are named in theirs.
+    place = F.row_number().over(Window.orderBy("file_path", "at"))
+    return lines.select(F.col("value").alias("line"), place.cast("bigint").alias("place"))
+
+
 def written_word_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word counts through the key/value sink and back as lines."""
     path = staging_path(spark)
@@ -62,14 +80,15 @@ def parsed_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def parsed_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The parent as text, since data frames of different make show missing whole numbers differently."""
+    """-1 for no parent, since data frames of different make show missing whole numbers differently."""
     parsed = records.parse_postings(views.posting_lines(spark, sf_dir))
-    return parsed.withColumn("parent_id", F.col("parent_id").cast("string"))
+    return parsed.withColumns({"has_parent": F.col("parent_id").isNotNull(), "parent_id": F.coalesce("parent_id", F.lit(-1))})
 
 
 def user_score_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of sparse items; the larger users have more than one block."""
     entry = F.transform("scores", lambda s: F.concat_ws(":", s["item"], s["score"], s["n"]))
-    vectors_ = recommend.user_score_vectors(views.ratings(spark, sf_dir))
+    vectors_ = recommend.user_score_vectors(views.part_ratings(spark, sf_dir), width=64)
     return vectors_.select("user", "block", F.concat_ws(",", entry).alias("scores"))
 
 
@@ -77,6 +96,18 @@ def co_occurrence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recommend.co_occurrence(views.ratings(spark, sf_dir))
 
 
+def part_co_occurrence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recommend.co_occurrence(views.part_ratings(spark, sf_dir))
+
+
+def supplier_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recommend.predicted_scores(views.supplier_ratings(spark, sf_dir))
+
+
+def supplier_recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recommend.recommend(views.supplier_ratings(spark, sf_dir))
+
+
 def score_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recommend.score_products(views.ratings(spark, sf_dir))
 
@@ -94,7 +125,7 @@ def scored_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def domain_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return forum.domain_points(scored_questions(spark, sf_dir))
+    return forum.domain_points(views.postings(spark, sf_dir))
 
 
 def sample_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -143,22 +174,41 @@ def w2v_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vocabulary(token_arrays(spark, sf_dir))
 
 
+# Parameters of the trained vectors that the DuckDB query repeats.
+VECTORS = {"vector_size": 4, "min_count": 5, "seed": 1, "window": 2, "steps": 3}
+CENTERS, ROUNDS = 5, 4
+
+
 def embed_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    embedded = text_clusters.embed_texts(token_arrays(spark, sf_dir)).vectors
-    return embedded.select("doc_id", vector_to_array("vector").alias("vector"))
+    embedded = text_clusters.embed_texts(token_arrays(spark, sf_dir), **VECTORS).vectors
+    parts = [F.round(F.get("vector", F.lit(i)), 6) + 0.0 for i in range(VECTORS["vector_size"])]
+    return embedded.select("doc_id", *(part.alias(f"v{i}") for i, part in enumerate(parts)))
+
+
+def stored_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = views.table(spark, sf_dir, "embeddings")
+    return staged(rows.select("vec_id", "label", F.col("embedding").cast("array<double>").alias("vector")))
 
 
 def cluster_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    result = text_clusters.cluster_texts(views.texts(spark, sf_dir), views.stop_words(spark))
-    return result.centers.withColumn("silhouette", F.lit(result.silhouette))
+    """Cluster centres by component."""
+    vectors = stored_vectors(spark, sf_dir)
+    centers = vector_clusters.k_means(vectors, CENTERS, ROUNDS, views.SEED, 0.0, F.col("vec_id"))
+    rows = vector_clusters.center_rows(vector_clusters.assigned(vectors, centers), centers)
+    return rows.select("cluster", "size", F.posexplode("center").alias("dim", "value")).withColumn(
+        "value", F.round("value", 6) + 0.0
+    )
+
+
+def vector_assignments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = stored_vectors(spark, sf_dir)
+    centers = vector_clusters.k_means(vectors, CENTERS, ROUNDS, views.SEED, 0.0, F.col("vec_id"))
+    return vector_clusters.assigned(vectors, centers).select("vec_id", "predicted_cluster")
 
 
 def silhouette(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labelled = views.table(spark, sf_dir, "embeddings").select(
-        array_to_vector(F.col("embedding").cast("array<double>")).alias("vector"),
-        F.col("label").cast("double").alias("predicted_cluster"),
-    )
-    return spark.createDataFrame([(round(vectors.silhouette(labelled), 9),)], "silhouette double")
+    labelled = stored_vectors(spark, sf_dir).withColumnRenamed("label", "predicted_cluster")
+    return spark.createDataFrame([(round(vector_clusters.silhouette(labelled), 9),)], "silhouette double")
 
 
 def queries() -> dict[str, Query]:
@@ -166,6 +216,7 @@ def queries() -> dict[str, Query]:
         "word_counts_by_source": word_counts_by_source,
         "stopword_filtered_counts": stopword_filtered_counts,
         "common_word_counts": common_word_counts,
+        "stop_file_counts": stop_file_counts,
         "top_common_words": top_common_words,
         "written_word_counts": written_word_counts,
         "csv_texts": csv_texts,
@@ -176,6 +227,10 @@ def queries() -> dict[str, Query]:
         "score_products": score_products,
         "predicted_scores": predicted_scores,
         "recommend": recommendations,
+        "part_co_occurrence": part_co_occurrence,
+        "supplier_scores": supplier_scores,
+        "supplier_recommendations": supplier_recommendations,
+        "ordered_recommendations": ordered_recommendations,
         "scored_questions": scored_questions,
         "domain_points": domain_points,
         "sample_centroids": sample_centroids,
@@ -188,5 +243,6 @@ def queries() -> dict[str, Query]:
         "w2v_vocabulary": w2v_vocabulary,
         "embed_texts": embed_texts,
         "cluster_vectors": cluster_vectors,
+        "vector_assignments": vector_assignments,
         "silhouette": silhouette,
     }

@@ -5,7 +5,7 @@ Every view takes all rows of its tables.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomwork.sources.text_files import tagged_corpora
@@ -65,6 +65,23 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def part_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same of single parts, whose numbers are spread out: many items, most of them rated by few."""
+    return _line_ratings(spark, sf_dir, F.col("l_partkey") * 5003)
+
+
+def supplier_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same of suppliers."""
+    return _line_ratings(spark, sf_dir, F.col("l_suppkey"))
+
+
+def _line_ratings(spark: SparkSession, sf_dir: str, item: Column) -> DataFrame:
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", item.cast("int").alias("item"), F.col("l_quantity").alias("score"))
+    joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    return joined.select(F.col("o_custkey").cast("int").alias("user"), "item", "score")
+
+
 def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders are questions, their line items answers."""
     tag = F.lit(None).cast("string")

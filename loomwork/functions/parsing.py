@@ -25,6 +25,7 @@ def double_or_null(text: Column) -> Column:
     return text.try_cast("double")
 
 
-def required(value: Column, line: Column) -> Column:
-    """``value``, or a failing query that shows the line when it is NULL, whatever the ANSI mode of the session."""
-    return F.coalesce(value, F.raise_error(F.concat(F.lit("malformed line: "), line)))
+def checked(good: Column, line: Column) -> Column:
+    """A condition that is true, or a failing query that shows the line, whatever the ANSI mode of the session."""
+    failure = F.raise_error(F.concat(F.lit("malformed line: "), line)).cast("boolean")
+    return F.when(good, F.lit(True)).otherwise(failure)

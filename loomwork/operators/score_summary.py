@@ -14,8 +14,7 @@ def score_summary(df: DataFrame, group: str, value: str, weight: str) -> DataFra
 
     The median of an even number of values is half the sum of the middle two; it and the mean are truncated. The
     weights per cell locate the one or two cells that hold the middle ranks, and only the values of those cells are
-    ranked one by one. Both windows see summed weights, never rows, and 32-bit values bound them to 65,536 each. Two
-    rows per group are broadcast.
+    ranked one by one. Both windows see summed weights, never rows, and 32-bit values bound them to 65,536 each.
     """
     v, w = F.col(value).cast("bigint"), F.col(weight)
     valued = df.select(group, F.shiftright(v, CELL_BITS).alias("cell"), v.alias("v"), w.alias("w"))
@@ -39,7 +38,7 @@ def score_summary(df: DataFrame, group: str, value: str, weight: str) -> DataFra
     )
 
     keys = [group, "side", "rank", "before", "size", "total"]
-    values = valued.join(F.broadcast(wanted), [group, "cell"]).groupBy(*keys, "v").agg(F.sum("w").alias("w"))
+    values = valued.join(wanted, [group, "cell"]).groupBy(*keys, "v").agg(F.sum("w").alias("w"))
     within = Window.partitionBy(*keys).orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     hits = values.withColumn("until", F.col("before") + F.sum("w").over(within)).filter(
         (F.col("until") - F.col("w") < F.col("rank")) & (F.col("rank") <= F.col("until"))

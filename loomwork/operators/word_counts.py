@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomwork.functions.text import words
+from loomwork.operators.hot_keys import BROADCAST_LIMIT
 
 
 def corpus_words(corpus: DataFrame) -> DataFrame:
@@ -17,12 +18,22 @@ def corpus_words(corpus: DataFrame) -> DataFrame:
 def without_stop_words(tokens: DataFrame, stop: DataFrame) -> DataFrame:
     """Drop rows whose ``word`` is in ``stop``, compared exactly.
 
-    No broadcast is forced: the planner broadcasts a stop list it knows to be small and then filters before the
-    aggregation, or joins a large one on the already counted words.
+    No broadcast is forced; ``counts_without`` decides by the size of the list.
     """
     return tokens.join(stop.select("word"), "word", "left_anti")
 
 
+def counts_without(tokens: DataFrame, stop: DataFrame, few: int = BROADCAST_LIMIT) -> DataFrame:
+    """``(word, n0, n1)`` of all words but the stop words.
+
+    A stop list of at most ``few`` rows, counted first, is broadcast and leaves out occurrences before they are
+    counted and shuffled. A longer one is joined with the counted words.
+    """
+    if stop.limit(few + 1).count() > few:
+        return without_stop_words(paired_counts(tokens), stop)
+    return paired_counts(without_stop_words(tokens, F.broadcast(stop)))
+
+
 def counts_by_source(tokens: DataFrame) -> DataFrame:
     """``(word, source, n)``."""
     return tokens.groupBy("word", "source").agg(F.count("*").alias("n"))

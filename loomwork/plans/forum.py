@@ -42,9 +42,9 @@ def scored_questions(raw: DataFrame) -> DataFrame:
     return postings.scored_questions(raw)
 
 
-def domain_points(scored: DataFrame, domains: Sequence[str] = DOMAINS, spread: int = SPREAD) -> DataFrame:
-    """``(id, x, y)`` of the tagged questions."""
-    return postings.domain_points(scored, domains, spread)
+def domain_points(raw: DataFrame, domains: Sequence[str] = DOMAINS, spread: int = SPREAD) -> DataFrame:
+    """``(id, x, y)`` of the answered and tagged questions among the postings."""
+    return postings.domain_points(raw, domains, spread)
 
 
 def staged_points(points: DataFrame) -> DataFrame:
@@ -79,7 +79,7 @@ def cluster_report(
     The domain is NULL where the centroid lies left of the first one.
     """
     final = lloyd.centroid_list(centroids)
-    located = lloyd.assigned(_weighted(points), final)
+    located = staged(lloyd.assigned(_weighted(points), final))  # the summary reads it twice
     place = F.get(centroid_array(final), F.col("cluster"))
     report = score_summary(located, "cluster", "y", "w").withColumn("at", place).select("*", "at.cx", "at.cy")
     index = F.expr(f"cx div {int(spread)}").cast("int")

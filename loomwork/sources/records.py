@@ -1,6 +1,7 @@
 """Ratings and forum postings from comma-separated lines without a header.
 
-A malformed line fails the query by default; ``malformed="skip"`` leaves such lines out instead. CSV readers are not
+A malformed line fails the query by default, whichever columns it selects: the check is a filter, which pruning of
+columns leaves alone. ``malformed="skip"`` leaves such lines out instead. CSV readers are not
 used: lines may rightly be longer or shorter than the schema, which they either reject or read as silent NULLs.
 """
 
@@ -9,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomwork.functions.parsing import double_or_null, field, fields, int_or_null, required
+from loomwork.functions.parsing import checked, double_or_null, field, fields, int_or_null
 from loomwork.sources.text_files import read_lines
 
 
@@ -52,11 +53,8 @@ def _checked(
 ) -> DataFrame:
     if malformed not in ("raise", "skip"):
         raise ValueError("malformed must be 'raise' or 'skip'")
-    if malformed == "skip":
-        good = F.coalesce(also, F.lit(False))
-        for value in needed.values():
-            good = good & value.isNotNull()
-        return lines.filter(good).select(*[c.alias(n) for n, c in {**needed, **optional}.items()])
-    line = F.col("value")
-    guarded = {n: required(F.when(also, c), line) for n, c in needed.items()}
-    return lines.select(*[c.alias(n) for n, c in {**guarded, **optional}.items()])
+    good = F.coalesce(also, F.lit(False))
+    for value in needed.values():
+        good = good & value.isNotNull()
+    kept = lines.filter(good if malformed == "skip" else checked(good, F.col("value")))
+    return kept.select(*[c.alias(n) for n, c in {**needed, **optional}.items()])

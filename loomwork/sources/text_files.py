@@ -37,8 +37,11 @@ def read_csv_texts(spark: SparkSession, path: str, position: int = 5) -> DataFra
 
 
 def write_key_values(df: DataFrame, path: str, key: str, *values: str, order_by: Column | None = None) -> None:
-    """Write ``key<TAB>value[,value…]`` lines. ``order_by`` sorts across all part files by range partitioning."""
+    """Write ``key<TAB>value[,value…]`` lines, an empty string for NULL.
+
+    ``order_by`` sorts across all part files by range partitioning.
+    """
     if order_by is not None:
         df = df.orderBy(order_by)
-    value = F.concat_ws(",", *[F.col(v).cast("string") for v in values])
-    df.select(F.concat_ws("\t", F.col(key).cast("string"), value).alias("value")).write.text(path)
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in (key, *values)]
+    df.select(F.concat(parts[0], F.lit("\t"), F.concat_ws(",", *parts[1:])).alias("value")).write.text(path)

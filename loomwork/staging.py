@@ -10,6 +10,8 @@ Where Spark runs on one machine and names no folder, the step is persisted in Sp
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -24,10 +26,29 @@ def staging_folder(spark: SparkSession) -> str | None:
     return folder
 
 
+_made: list[str] | None = None  # paths of the running job
+
+
+@contextmanager
+def job_staging(spark: SparkSession) -> Iterator[None]:
+    """Delete what was staged inside when the job ends."""
+    global _made
+    outer, _made = _made, []
+    try:
+        yield
+    finally:
+        for path in _made:
+            delete(spark, path)
+        _made = outer
+
+
 def staging_path(spark: SparkSession) -> str:
     """A new path in the shared folder, for steps that write files; on one machine that names none, in the warehouse."""
     folder = staging_folder(spark) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{folder.rstrip('/')}/loomwork-{uuid.uuid4().hex}"
+    path = f"{folder.rstrip('/')}/loomwork-{uuid.uuid4().hex}"
+    if _made is not None:
+        _made.append(path)
+    return path
 
 
 def spread(table: DataFrame) -> DataFrame:

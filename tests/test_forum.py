@@ -52,11 +52,30 @@ def test_a_question_with_a_third_of_all_answers(spark):
 
 
 def test_points_of_listed_unlisted_and_missing_tags(spark):
-    scored = spark.createDataFrame(
-        [(1, "Machine-Learning", 0, 5), (2, "Architecture", 0, 6), (3, "Unlisted", 0, 7), (4, None, 0, 8)],
-        "id int, tags string, score int, best int",
-    )
-    assert rows(forum.domain_points(scored)) == [(1, 0, 5), (2, 700000, 6), (3, -50000, 7)]
+    raw = postings(
+        spark, "1,1,,0,Machine-Learning", "1,2,,0,Architecture", "1,3,,0,Unlisted", "1,4,,0", "1,5,,0,Security",
+        *[f"2,{90 + i},{i},{4 + i}" for i in range(1, 5)], "2,99,1,-7", "2,98,77,5", "2,97,,5", "3,1,1,99",
+    )
+    assert rows(forum.domain_points(raw)) == [(1, 0, 5), (2, 700000, 6), (3, -50000, 7)]
+
+
+def test_points_equal_the_scored_questions(spark):
+    """Shared ids take the smallest tag, whether listed, between the listed ones or missing."""
+    rng = random.Random(9)
+    tags = [*forum.DOMAINS, "", "AAA", "Big", "Data", "Zzz", "Security ", "security", None]
+    lines_ = []
+    for _ in range(400):
+        tag = rng.choice(tags)
+        lines_.append(f"1,{rng.randrange(60)},,{rng.randrange(9)}" + ("" if tag is None else f",{tag}"))
+        lines_.append(f"2,7,{rng.randrange(80)},{rng.randrange(-5, 50)}")
+    raw = postings(spark, *lines_).repartition(4)
+    expected = [
+        (r.id, (forum.DOMAINS.index(r.tags) if r.tags in forum.DOMAINS else -1) * forum.SPREAD, r.best)
+        for r in forum.scored_questions(raw).collect() if r.tags is not None
+    ]
+    assert rows(forum.domain_points(raw)) == sorted(expected, key=repr)
+    plan = forum.domain_points(raw)._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and plan.count("HashAggregate") == 2
 
 
 def test_there_are_fifteen_domains():

@@ -40,7 +40,16 @@ def test_forum(spark, lines, tmp_path):
 def test_texts(spark, lines, tmp_path):
     texts = [f'0,{i},d,q,u,"{t}"' for i, t in enumerate(["good day, sun", "bad night moon"] * 10)]
     out = str(tmp_path / "out")
-    main(["texts", lines("t", *texts), lines("s", "day"), out])
-    centers = [json.loads(line) for line in output(out)]
-    assert sum(c["size"] for c in centers) == 20 and all(len(c["center"]) == 100 for c in centers)
+    main(["texts", lines("t", *texts), lines("s", "day"), out, "--vector-size", "10", "--max-iter", "5"])
+    centers = [json.loads(line) for line in output(f"{out}/centers")]
+    assert sum(c["size"] for c in centers) == 20 and all(len(c["center"]) == 10 for c in centers)
     assert -1 <= centers[0]["silhouette"] <= 1
+    clusters = [json.loads(line) for line in output(f"{out}/clusters")]
+    assert len(clusters) == 20 and {c["text"] for c in clusters} == {"good day, sun", "bad night moon"}
+    assert len({(c["text"], c["predicted_cluster"]) for c in clusters}) == 2
+
+
+def test_recommend_in_text_order(spark, lines, tmp_path):
+    out = str(tmp_path / "out")
+    main(["recommend", lines("r", "2,1,1", "2,30,1", "2,4,1", "10,1,1"), out, "--sorted"])
+    assert output(out) == ["10\t30,1.0", "10\t4,1.0"]

@@ -1,14 +1,16 @@
 from __future__ import annotations
 
 import glob
+import os
 
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from loomwork.plans import recommend
+from loomwork import staging
+from loomwork.plans import forum, recommend
 from loomwork.sources import records, text_files
-from loomwork.staging import staging_folder
+from loomwork.staging import discard, job_staging, staged, staging_folder
 from tests.conftest import rows
 
 
@@ -34,7 +36,7 @@ def test_ratings_ignore_further_fields(spark, lines):
 
 def test_users_and_items_are_numbers(spark, lines):
     ratings = records.read_ratings(spark, lines("r.csv", "007,10,5", "7,010,3"))
-    assert rows(recommend.user_score_vectors(ratings).select("user", F.size("scores"))) == [(7, 1)]
+    assert rows(recommend.user_score_vectors(ratings).select("user", "scores")) == [(7, [(10, 3.0, 1), (10, 5.0, 1)])]
 
 
 @pytest.mark.parametrize("bad", ["x,1,2", "1,2", "1,2,", " 1,2,3", "1,99999999999,3", ""])
@@ -75,6 +77,16 @@ def test_malformed_postings_fail_or_are_skipped(spark, lines, bad):
     assert rows(records.read_postings(spark, path, malformed="skip")) == [(2, 28, 27, 3, None)]
 
 
+def test_pruned_columns_do_not_hide_malformed_lines(spark, lines):
+    ratings = lines("r.csv", "1,10,abc", "x,2,3", "1,2,3")
+    with pytest.raises(PySparkException, match="malformed line"):
+        records.read_ratings(spark, ratings).count()
+    with pytest.raises(PySparkException, match="malformed line"):
+        records.read_ratings(spark, lines("s.csv", "1,10,abc")).select("user", "item").collect()
+    with pytest.raises(PySparkException, match="malformed line"):
+        forum.scored_questions(records.read_postings(spark, lines("p.csv", "1,1,,0,Tag", "3,5,,zz"))).collect()
+
+
 def test_csv_texts_take_the_sixth_column(spark, lines):
     path = lines("t.csv", '0,1,d,q,u,"Hello, world"', "4,2,d,q,u,bye,extra", "1,2")
     assert rows(text_files.read_csv_texts(spark, path)) == [("Hello, world",), ("bye",), (None,)]
@@ -98,6 +110,28 @@ def test_recommendations_are_written_in_text_order(spark, tmp_path):
     assert written(path) == ["10\t2,0.0\n", "2\t11,4.5\n", "2\t3,1.0\n"]
 
 
+def test_key_value_sink_writes_nulls_as_empty(spark, tmp_path):
+    rows_ = spark.createDataFrame([(1, None, 2), (None, "x", None)], "k int, a string, b int")
+    text_files.write_key_values(rows_, str(tmp_path / "out"), "k", "a", "b")
+    assert sorted(written(str(tmp_path / "out"))) == ["\tx,\n", "1\t,2\n"]
+
+
+def test_a_single_machine_without_a_folder_stages_in_spark(spark, monkeypatch):
+    monkeypatch.setattr(staging, "staging_folder", lambda session: None)
+    kept = staged(spark.range(5))
+    assert kept.count() == 5 and kept.storageLevel.useDisk and not kept.inputFiles()
+    discard(kept)
+    assert not kept.storageLevel.useDisk
+
+
+def test_a_job_deletes_what_it_staged(spark):
+    with job_staging(spark):
+        table = staged(spark.range(5))
+        folder = os.path.dirname(table.inputFiles()[0].removeprefix("file://"))
+        assert os.path.isdir(folder)
+    assert not os.path.exists(folder)
+
+
 def test_staging_refuses_a_local_folder_on_a_cluster():
     class Context:
         master = "spark://host:7077"
