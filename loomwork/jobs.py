@@ -31,8 +31,8 @@ def run_recommend(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def run_forum(spark: SparkSession, args: argparse.Namespace) -> None:
     """The cluster report as CSV with a header, lowest average first."""
-    scored = forum.scored_questions(records.read_postings(spark, args.postings, args.malformed))
-    points = forum.staged_points(forum.domain_points(scored, spread=args.spread))
+    raw = records.read_postings(spark, args.postings, args.malformed)
+    points = forum.staged_points(forum.domain_points(raw, spread=args.spread))
     drawn = forum.sample_centroids(points, args.k, args.seed)
     final = forum.lloyd_kmeans(points, drawn, args.eta, args.max_iter)
     forum.cluster_report(points, final, spread=args.spread).coalesce(1).write.csv(args.output, header=True)
