@@ -60,10 +60,14 @@ def spread(table: DataFrame) -> DataFrame:
     return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
 
 
-def staged(df: DataFrame) -> DataFrame:
-    """Write ``df`` once and return a scan of what was written."""
+def staged(df: DataFrame, in_loop: bool = False) -> DataFrame:
+    """Write ``df`` once and return a scan of what was written.
+
+    Where no folder is named, only steps ``in_loop`` are written (to the warehouse): the plan of a persisted table still
+    holds all its steps, which would multiply from round to round.
+    """
     spark = df.sparkSession
-    if not staging_folder(spark):
+    if not staging_folder(spark) and not in_loop:
         kept = df.persist(StorageLevel.DISK_ONLY)
         kept.write.format("noop").mode("overwrite").save()
         return kept
@@ -75,9 +79,9 @@ def staged(df: DataFrame) -> DataFrame:
 def discard(table: DataFrame) -> None:
     """Delete what ``staged`` wrote. Only for tables that nothing reads any more."""
     spark = table.sparkSession
+    persisted = table.storageLevel.useDisk
     table.unpersist()
-    folder = staging_folder(spark)
-    for name in {file.rpartition("/")[0] for file in table.inputFiles()} if folder else ():
+    for name in () if persisted else {file.rpartition("/")[0] for file in table.inputFiles()}:
         if "/loomwork-" in name:
             delete(spark, name)
 
