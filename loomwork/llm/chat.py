@@ -53,18 +53,18 @@ def tree_paths(messages: DataFrame) -> DataFrame:
     """
     nodes = staged(messages.select("tree", "node", "parent"))
     up = nodes.join(nodes.select("tree", F.col("node").alias("parent")), ["tree", "parent"], "left_semi")
-    up = staged(up.select("tree", "node", "parent"))
+    up = staged(up.select("tree", "node", "parent"), in_loop=True)
     answered = up.select("tree", F.col("parent").alias("node"))
     leaves = nodes.join(answered, ["tree", "node"], "left_anti")
-    paths = staged(leaves.select("tree", F.col("node").alias("leaf"), "node", F.lit(0).cast("long").alias("back")))
+    paths = staged(leaves.select("tree", F.col("node").alias("leaf"), "node", F.lit(0).cast("long").alias("back")), in_loop=True)
     steps, most = 1, nodes.count()
     while not up.isEmpty():
         if steps > most:
             raise ValueError("replies in a circle")
         above = paths.join(up, ["tree", "node"]).select("tree", "leaf", F.col("parent").alias("node"), F.col("back") + steps)
-        longer = staged(paths.union(above))
+        longer = staged(paths.union(above), in_loop=True)
         further = up.select("tree", F.col("node").alias("parent"), F.col("parent").alias("above"))
-        jump = staged(up.join(further, ["tree", "parent"]).select("tree", "node", F.col("above").alias("parent")))
+        jump = staged(up.join(further, ["tree", "parent"]).select("tree", "node", F.col("above").alias("parent")), in_loop=True)
         discard(paths)
         discard(up)
         paths, up, steps = longer, jump, 2 * steps

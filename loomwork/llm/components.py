@@ -24,15 +24,15 @@ def components(edges: DataFrame) -> DataFrame:
     """
     a, b = edges.columns
     one_way = edges.where(F.col(a) != F.col(b)).select(F.col(a).alias("u"), F.col(b).alias("v"))
-    left = staged(one_way.unionByName(one_way.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct())
+    left = staged(one_way.unionByName(one_way.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct(), in_loop=True)
     moves: list[DataFrame] = []
     while not left.isEmpty():
         rank = [F.xxhash64(F.lit(len(moves)), F.col(c)) for c in ("u", "v")]
         nearest = left.groupBy("u").agg(F.min(rank[1]).alias("first"), F.min_by("v", rank[1]).alias("v"))
-        move = staged(nearest.select("u", F.when(F.col("first") < rank[0], F.col("v")).otherwise(F.col("u")).alias("to")))
+        move = staged(nearest.select("u", F.when(F.col("first") < rank[0], F.col("v")).otherwise(F.col("u")).alias("to")), in_loop=True)
         moved = left.join(move, "u").select("v", F.col("to").alias("a"))
         moved = moved.join(move.withColumnRenamed("u", "v"), "v").select("a", F.col("to").alias("b"))
-        contracted = staged(moved.where("a != b").select(F.col("a").alias("u"), F.col("b").alias("v")).distinct())
+        contracted = staged(moved.where("a != b").select(F.col("a").alias("u"), F.col("b").alias("v")).distinct(), in_loop=True)
         discard(left)
         left = contracted
         moves.append(move)
