@@ -14,16 +14,16 @@ is longer than the corpus divided by the table's rows.
 
 Decoding joins every id with its piece, the bytes of the vocabulary's entry.
 
-Defined results: a NULL or empty text has no ids; every row is encoded for itself, whatever ids repeat (rows with equal
-id and text share a key and get equal ids). Only ``doc_id`` and ``text`` are read.
+Defined results: a NULL or empty text has no ids; every row is encoded for itself, whatever ids repeat (rows whose ids
+repeat are told apart by their texts). Only ``doc_id`` and ``text`` are read.
 """
 
 from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
-from functools import lru_cache, partial
+from collections.abc import Callable, Iterator
+from functools import cached_property, lru_cache, partial
 from itertools import repeat
 
 import numpy as np
@@ -39,8 +39,9 @@ from loomwork.staging import discard, staged
 #: Rows of the table that goes to every task, and the fewest occurrences in a task that let a word be counted for it.
 FREQUENT = 1 << 19
 LOCALLY = 3
+_HELD_WORDS = 1 << 20
 _ROWS = 250
-_KEY = "k1 long, k2 int"
+_KEY = "key long, hashed boolean"
 
 
 class Words:
@@ -69,31 +70,67 @@ def _count(batches: Iterator[pa.RecordBatch], tokenizer: str) -> Iterator[pa.Rec
     for batch in batches:
         for text in batch.column("text").to_pylist():
             counts.update(words(text))
-            if len(counts) > 4 * FREQUENT:
+            if len(counts) > _HELD_WORDS:
                 yield told()
                 counts.clear()
     yield told()
 
 
+def id_type(tokenizer: str) -> str:
+    """The narrower of two types that holds every id; in it ids travel between steps."""
+    return "<u2" if len(pieces(tokenizer)) <= 1 << 16 else "<u4"
+
+
+def narrow(ids: list[bytes], kind: str) -> list[bytes]:
+    """Ids of words, each in ``kind`` instead of 32 bits."""
+    data, size = np.frombuffer(b"".join(ids), "<u4").astype(kind).tobytes(), np.dtype(kind).itemsize
+    ends = (np.cumsum([0, *map(len, ids)]) // 4 * size).tolist()
+    return [data[a:b] for a, b in zip(ends, ends[1:])]
+
+
 def _encode_words(batches: Iterator[pa.RecordBatch], tokenizer: str) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids = encoder(tokenizer).encode(batch.column("word").to_pylist())
+        ids = narrow(encoder(tokenizer).encode(batch.column("word").to_pylist()), id_type(tokenizer))
         yield pa.RecordBatch.from_arrays([batch.column("word"), pa.array(ids, pa.binary())], ["word", "ids"])
 
 
-def _frequent(texts: DataFrame, tokenizer: str, rows: int) -> tuple[list[str], list[bytes]]:
-    """The words that occur most with their ids, by falling count."""
+class FrequentWords:
+    """Words with their ids by falling count. Travels as Arrow bytes; tasks unfold what they need once a process."""
+
+    def __init__(self, table: pa.Table):
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, table.schema) as stream:
+            stream.write_table(table)
+        self.data = sink.getvalue().to_pybytes()
+
+    def __getstate__(self) -> dict:
+        return {"data": self.data}
+
+    def _column(self, name: str) -> list:
+        return pa.ipc.open_stream(self.data).read_all().column(name).to_pylist()
+
+    @cached_property
+    def rank(self) -> dict[str, int]:
+        return {w: i for i, w in enumerate(self._column("word"))}
+
+    @cached_property
+    def ids(self) -> list[bytes]:
+        return [*self._column("ids"), b""]  # rank -1 is filled by position
+
+
+def _frequent(texts: DataFrame, tokenizer: str, rows: int) -> FrequentWords:
+    """The words that occur most, with their ids."""
     counted = texts.mapInArrow(partial(_count, tokenizer=tokenizer), "word string, n long")
     top = counted.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(rows)
     table = staged(top.select("word").mapInArrow(partial(_encode_words, tokenizer=tokenizer), "word string, ids binary"))
-    found = table.toArrow()
+    found = FrequentWords(table.toArrow())
     discard(table)
-    return found.column("word").to_pylist(), found.column("ids").to_pylist()
+    return found
 
 
-def _rare(batches: Iterator[pa.RecordBatch], tokenizer: str, ranks) -> Iterator[pa.RecordBatch]:
+def _rare(batches: Iterator[pa.RecordBatch], tokenizer: str, table) -> Iterator[pa.RecordBatch]:
     """Key, position and word of the words outside the table."""
-    words, rank = Words(tokenizer), ranks.value
+    words, rank = Words(tokenizer), table.value.rank
     for whole in batches:
         for batch in slices(whole, _ROWS):
             key, position, found = [], [], []
@@ -103,8 +140,8 @@ def _rare(batches: Iterator[pa.RecordBatch], tokenizer: str, ranks) -> Iterator[
                         key.append(row)
                         position.append(i)
                         found.append(word)
-            keys = batch.select(["k1", "k2"]).take(pa.array(key, pa.int64()))
-            yield pa.RecordBatch.from_arrays([*keys.columns, pa.array(position, pa.int32()), pa.array(found, pa.string())], ["k1", "k2", "position", "word"])
+            keys = batch.select(["key", "hashed"]).take(pa.array(key, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*keys.columns, pa.array(position, pa.int32()), pa.array(found, pa.string())], ["key", "hashed", "position", "word"])
 
 
 def _encode_runs(batches: Iterator[pa.RecordBatch], tokenizer: str) -> Iterator[pa.RecordBatch]:
@@ -114,16 +151,16 @@ def _encode_runs(batches: Iterator[pa.RecordBatch], tokenizer: str) -> Iterator[
         words = batch.column("word").dictionary_encode()
         new = words.dictionary.to_pylist()
         ids = [last[1]] if new and new[0] == last[0] else []
-        ids += encoder(tokenizer).encode(new[len(ids) :])
+        ids += narrow(encoder(tokenizer).encode(new[len(ids) :]), id_type(tokenizer))
         if new:
             last = new[-1], ids[-1]
         found = pa.array(ids, pa.binary()).take(words.indices)
-        yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("k1", "k2", "position")] + [found], ["k1", "k2", "position", "ids"])
+        yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("key", "hashed", "position")] + [found], ["key", "hashed", "position", "ids"])
 
 
-def _ranked(batches: Iterator[pa.RecordBatch], tokenizer: str, ranks) -> Iterator[pa.RecordBatch]:
+def _ranked(batches: Iterator[pa.RecordBatch], tokenizer: str, table) -> Iterator[pa.RecordBatch]:
     """Each text as the ranks of its words, -1 for those outside the table; low and high bytes apart, compressed."""
-    words, rank, press = Words(tokenizer), ranks.value, zstandard.ZstdCompressor(level=3)
+    words, rank, press = Words(tokenizer), table.value.rank, zstandard.ZstdCompressor(level=3)
     for whole in batches:
         for batch in slices(whole, _ROWS):
             codes = []
@@ -135,9 +172,9 @@ def _ranked(batches: Iterator[pa.RecordBatch], tokenizer: str, ranks) -> Iterato
             yield pa.RecordBatch.from_pydict(columns | {"ranks": pa.array(codes, pa.binary())})
 
 
-def _assemble(batches: Iterator[pa.RecordBatch], table) -> Iterator[pa.RecordBatch]:
+def _assemble(batches: Iterator[pa.RecordBatch], table, kind: str) -> Iterator[pa.RecordBatch]:
     """Ranks and ids from elsewhere, joined by position."""
-    known, press = table.value, zstandard.ZstdDecompressor()
+    known, press = table.value.ids, zstandard.ZstdDecompressor()
     for whole in batches:
         for batch in slices(whole, _ROWS):
             out = []
@@ -149,7 +186,7 @@ def _assemble(batches: Iterator[pa.RecordBatch], table) -> Iterator[pa.RecordBat
                 n = ends[row + 1] - ends[row]
                 for i, found in zip(positions.slice(ends[row], n).to_pylist(), ids.slice(ends[row], n).to_pylist()):
                     parts[i] = found
-                out.append(b"".join(parts))
+                out.append(np.frombuffer(b"".join(parts), kind).astype("<u4").tobytes())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out, pa.binary())], ["doc_id", "ids"])
 
 
@@ -159,19 +196,47 @@ def encode(documents: DataFrame, tokenizer: str, frequent: int = FREQUENT) -> Da
     ``tokenizer`` is a byte-level BPE file of the tokenizers library. No special token is added; the tokenizer's special
     tokens are recognised inside texts.
     """
+    joined, assemble = _joined(documents, tokenizer, frequent)
+    return joined.mapInArrow(assemble, "doc_id long, ids binary")
+
+
+def encode_and_decode(documents: DataFrame, tokenizer: str, frequent: int = FREQUENT) -> DataFrame:
+    """``doc_id, ids, decoded``: ``encode`` and ``decode`` in one pass over the joined rows."""
+    joined, assemble = _joined(documents, tokenizer, frequent)
+    return joined.mapInArrow(partial(_both, assemble=assemble, tokenizer=tokenizer), "doc_id long, ids binary, decoded string")
+
+
+def _both(batches: Iterator[pa.RecordBatch], assemble, tokenizer: str) -> Iterator[pa.RecordBatch]:
+    return _decode(assemble(batches), tokenizer)
+
+
+def _joined(documents: DataFrame, tokenizer: str, frequent: int) -> tuple[DataFrame, Callable]:
+    """Rows of ranks beside the ids that came back, and the function that assembles them."""
     context = documents.sparkSession.sparkContext
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    words, ids = _frequent(texts.select("text"), tokenizer, frequent)
-    ranks = context.broadcast({w: i for i, w in enumerate(words)})
-    table = context.broadcast([*ids, b""])  # rank -1 is filled by position
-    keyed = texts.select(F.xxhash64("doc_id", "text").alias("k1"), F.hash("doc_id", "text").alias("k2"), "doc_id", "text")
-    rare = keyed.drop("doc_id").mapInArrow(partial(_rare, tokenizer=tokenizer, ranks=ranks), f"{_KEY}, position int, word string")
-    runs = rare.repartition("word").sortWithinPartitions("word")
+    table = context.broadcast(_frequent(texts.select("text"), tokenizer, frequent))
+    keyed = _keyed(texts)
+    rare = keyed.drop("doc_id").mapInArrow(partial(_rare, tokenizer=tokenizer, table=table), f"{_KEY}, position int, word string")
+    # In order of words before the shuffle too: neighbours in its blocks are alike and compress.
+    runs = rare.sortWithinPartitions("word").repartition("word").sortWithinPartitions("word")
     encoded = runs.mapInArrow(partial(_encode_runs, tokenizer=tokenizer), f"{_KEY}, position int, ids binary")
-    by_text = encoded.groupBy("k1", "k2").agg(F.collect_list(F.struct("position", "ids")).alias("rare"))
-    ranked = keyed.mapInArrow(partial(_ranked, tokenizer=tokenizer, ranks=ranks), f"{_KEY}, doc_id long, ranks binary")
-    joined = ranked.join(by_text, ["k1", "k2"], "left").select("doc_id", "ranks", F.coalesce("rare", F.array().cast("array<struct<position:int,ids:binary>>")).alias("rare"))
-    return joined.mapInArrow(partial(_assemble, table=table), "doc_id long, ids binary")
+    by_text = encoded.repartition("key", "hashed").groupBy("key", "hashed").agg(F.collect_list(F.struct("position", "ids")).alias("rare"))
+    ranked = keyed.mapInArrow(partial(_ranked, tokenizer=tokenizer, table=table), f"{_KEY}, doc_id long, ranks binary")
+    none = F.array().cast("array<struct<position:int,ids:binary>>")
+    joined = ranked.join(by_text, ["key", "hashed"], "left").select("doc_id", "ranks", F.coalesce("rare", none).alias("rare"))
+    return joined, partial(_assemble, table=table, kind=id_type(tokenizer))
+
+
+def _keyed(texts: DataFrame) -> DataFrame:
+    """``key, hashed, doc_id, text``: the id is the key, or the text's hash where ids repeat or are missing."""
+    repeated = staged(texts.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"))
+    if repeated.isEmpty():
+        hashed = F.col("doc_id").isNull()
+        rows = texts
+    else:
+        rows = texts.join(repeated.withColumn("again", F.lit(True)), "doc_id", "left")
+        hashed = F.col("doc_id").isNull() | F.col("again").isNotNull()
+    return rows.select(F.when(hashed, F.xxhash64("text")).otherwise(F.col("doc_id")).alias("key"), hashed.alias("hashed"), "doc_id", "text")
 
 
 @lru_cache(maxsize=2)

@@ -19,7 +19,7 @@ nothing.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import partial
 from itertools import repeat
 
@@ -181,8 +181,8 @@ def _pieces(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Recor
         )
 
 
-def _automata(benchmark: DataFrame, window: int, limit: int) -> Iterator[ItemAutomaton]:
-    """One automaton for each block of items, built from a bounded number of words."""
+def _automata(benchmark: DataFrame, window: int, limit: int) -> Iterator[tuple[ItemAutomaton, bool]]:
+    """One automaton for each block of items, built from a bounded number of words, and whether it is the last."""
     pieces = staged(
         benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
         .mapInArrow(partial(_pieces, window=window), "item_id long, words binary, n long")
@@ -192,7 +192,7 @@ def _automata(benchmark: DataFrame, window: int, limit: int) -> Iterator[ItemAut
     blocks = -(-total // limit)
     for block in range(blocks):
         chosen = pieces.where(F.pmod(F.xxhash64("words"), F.lit(blocks)) == block)
-        yield ItemAutomaton([(row.item_id, row.words.split()) for row in chosen.collect()], window)
+        yield ItemAutomaton([(row.item_id, row.words.split()) for row in chosen.collect()], window), block + 1 == blocks
     discard(pieces)
 
 
@@ -225,15 +225,23 @@ def marked(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, lim
 
     Columns of ``documents`` with these four names are replaced.
     """
+    rows, mark, schema = _before_last(documents, benchmark, window, limit)
+    return rows.mapInArrow(mark, schema)
+
+
+def _before_last(documents: DataFrame, benchmark: DataFrame, window: int, limit: int) -> tuple[DataFrame, Callable, str]:
+    """Rows after all passes but the last, the function of that, and the schema it gives."""
     own = {"hits": "binary", "items": "array<long>", "n_words": "long", "n_hit": "long"}
     rows = documents.drop(*own).withColumns({c: F.lit(None).cast(own[c]) for c in ("hits", "items")})
     kept = [f"`{c}` {kind}" for c, kind in rows.dtypes if c not in own]
     schema = ", ".join([*kept, *(f"{c} {kind}" for c, kind in own.items())])
-    context, passes = documents.sparkSession.sparkContext, 0
-    for automaton in _automata(benchmark, window, limit):
-        rows = (staged(rows) if passes else rows).mapInArrow(partial(_mark, shared=context.broadcast(automaton)), schema)
-        passes += 1
-    return rows if passes else rows.mapInArrow(partial(_mark, shared=None), schema)
+    context = documents.sparkSession.sparkContext
+    for automaton, last in _automata(benchmark, window, limit):
+        mark = partial(_mark, shared=context.broadcast(automaton))
+        if last:
+            return rows, mark, schema
+        rows = staged(rows.mapInArrow(mark, schema))
+    return rows, partial(_mark, shared=None), schema
 
 
 def contamination(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, limit: int = AUTOMATON_WORDS) -> DataFrame:
@@ -255,8 +263,11 @@ def without_marked(text: bytes, hits: np.ndarray) -> bytes:
     return b"".join([*parts, text[at:]])
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+def _cut(batches: Iterator[pa.RecordBatch], mark, max_coverage: float) -> Iterator[pa.RecordBatch]:
+    """Mark, leave out what is mostly hit, cut the rest."""
+    for marked_batch in mark(batches):
+        n_hit, n_words = (marked_batch.column(c).to_numpy() for c in ("n_hit", "n_words"))
+        batch = marked_batch.filter(pa.array(n_hit <= max_coverage * n_words))
         texts = utf8(batch, "text")
         for i, (marks, n) in enumerate(zip(batch.column("hits").to_pylist(), batch.column("n_words").to_pylist())):
             if marks is not None:
@@ -269,7 +280,6 @@ def decontaminated(documents: DataFrame, benchmark: DataFrame, window: int = WIN
 
     A document of whose words more than ``max_coverage`` are hit goes as a whole. All others stay.
     """
-    rows = apart(documents)
-    schema = rows.schema
-    rows = marked(rows, benchmark, window).where(F.col("n_hit") <= max_coverage * F.col("n_words"))
-    return together(rows.drop("items", "n_hit").mapInArrow(_cut, schema), documents)
+    whole = apart(documents)
+    rows, mark, _ = _before_last(whole, benchmark, window, AUTOMATON_WORDS)
+    return together(rows.mapInArrow(partial(_cut, mark=mark, max_coverage=max_coverage), whole.schema), documents)

@@ -340,7 +340,9 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
 def deduplicated(documents: DataFrame) -> DataFrame:
     """The rows of ``documents`` that stay: of each group that with the smallest ``doc_id``, and of repeated rows one."""
     found = staged(near_duplicates(documents))
-    stays = documents.join(found.where("not kept").select("doc_id").distinct(), "doc_id", "left_anti").select(*documents.columns)
+    gone = found.where("not kept").select("doc_id").distinct()
+    # As many as a share of all documents: the same kind of join at every size.
+    stays = documents.join(gone.hint("merge"), "doc_id", "left_anti").select(*documents.columns)
     repeated = found.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1")
     if repeated.isEmpty():
         return stays

@@ -26,12 +26,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomwork.llm.arrow_rows import slices, utf8
+from loomwork.staging import discard, staged
 
 #: Bounds of the sample the classifiers are fitted on.
-LABELLED, POOL = 20_000, 20_000
+LABELLED, POOL = 10_000, 10_000
 ROUNDS = 5
 #: What either view hands over in a round: at most this share of the pool, of documents it is this sure of.
 HANDED, SURE = 0.05, 0.95
+#: How strongly calibration is held back, in held-out documents.
+HELD_BACK = 5.0
 #: Documents below this probability of good quality are rejected.
 KEEP = 0.5
 _ROWS = 500
@@ -94,19 +97,30 @@ class Logistic(NamedTuple):
         return self.slope * score + self.offset
 
 
-def newton(x: np.ndarray, y: np.ndarray, decay: float, steps: int = 25) -> np.ndarray:
-    """Weights of a logistic regression, the constant first; ``decay`` holds all others small."""
+def newton(x: np.ndarray, y: np.ndarray, decay: float, base: np.ndarray | float = 0.0, free: float = 1e-6, steps: int = 25) -> np.ndarray:
+    """Weights of a logistic regression added to the odds ``base``, the constant first.
+
+    ``decay`` holds the weights small, ``free`` the constant.
+    """
     full = np.hstack((np.ones((len(x), 1)), x))
     penalty = np.full(full.shape[1], decay)
-    penalty[0] = 1e-6
+    penalty[0] = free
     weights = np.zeros(full.shape[1])
+
+    def cost(w: np.ndarray) -> float:
+        odds = full @ w + base
+        return float((np.logaddexp(0, odds) - y * odds).sum() + (penalty * w * w).sum() / 2)
+
+    now = cost(weights)
     for _ in range(steps):
-        p = sigmoid(full @ weights)
+        p = sigmoid(full @ weights + base)
         curve = (full * np.maximum(p * (1 - p), 1e-6)[:, None]).T @ full + np.diag(penalty)
         step = np.linalg.solve(curve, full.T @ (y - p) - penalty * weights)
-        weights = weights + step * min(1.0, 5 / max(1e-12, np.abs(step).max()))
-        if np.abs(step).max() < 1e-6:
+        # Shorter steps where the full one overshoots.
+        then = min((cost(weights + step / 2**k), k) for k in range(12))
+        if then[0] >= now - 1e-9 * (1 + abs(now)):
             break
+        weights, now = weights + step / 2 ** then[1], then[0]
     return weights
 
 
@@ -116,11 +130,17 @@ def fitted(x: np.ndarray, y: np.ndarray) -> Logistic:
 
 
 def calibrated(view: Logistic, x: np.ndarray, y: np.ndarray) -> Logistic:
-    """Slope and offset of the score that fit held-out labels best."""
-    if len(set(y.tolist())) < 2:
+    """Slope and offset of the score that fit held-out labels best.
+
+    Few labels move them little from 1 and 0, and count as slightly less than certain.
+    """
+    if not len(y):
         return view
-    offset, slope = newton(view.odds(x)[:, None], y, decay=1e-2)
-    return view._replace(slope=float(slope), offset=float(offset))
+    good, bad = y.sum(), len(y) - y.sum()
+    soft = np.where(y == 1, (good + 1) / (good + 2), 1 / (bad + 2))
+    score = view.odds(x)
+    offset, steeper = newton(score[:, None], soft, decay=HELD_BACK, base=score, free=HELD_BACK)
+    return view._replace(slope=float(1 + steeper), offset=float(offset))
 
 
 class Model(NamedTuple):
@@ -141,18 +161,22 @@ def co_trained(views: tuple[np.ndarray, np.ndarray], y: np.ndarray, held_out: np
     models = [fitted(x[train], y[train]) for x in views]
     for _ in range(ROUNDS):
         for which in (0, 1):
-            p = sigmoid(models[which].odds(pool[which])) if len(pool[which]) else np.zeros(0)
+            # By calibrated probabilities, so a view that knows nothing is sure of nothing.
+            view = calibrated(models[which], views[which][~train], y[~train])
+            p = sigmoid(view.odds(pool[which])) if len(pool[which]) else np.zeros(0)
+            fresh, most = {}, {}
             for label, sure in ((1.0, p), (0.0, 1 - p)):
-                share = (y[train] == label).mean()
-                most = int(HANDED * len(p) * share) + 1
-                best = [i for i in np.argsort(-sure, kind="stable")[:most].tolist() if sure[i] >= SURE]
-                given[1 - which].update(dict.fromkeys(best, label))
+                most[label] = HANDED * len(p) * (y[train] == label).mean()
+                fresh[label] = [i for i in np.argsort(-sure, kind="stable").tolist() if sure[i] >= SURE and i not in given[1 - which]]
+            # Both labels in the shares they have, or the learner's prior would drift.
+            part = min(1.0, *(len(fresh[label]) / max(most[label], 1e-9) for label in most))
+            for label, rows in fresh.items():
+                given[1 - which].update(dict.fromkeys(rows[: int(part * most[label])], label))
         for which in (0, 1):
             rows = sorted(given[which])
             x = np.vstack((views[which][train], pool[which][rows]))
             models[which] = fitted(x, np.concatenate((y[train], [given[which][i] for i in rows])))
-    if (~train).any():
-        models = [calibrated(m, x[~train], y[~train]) for m, x in zip(models, views)]
+    models = [calibrated(m, x[~train], y[~train]) for m, x in zip(models, views)]
     good = (y.sum() + 1) / (len(y) + 2)
     return Model(models[0], models[1], float(np.log(good / (1 - good))))
 
@@ -169,28 +193,32 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), *(pa.array(v, pa.binary()) for v in views)], ["doc_id", "label", "text", "meta"])
 
 
-def _inputs(documents: DataFrame, *more: str) -> DataFrame:
+def _inputs(documents: DataFrame, *more: Column) -> DataFrame:
     """The columns the views read, with their types."""
     kinds = {"text": "string", "lang": "string", "source": "string", "n_chars": "long"}
     return documents.select(*more, *(F.col(c).cast(k).alias(c) for c, k in kinds.items()))
 
 
-def _bound(ids: DataFrame, n: int) -> Column:
-    """The largest hash of a sample of ``n`` ids, as a condition on ``doc_id``."""
-    hashes = ids.select(F.xxhash64("doc_id").alias("h")).orderBy("h").limit(n)
-    return F.xxhash64("doc_id") <= F.lit(hashes.agg(F.max("h")).first()[0])
+def _sample(ids: DataFrame, n: int) -> DataFrame:
+    """The ``n`` rows of distinct ``doc_id`` with the smallest hash."""
+    return ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
 
 
 def train(documents: DataFrame, labels: DataFrame) -> Model | None:
     """The model from a bounded sample; None without documents of both labels. ``labels`` has ``doc_id, label``."""
     labelled = labels.where("label in (0, 1) and doc_id is not null").groupBy("doc_id").agg((F.avg("label") >= 0.5).cast("double").alias("label"))
-    rows = _inputs(documents.where("doc_id is not null"), "doc_id")
-    known = rows.where(_bound(labelled, LABELLED)).join(labelled, "doc_id")
-    others = rows.select("doc_id").join(labelled, "doc_id", "left_anti")
-    pool = rows.where(_bound(others, POOL)).join(labelled, "doc_id", "left_anti").withColumn("label", F.lit(None).cast("double"))
-    sample = known.unionByName(pool).mapInArrow(_extract, "doc_id long, label double, text binary, meta binary").toArrow().sort_by("doc_id")
+    ids = documents.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct()
+    known = _sample(labelled.join(ids, "doc_id", "left_semi"), LABELLED)
+    pool = _sample(ids.join(labelled, "doc_id", "left_anti"), POOL).withColumn("label", F.lit(None).cast("double"))
+    chosen = staged(known.select("doc_id", "label").unionByName(pool))
+    # At most LABELLED + POOL ids go to the texts; of a repeated id one row counts.
+    rows = _inputs(documents, F.col("doc_id").cast("long").alias("doc_id")).join(F.broadcast(chosen), "doc_id")
+    features = rows.mapInArrow(_extract, "doc_id long, label double, text binary, meta binary")
+    sample = features.dropDuplicates(["doc_id"]).toArrow().sort_by("doc_id")
+    discard(chosen)
     label = np.array([np.nan if x is None else x for x in sample.column("label").to_pylist()], dtype=np.float64)
-    views = [np.frombuffer(b"".join(sample.column(c).to_pylist()), "<f8").reshape(len(label), -1) for c in ("text", "meta")]
+    sizes = {"text": TEXT_FEATURES, "meta": META_FEATURES}
+    views = [np.frombuffer(b"".join(sample.column(c).to_pylist()), "<f8").reshape(-1, n) for c, n in sizes.items()]
     with_label = ~np.isnan(label)
     y = label[with_label]
     if len(set(y.tolist())) < 2:

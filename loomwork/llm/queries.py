@@ -65,7 +65,7 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def round_trip(documents: DataFrame) -> DataFrame:
     """``doc_id, ids, decoded`` with the byte-level tokenizer."""
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
-    return bpe.decode(bpe.encode(documents, tokenizer), tokenizer)
+    return bpe.encode_and_decode(documents, tokenizer)
 
 
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
