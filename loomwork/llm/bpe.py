@@ -5,7 +5,7 @@ word is encoded once:
 
 1. The words that occur most, counted over all texts, are encoded as a table of at most ``FREQUENT`` rows, which goes to
    every task. A text becomes the ranks of its words in that table.
-2. Every other word leaves with its text's key and its position. Equal words meet in one sorted run, are encoded once,
+2. Every other word leaves with its text's key and its position among these words of the text. Equal words meet in one sorted run, are encoded once,
    and the ids go back to their text.
 3. Each text joins its ranks with the ids that came back, by position.
 
@@ -111,11 +111,11 @@ class FrequentWords:
 
     @cached_property
     def rank(self) -> dict[str, int]:
-        return {w: i for i, w in enumerate(self._column("word"))}
+        return {w: i for i, w in enumerate(self._column("word"), 1)}
 
     @cached_property
     def ids(self) -> list[bytes]:
-        return [*self._column("ids"), b""]  # rank -1 is filled by position
+        return [b"", *self._column("ids")]  # words outside the table have rank 0
 
 
 def _frequent(texts: DataFrame, tokenizer: str, rows: int) -> FrequentWords:
@@ -129,17 +129,16 @@ def _frequent(texts: DataFrame, tokenizer: str, rows: int) -> FrequentWords:
 
 
 def _rare(batches: Iterator[pa.RecordBatch], tokenizer: str, table) -> Iterator[pa.RecordBatch]:
-    """Key, position and word of the words outside the table."""
+    """Key and word of the words outside the table, and the position among those of the text."""
     words, rank = Words(tokenizer), table.value.rank
     for whole in batches:
         for batch in slices(whole, _ROWS):
             key, position, found = [], [], []
             for row, text in enumerate(batch.column("text").to_pylist()):
-                for i, word in enumerate(words(text)):
-                    if word not in rank:
-                        key.append(row)
-                        position.append(i)
-                        found.append(word)
+                others = [word for word in words(text) if word not in rank]
+                key += [row] * len(others)
+                position += range(len(others))
+                found += others
             keys = batch.select(["key", "hashed"]).take(pa.array(key, pa.int64()))
             yield pa.RecordBatch.from_arrays([*keys.columns, pa.array(position, pa.int32()), pa.array(found, pa.string())], ["key", "hashed", "position", "word"])
 
@@ -159,17 +158,17 @@ def _encode_runs(batches: Iterator[pa.RecordBatch], tokenizer: str) -> Iterator[
 
 
 def _ranked(batches: Iterator[pa.RecordBatch], tokenizer: str, table) -> Iterator[pa.RecordBatch]:
-    """Each text as the ranks of its words, -1 for those outside the table; low and high bytes apart, compressed."""
+    """Each text as the ranks of its words from 1 on, 0 for those outside the table; low, middle and high bytes apart."""
     words, rank, press = Words(tokenizer), table.value.rank, zstandard.ZstdCompressor(level=3)
     for whole in batches:
         for batch in slices(whole, _ROWS):
             codes = []
             for text in batch.column("text").to_pylist():
                 found = words(text)
-                code = np.fromiter(map(rank.get, found, repeat(-1)), dtype="<i4", count=len(found))
-                codes.append(press.compress(code.view(np.uint8).reshape(-1, 4).T.tobytes()))
+                code = np.fromiter(map(rank.get, found, repeat(0)), dtype="<u4", count=len(found)).view(np.uint8).reshape(-1, 4)
+                codes.append([press.compress(code[:, byte].tobytes()) for byte in range(3)])
             columns = {c: batch.column(c) for c in batch.schema.names if c != "text"}
-            yield pa.RecordBatch.from_pydict(columns | {"ranks": pa.array(codes, pa.binary())})
+            yield pa.RecordBatch.from_pydict(columns | {"ranks": pa.array(codes, pa.list_(pa.binary()))})
 
 
 def _assemble(batches: Iterator[pa.RecordBatch], table, kind: str) -> Iterator[pa.RecordBatch]:
@@ -181,11 +180,12 @@ def _assemble(batches: Iterator[pa.RecordBatch], table, kind: str) -> Iterator[p
             rare = batch.column("rare")
             ends, positions, ids = rare.offsets.to_pylist(), rare.values.field("position"), rare.values.field("ids")
             for row, ranks in enumerate(batch.column("ranks").to_pylist()):
-                code = np.frombuffer(press.decompress(ranks), np.uint8).reshape(4, -1).T.copy().view("<i4").ravel()
+                code = sum(np.frombuffer(press.decompress(b), np.uint8).astype(np.uint32) << (8 * k) for k, b in enumerate(ranks))
                 parts = list(map(known.__getitem__, code.tolist()))
                 n = ends[row + 1] - ends[row]
+                places = np.flatnonzero(code == 0).tolist()
                 for i, found in zip(positions.slice(ends[row], n).to_pylist(), ids.slice(ends[row], n).to_pylist()):
-                    parts[i] = found
+                    parts[places[i]] = found
                 out.append(np.frombuffer(b"".join(parts), kind).astype("<u4").tobytes())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out, pa.binary())], ["doc_id", "ids"])
 
@@ -221,7 +221,7 @@ def _joined(documents: DataFrame, tokenizer: str, frequent: int) -> tuple[DataFr
     runs = rare.sortWithinPartitions("word").repartition("word").sortWithinPartitions("word")
     encoded = runs.mapInArrow(partial(_encode_runs, tokenizer=tokenizer), f"{_KEY}, position int, ids binary")
     by_text = encoded.repartition("key", "hashed").groupBy("key", "hashed").agg(F.collect_list(F.struct("position", "ids")).alias("rare"))
-    ranked = keyed.mapInArrow(partial(_ranked, tokenizer=tokenizer, table=table), f"{_KEY}, doc_id long, ranks binary")
+    ranked = keyed.mapInArrow(partial(_ranked, tokenizer=tokenizer, table=table), f"{_KEY}, doc_id long, ranks array<binary>")
     none = F.array().cast("array<struct<position:int,ids:binary>>")
     joined = ranked.join(by_text, ["key", "hashed"], "left").select("doc_id", "ranks", F.coalesce("rare", none).alias("rare"))
     return joined, partial(_assemble, table=table, kind=id_type(tokenizer))
