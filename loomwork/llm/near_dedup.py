@@ -27,6 +27,7 @@ copies. Rows of one ``doc_id`` with different texts count as one node.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +47,7 @@ AGREEING = 82
 BLOCK = 256
 #: Bytes of text worked on at once.
 _TOGETHER = 1 << 20
+_PIECE = 1 << 18
 
 _U = np.uint64
 _random = np.random.default_rng(20240)
@@ -64,21 +66,36 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(33))
 
 
+@lru_cache(maxsize=4)
 def _powers(base: int, n: int) -> np.ndarray:
-    steps = np.full(n + 1, base, dtype=np.uint64)
+    steps = np.full(n, base, dtype=np.uint64)
     steps[0] = 1
     return np.cumprod(steps, dtype=np.uint64)
 
 
+def word_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the words between ``begin`` and ``end``, a stretch of ``_PIECE`` bytes and its last word at a time."""
+    out = np.zeros(len(begin), np.uint64)
+    cuts = np.searchsorted(begin, np.arange(0, len(data) + _PIECE, _PIECE)).tolist()
+    for a, b in zip(cuts, cuts[1:]):
+        if a == b:
+            continue
+        first, last = int(begin[a]), int(end[b - 1])
+        n = 1 << max(_PIECE, last - first).bit_length()
+        # Polynomial hash of each word out of running sums.
+        terms = _BYTE[data[first:last]] * _powers(_BASE, n)[: last - first]
+        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(terms, dtype=np.uint64)))
+        out[a:b] = mixed((sums[end[a:b] - first] - sums[begin[a:b] - first]) * _powers(_BACK, n)[begin[a:b] - first])
+    return out
+
+
 def shingle_sets(texts: list[bytes | None]) -> list[np.ndarray]:
     """The sorted 64-bit hashes of each text's distinct shingles."""
     data = np.frombuffer(b"\n".join([(t or b"").lower() for t in texts]) + b"\n", np.uint8)
     space = _SPACE[data]
     edges = np.flatnonzero(np.diff(np.concatenate(([True], space)).view(np.int8)))
     begin, end = edges[0::2], edges[1::2]
-    # Polynomial hash of each word out of running sums.
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_BYTE[data] * _powers(_BASE, len(data))[:-1], dtype=np.uint64)))
-    words = mixed((sums[end] - sums[begin]) * _powers(_BACK, len(data))[begin])
+    words = word_hashes(data, begin, end)
     bounds = np.cumsum([0, *(len(t or b"") + 1 for t in texts)])
     first = np.searchsorted(begin, bounds)
     long = max(len(words) - SHINGLE + 1, 0)

@@ -87,6 +87,17 @@ def test_sets_of_words_split_over_calls():
     assert (near_dedup.shingle_sets(texts)[0] == alone).all()
 
 
+def test_long_texts_and_words_hash_alike_in_any_piece(monkeypatch):
+    random.seed(8)
+    words = ["".join(random.choices("abc", k=random.choice([1, 5, 300]))) for _ in range(400)]
+    text = " ".join(words).encode()
+    whole = near_dedup.shingle_sets([b"x y", text, text[: len(text) // 2]])
+    assert len(whole[1]) == len(shingles(text.decode()))
+    monkeypatch.setattr(near_dedup, "_PIECE", 64)
+    for mine, theirs in zip(near_dedup.shingle_sets([text, b"x y"]), (whole[1], whole[0])):
+        assert (mine == theirs).all()
+
+
 def test_signatures_estimate_similarity():
     values = np.random.default_rng(3).integers(0, 1 << 63, 3000, dtype=np.uint64)
     errors = []
