@@ -5,9 +5,10 @@ the ``VOCABULARY`` most frequent words of all documents (two places are for unkn
 with the same smoothing: absolute discounting that backs off to add-one unigrams. The score of a text is its mean loss per
 token under the target model less that under the background model; texts like the target have low scores.
 
-Counts cover all texts. A task returns one compressed row of counts for each context word it met, so a frequent word is
+Texts are written once as compressed word numbers, which counting and scoring read; they, not the texts, meet the target
+ids, always by the same kind of join. Counts cover all texts. A task returns one compressed row of counts for each context word it met, so a frequent word is
 no larger a group than a rare one. Both models are square tables of the vocabulary, whose size is known in advance
-(33 MB at 2,048 words); they are broadcast, and scoring is one pass over the documents without a shuffle.
+(33 MB at 2,048 words); they are broadcast, and scoring is one pass without a shuffle.
 
 Defined results: a NULL or empty text has no tokens and NULL scores; rows are scored one by one; without any target text
 the target model is uniform.
@@ -28,6 +29,7 @@ from pyspark.sql import functions as F
 
 from loomwork.llm.arrow_rows import slices, utf8
 from loomwork.llm.decontamination import normalised_words
+from loomwork.staging import staged
 
 VOCABULARY = 2048
 UNKNOWN, BEGINNING = 0, 1
@@ -59,15 +61,32 @@ def vocabulary(documents: DataFrame, size: int = VOCABULARY) -> dict[bytes, int]
     return {bytes(row.word): i for i, row in enumerate(top, 2)}
 
 
-def cells(words: list[bytes], number: dict[bytes, int], size: int) -> np.ndarray:
+def id_type(size: int) -> str:
+    return "<u2" if size <= 1 << 16 else "<u4"
+
+
+def _number(batches: Iterator[pa.RecordBatch], shared, size: int) -> Iterator[pa.RecordBatch]:
+    """Each text as the compressed numbers of its words."""
+    number, press = shared.value, zstandard.ZstdCompressor(level=1)
+    for whole in batches:
+        for batch in slices(whole, _ROWS):
+            rows = []
+            for text in utf8(batch, "text"):
+                words = normalised_words(text)
+                ids = np.fromiter(map(number.get, words, repeat(UNKNOWN)), dtype=id_type(size), count=len(words))
+                rows.append(press.compress(ids.tobytes()))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(rows, pa.binary())], ["doc_id", "numbers"])
+
+
+def cells(ids: np.ndarray, size: int) -> np.ndarray:
     """Context times vocabulary size plus word, for each word of a text."""
-    ids = np.fromiter(map(number.get, words, repeat(UNKNOWN)), dtype=np.int64, count=len(words))
+    ids = ids.astype(np.int64)
     return np.concatenate(([BEGINNING], ids[:-1])) * size + ids if len(ids) else ids
 
 
-def _count_bigrams(batches: Iterator[pa.RecordBatch], shared, size: int) -> Iterator[pa.RecordBatch]:
+def _count_bigrams(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     """Per context the counts of the words after it, in the background and in the target."""
-    number, press = shared.value, zstandard.ZstdCompressor(level=1)
+    press, unpress = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
     counts = np.zeros((2, size * size), dtype=np.int64)
     held: list[list[np.ndarray]] = [[], []]
     n = 0
@@ -79,8 +98,8 @@ def _count_bigrams(batches: Iterator[pa.RecordBatch], shared, size: int) -> Iter
                 parts.clear()
 
     for batch in batches:
-        for text, target in zip(utf8(batch, "text"), batch.column("target").to_pylist()):
-            found = cells(normalised_words(text), number, size)
+        for numbers, target in zip(batch.column("numbers").to_pylist(), batch.column("target").to_pylist()):
+            found = cells(np.frombuffer(unpress.decompress(numbers), id_type(size)), size)
             held[0].append(found)
             if target:
                 held[1].append(found)
@@ -114,10 +133,9 @@ def _sum_counts(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Rec
         yield told()
 
 
-def bigram_counts(documents: DataFrame, number: dict[bytes, int], size: int) -> np.ndarray:
-    """Counts of background and target by context and word. ``documents`` has ``text`` and ``target``."""
-    shared = documents.sparkSession.sparkContext.broadcast(number)
-    rows = documents.select("text", "target").mapInArrow(partial(_count_bigrams, shared=shared, size=size), "context int, counts binary")
+def bigram_counts(numbered: DataFrame, size: int) -> np.ndarray:
+    """Counts of background and target by context and word. ``numbered`` has ``numbers`` and ``target``."""
+    rows = numbered.select("numbers", "target").mapInArrow(partial(_count_bigrams, size=size), "context int, counts binary")
     summed = rows.repartition("context").sortWithinPartitions("context").mapInArrow(partial(_sum_counts, size=size), "context int, counts binary")
     counts, unpress = np.zeros((2, size, size), dtype=np.int64), zstandard.ZstdDecompressor()
     for row in summed.toLocalIterator():
@@ -138,16 +156,15 @@ def losses(counts: np.ndarray) -> np.ndarray:
 
 
 def _score(batches: Iterator[pa.RecordBatch], shared, size: int) -> Iterator[pa.RecordBatch]:
-    number, background, target = shared.value
-    for whole in batches:
-        for batch in slices(whole, _ROWS):
-            rows = []
-            for text in utf8(batch, "text"):
-                found = cells(normalised_words(text), number, size)
-                means = [float(table[found].mean(dtype=np.float64)) if len(found) else None for table in (target, background)]
-                rows.append((len(found), *means, means[0] - means[1] if len(found) else None))
-            columns = [pa.array([r[k] for r in rows], pa.float64() if k else pa.int64()) for k in range(4)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["doc_id", "n_tokens", "target_loss", "background_loss", "difference"])
+    (background, target), unpress = shared.value, zstandard.ZstdDecompressor()
+    for batch in batches:
+        rows = []
+        for numbers in batch.column("numbers").to_pylist():
+            found = cells(np.frombuffer(unpress.decompress(numbers), id_type(size)), size)
+            means = [float(table[found].mean(dtype=np.float64)) if len(found) else None for table in (target, background)]
+            rows.append((len(found), *means, means[0] - means[1] if len(found) else None))
+        columns = [pa.array([r[k] for r in rows], pa.float64() if k else pa.int64()) for k in range(4)]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["doc_id", "n_tokens", "target_loss", "background_loss", "difference"])
 
 
 def cross_entropy_difference(documents: DataFrame, target_ids: DataFrame, size: int = VOCABULARY) -> DataFrame:
@@ -155,11 +172,12 @@ def cross_entropy_difference(documents: DataFrame, target_ids: DataFrame, size:
 
     ``target_ids`` has the ``doc_id`` of the documents that make the target corpus.
     """
+    context = documents.sparkSession.sparkContext
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    number = vocabulary(texts, size)
+    number = context.broadcast(vocabulary(texts, size))
+    numbered = staged(texts.mapInArrow(partial(_number, shared=number, size=size), "doc_id long, numbers binary"))
     chosen = target_ids.select(F.col("doc_id").cast("long").alias("doc_id")).distinct().withColumn("target", F.lit(True))
-    counts = bigram_counts(texts.join(chosen, "doc_id", "left"), number, size)
-    tables = (number, losses(counts[0]).ravel(), losses(counts[1]).ravel())
-    shared = documents.sparkSession.sparkContext.broadcast(tables)
+    counts = bigram_counts(numbered.join(chosen.hint("merge"), "doc_id", "left"), size)
+    shared = context.broadcast((losses(counts[0]).ravel(), losses(counts[1]).ravel()))
     kinds = "doc_id long, n_tokens long, target_loss double, background_loss double, difference double"
-    return texts.mapInArrow(partial(_score, shared=shared, size=size), kinds)
+    return numbered.mapInArrow(partial(_score, shared=shared, size=size), kinds)
