@@ -32,9 +32,9 @@ from loomwork.staging import staged
 
 TABLES, DIRECTIONS = 4, 4
 TARGET = 0.97
-SAMPLE, CHUNK, QUERIES = 4096, 512, 256
+SAMPLE, CHUNK, QUERIES = 4096, 512, 1024
 #: Tasks that share the chunks of a block of queries.
-SHARES = 4
+SHARES = 8
 SEED = 9
 
 
@@ -86,14 +86,13 @@ def probes(index: Index, query: np.ndarray) -> list[np.ndarray]:
         home = np.floor(place[table])
         edges = home[:, None] + np.append(steps, reach + 1)[None, :] - place[table][:, None]
         chance = np.diff(_normal_cdf(edges / spread), axis=1)
-        joint, grid = chance[0], np.ix_(*[steps] * len(home))
+        joint = chance[0]
         for row in chance[1:]:
             joint = joint[..., None] * row
         order = np.argsort(-joint, axis=None, kind="stable")
         total = np.cumsum(joint.ravel()[order])
         chosen = np.unravel_index(order[: int(np.searchsorted(total, enough)) + 1], joint.shape)
         cells = np.stack([home[k] + steps[chosen[k]] for k in range(len(home))], axis=-1)
-        del grid
         keys = cell_keys(np.broadcast_to(cells[:, None, :], (len(cells), len(place), len(home))).astype(np.int64))
         out.append(keys[:, table])
     return out
