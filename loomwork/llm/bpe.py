@@ -65,7 +65,8 @@ def _count(batches: Iterator[pa.RecordBatch], tokenizer: str) -> Iterator[pa.Rec
 
     def told() -> pa.RecordBatch:
         kept = [(w, n) for w, n in counts.items() if n >= LOCALLY]
-        return pa.RecordBatch.from_pydict({"word": [w for w, _ in kept], "n": [n for _, n in kept]}, pa.schema([("word", pa.string()), ("n", pa.int64())]))
+        columns = [pa.array([w for w, _ in kept], pa.string()), pa.array([n for _, n in kept], pa.int64())]
+        return pa.RecordBatch.from_arrays(columns, ["word", "n"])
 
     for batch in batches:
         for text in batch.column("text").to_pylist():
@@ -140,7 +141,8 @@ def _rare(batches: Iterator[pa.RecordBatch], tokenizer: str, table) -> Iterator[
                 position += range(len(others))
                 found += others
             keys = batch.select(["key", "hashed"]).take(pa.array(key, pa.int64()))
-            yield pa.RecordBatch.from_arrays([*keys.columns, pa.array(position, pa.int32()), pa.array(found, pa.string())], ["key", "hashed", "position", "word"])
+            columns = [*keys.columns, pa.array(position, pa.int32()), pa.array(found, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "hashed", "position", "word"])
 
 
 def _encode_runs(batches: Iterator[pa.RecordBatch], tokenizer: str) -> Iterator[pa.RecordBatch]:
@@ -154,7 +156,8 @@ def _encode_runs(batches: Iterator[pa.RecordBatch], tokenizer: str) -> Iterator[
         if new:
             last = new[-1], ids[-1]
         found = pa.array(ids, pa.binary()).take(words.indices)
-        yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("key", "hashed", "position")] + [found], ["key", "hashed", "position", "ids"])
+        columns = [*(batch.column(c) for c in ("key", "hashed", "position")), found]
+        yield pa.RecordBatch.from_arrays(columns, ["key", "hashed", "position", "ids"])
 
 
 def _ranked(batches: Iterator[pa.RecordBatch], tokenizer: str, table) -> Iterator[pa.RecordBatch]:

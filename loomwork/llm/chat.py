@@ -113,7 +113,8 @@ def read_back(conversations: DataFrame) -> DataFrame:
     turns = turns.select("tree", "rank", F.col("pos").alias("turn"), "col.piece", "col.span")
     order = Window.partitionBy("tree", "rank").orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)
     turns = turns.withColumn("begin", F.coalesce(F.sum(F.length("piece")).over(order), F.lit(0)) + len(BEGIN))
-    role, opening = F.regexp_extract("piece", r"(?s)^\[ROLE\] (.*?) \[TEXT\] ", 1), F.length(F.regexp_extract("piece", r"(?s)^\[ROLE\] .*? \[TEXT\] ", 0))
+    other = r"(?s)^\[ROLE\] (.*?) \[TEXT\] "
+    role, opening = F.regexp_extract("piece", other, 1), F.length(F.regexp_extract("piece", other, 0))
     closing = F.lit(len(_OTHER[2]))
     for name, (before, after) in TEMPLATE.items():
         marked = F.col("piece").startswith(before)

@@ -6,8 +6,8 @@ with the same smoothing: absolute discounting that backs off to add-one unigrams
 token under the target model less that under the background model; texts like the target have low scores.
 
 Texts are written once as compressed word numbers, which counting and scoring read; they, not the texts, meet the target
-ids, always by the same kind of join. Counts cover all texts. A task returns one compressed row of counts for each context word it met, so a frequent word is
-no larger a group than a rare one. Both models are square tables of the vocabulary, whose size is known in advance
+ids, always by the same kind of join. Counts cover all texts. A task returns one compressed row of counts for each context
+word it met, so a frequent word is no larger a group than a rare one. Both models are square tables of the vocabulary, whose size is known in advance
 (33 MB at 2,048 words); they are broadcast, and scoring is one pass without a shuffle.
 
 Defined results: a NULL or empty text has no tokens and NULL scores; rows are scored one by one; without any target text
@@ -120,7 +120,8 @@ def _sum_counts(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Rec
     context, total = None, np.zeros(2 * size, dtype=np.int64)
 
     def told() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([context], pa.int32()), pa.array([press.compress(total.tobytes())], pa.binary())], ["context", "counts"])
+        columns = [pa.array([context], pa.int32()), pa.array([press.compress(total.tobytes())], pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, ["context", "counts"])
 
     for batch in batches:
         for u, counts in zip(batch.column("context").to_pylist(), batch.column("counts").to_pylist()):
@@ -164,7 +165,8 @@ def _score(batches: Iterator[pa.RecordBatch], shared, size: int) -> Iterator[pa.
             means = [float(table[found].mean(dtype=np.float64)) if len(found) else None for table in (target, background)]
             rows.append((len(found), *means, means[0] - means[1] if len(found) else None))
         columns = [pa.array([r[k] for r in rows], pa.float64() if k else pa.int64()) for k in range(4)]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["doc_id", "n_tokens", "target_loss", "background_loss", "difference"])
+        names = ["doc_id", "n_tokens", "target_loss", "background_loss", "difference"]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], names)
 
 
 def cross_entropy_difference(documents: DataFrame, target_ids: DataFrame, size: int = VOCABULARY) -> DataFrame:

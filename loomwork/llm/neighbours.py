@@ -250,7 +250,8 @@ class _Best:
 
     def told(self) -> pa.RecordBatch:
         rows = self.cut()
-        return pa.RecordBatch.from_arrays([pa.array(self.ids[rows["q"]]), pa.array(rows["id"]), pa.array(-rows["minus"])], ["query_id", "vec_id", "score"])
+        columns = [pa.array(self.ids[rows["q"]]), pa.array(rows["id"]), pa.array(-rows["minus"])]
+        return pa.RecordBatch.from_arrays(columns, ["query_id", "vec_id", "score"])
 
 
 def _search(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:

@@ -55,7 +55,10 @@ _BEFORE_YES = r"(?i)^(?:e-?mail|mail|tel|phone|telefon|call|card|karte|tarjeta|c
 _BEFORE_NO = r"(?i)^(?:page|seite|página|chapter|kapitel|vol|version|no|nr|fig|year|jahr|año|année)[.:]?$"
 
 LABELERS = ["known", "gazetteer", "context", "mixture", "plain", "base"]
-FEATURES = ["has_at", "has_equals", "letters", "capitals", "four_digits", "eight_digits", "twelve_long", "twenty_long", "only_number", "decorated", "word_before", "key_word"]
+FEATURES = [
+    "has_at", "has_equals", "letters", "capitals", "four_digits", "eight_digits", "twelve_long", "twenty_long",
+    "only_number", "decorated", "word_before", "key_word",
+]
 ROUNDS = 50
 
 _SPAN = "array<struct<start:int,end:int>>"

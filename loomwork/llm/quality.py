@@ -190,7 +190,8 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for batch in slices(whole, _ROWS):
             views = [[row.astype("<f8").tobytes() for row in view] for view in _views(batch)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), *(pa.array(v, pa.binary()) for v in views)], ["doc_id", "label", "text", "meta"])
+            columns = [batch.column("doc_id"), batch.column("label"), *(pa.array(v, pa.binary()) for v in views)]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "label", "text", "meta"])
 
 
 def _inputs(documents: DataFrame, *more: Column) -> DataFrame:

@@ -114,4 +114,8 @@ def n_ids(column: str) -> Column:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_url_filter, op2_cross_entropy, op3_quality, op4_decontamination, op5_near_dedup, op6_pii, op7_bpe, op8_chat, op9_neighbours, op10_token_files)}
+    registered = (
+        op1_url_filter, op2_cross_entropy, op3_quality, op4_decontamination, op5_near_dedup, op6_pii, op7_bpe, op8_chat,
+        op9_neighbours, op10_token_files,
+    )
+    return {query.__name__: query for query in registered}
