@@ -1,14 +1,22 @@
 """Cross-entropy difference: how much more a text resembles a target corpus than the background.
 
 The background is every document, the target those the caller names. Both models are word bigrams over one vocabulary,
-the ``VOCABULARY`` most frequent words of all documents (two places are for unknown words and the beginning of a text),
-with the same smoothing: absolute discounting that backs off to add-one unigrams. The score of a text is its mean loss per
-token under the target model less that under the background model; texts like the target have low scores.
+every distinct word of all documents and two places for unknown words and the beginning of a text, with the same
+smoothing: absolute discounting that backs off to add-one unigrams. The score of a text is its mean loss per token under
+the target model less that under the background model; texts like the target have low scores.
 
-Texts are written once as compressed word numbers, which counting and scoring read; they, not the texts, meet the target
-ids, always by the same kind of join. Counts cover all texts. A task returns one compressed row of counts for each context
-word it met, so a frequent word is no larger a group than a rare one. Both models are square tables of the vocabulary, whose size is known in advance
-(33 MB at 2,048 words); they are broadcast, and scoring is one pass without a shuffle.
+Words are their 64-bit hashes, pairs of neighbours a 64-bit hash of both; texts are written once as compressed hashes of
+their words. They, not the texts, meet the target ids, always by the same kind of join.
+
+1. Distinct pairs with their counts in background and target: summed in the tasks, then by one aggregation.
+2. The totals of each word as context and as word, again from partial sums.
+3. The loss of a pair needs the totals of its two words. Those of the commonest words (at most ``COMMON_WORDS``) are
+   broadcast; a pair with any other word is joined with the totals, and words that are known already spread by the pair,
+   so no key is hot.
+4. A text adds the losses of the commonest pairs (at most ``COMMON_PAIRS``, broadcast) in its own task. Every other
+   distinct pair of the text is joined with its loss, and the sums go back to the text.
+
+All tables grow with the input and stay distributed; what is broadcast decides only where a loss is looked up.
 
 Defined results: a NULL or empty text has no tokens and NULL scores; rows are scored one by one; without any target text
 the target model is uniform.
@@ -19,24 +27,29 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from functools import partial
-from itertools import repeat
+from hashlib import blake2b
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomwork.llm.arrow_rows import slices, utf8
 from loomwork.llm.decontamination import normalised_words
+from loomwork.llm.near_dedup import mixed
 from loomwork.staging import staged
 
-VOCABULARY = 2048
 UNKNOWN, BEGINNING = 0, 1
 DISCOUNT = 0.75
+#: Bounds of what is broadcast.
+COMMON_WORDS, COMMON_PAIRS = 1 << 16, 1 << 19
 _ROWS = 500
 _COUNTED_TOGETHER = 1 << 21
 _HELD_WORDS = 1 << 19
+_U = np.uint64
+_TURN = _U(0x9E3779B97F4A7C15)
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -54,132 +67,209 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield told()
 
 
-def vocabulary(documents: DataFrame, size: int = VOCABULARY) -> dict[bytes, int]:
-    """Numbers of the most frequent words, ties by the word; 0 and 1 are taken."""
+def vocabulary(documents: DataFrame, size: int) -> frozenset[bytes]:
+    """The ``size`` - 2 most frequent words, ties by the word."""
     counted = documents.select("text").mapInArrow(_count_words, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    top = counted.orderBy(F.desc("n"), "word").limit(size - 2).collect()
-    return {bytes(row.word): i for i, row in enumerate(top, 2)}
+    return frozenset(bytes(row.word) for row in counted.orderBy(F.desc("n"), "word").limit(size - 2).collect())
+
+
+class _Hashes(dict):
+    """64-bit hashes of words, those outside ``known`` as ``UNKNOWN``."""
 
+    def __init__(self, known: frozenset[bytes] | None):
+        self.known = known
 
-def id_type(size: int) -> str:
-    return "<u2" if size <= 1 << 16 else "<u4"
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > _HELD_WORDS:
+            self.clear()
+        told = self.known is None or word in self.known
+        self[word] = found = int.from_bytes(blake2b(word, digest_size=8).digest(), "little") if told else UNKNOWN
+        return found
 
 
-def _number(batches: Iterator[pa.RecordBatch], shared, size: int) -> Iterator[pa.RecordBatch]:
-    """Each text as the compressed numbers of its words."""
-    number, press = shared.value, zstandard.ZstdCompressor(level=1)
+def _hash(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
+    """Each text as the compressed hashes of its words."""
+    number, press = _Hashes(shared.value if shared else None), zstandard.ZstdCompressor(level=1)
     for whole in batches:
         for batch in slices(whole, _ROWS):
             rows = []
             for text in utf8(batch, "text"):
                 words = normalised_words(text)
-                ids = np.fromiter(map(number.get, words, repeat(UNKNOWN)), dtype=id_type(size), count=len(words))
-                rows.append(press.compress(ids.tobytes()))
+                rows.append(press.compress(np.fromiter(map(number.__getitem__, words), dtype="<u8", count=len(words)).tobytes()))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(rows, pa.binary())], ["doc_id", "numbers"])
 
 
-def cells(ids: np.ndarray, size: int) -> np.ndarray:
-    """Context times vocabulary size plus word, for each word of a text."""
-    ids = ids.astype(np.int64)
-    return np.concatenate(([BEGINNING], ids[:-1])) * size + ids if len(ids) else ids
+def pair_hashes(context: np.ndarray, word: np.ndarray) -> np.ndarray:
+    return mixed(mixed(context + _TURN) + word * _TURN)
+
+
+def _pairs(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The context of each word of a text, and the hash of both."""
+    context = np.concatenate((np.array([BEGINNING], np.uint64), words[:-1])) if len(words) else words
+    return context, pair_hashes(context, words)
+
+
+def _signed(values: np.ndarray) -> pa.Array:
+    return pa.array(values.view(np.int64))
 
 
-def _count_bigrams(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    """Per context the counts of the words after it, in the background and in the target."""
-    press, unpress = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
-    counts = np.zeros((2, size * size), dtype=np.int64)
-    held: list[list[np.ndarray]] = [[], []]
+_PAIRS = "pair long, context long, word long, b long, t long"
+
+
+def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Distinct pairs of some texts, with their counts in the background and in the target."""
+    unpress = zstandard.ZstdDecompressor()
+    held: list[tuple[np.ndarray, ...]] = []
     n = 0
 
-    def add() -> None:
-        for which, parts in enumerate(held):
-            if parts:
-                counts[which] += np.bincount(np.concatenate(parts), minlength=size * size)
-                parts.clear()
+    def told() -> pa.RecordBatch:
+        word, context, pair, target = (np.concatenate(parts) for parts in zip(*held))
+        order = np.argsort(pair, kind="stable")
+        pair = pair[order]
+        first = np.flatnonzero(np.concatenate(([True], pair[1:] != pair[:-1])))
+        counts = [np.add.reduceat(x, first) for x in (np.ones(len(pair), np.int64), target[order].astype(np.int64))]
+        columns = [_signed(pair[first]), _signed(context[order[first]]), _signed(word[order[first]]), *map(pa.array, counts)]
+        return pa.RecordBatch.from_arrays(columns, ["pair", "context", "word", "b", "t"])
 
     for batch in batches:
         for numbers, target in zip(batch.column("numbers").to_pylist(), batch.column("target").to_pylist()):
-            found = cells(np.frombuffer(unpress.decompress(numbers), id_type(size)), size)
-            held[0].append(found)
-            if target:
-                held[1].append(found)
-            n += len(found)
+            words = np.frombuffer(unpress.decompress(numbers), "<u8")
+            if len(words):
+                held.append((words, *_pairs(words), np.full(len(words), target)))
+                n += len(words)
             if n > _COUNTED_TOGETHER:
-                add()
+                yield told()
+                held.clear()
                 n = 0
-    add()
-    by_context = counts.reshape(2, size, size)
-    met = np.flatnonzero(by_context[0].any(axis=1)).tolist()
-    rows = [press.compress(by_context[:, u].astype("<i8").tobytes()) for u in met]
-    yield pa.RecordBatch.from_arrays([pa.array(met, pa.int32()), pa.array(rows, pa.binary())], ["context", "counts"])
+    if held:
+        yield told()
 
 
-def _sum_counts(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    """Add the rows of each context; they come in order of contexts."""
-    unpress, press = zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=3)
-    context, total = None, np.zeros(2 * size, dtype=np.int64)
+def pair_counts(hashed: DataFrame) -> DataFrame:
+    """``pair, context, word, b, t``: every distinct pair with its counts. ``hashed`` has ``numbers`` and ``target``."""
+    rows = hashed.select("numbers", "target").mapInArrow(_count_pairs, _PAIRS)
+    same = [F.any_value(c).alias(c) for c in ("context", "word")]
+    return rows.groupBy("pair").agg(*same, F.sum("b").alias("b"), F.sum("t").alias("t"))
 
-    def told() -> pa.RecordBatch:
-        columns = [pa.array([context], pa.int32()), pa.array([press.compress(total.tobytes())], pa.binary())]
-        return pa.RecordBatch.from_arrays(columns, ["context", "counts"])
 
-    for batch in batches:
-        for u, counts in zip(batch.column("context").to_pylist(), batch.column("counts").to_pylist()):
-            if u != context:
-                if context is not None:
-                    yield told()
-                context, total = u, np.zeros(2 * size, dtype=np.int64)
-            total += np.frombuffer(unpress.decompress(counts), "<i8")
-    if context is not None:
-        yield told()
+_TOTALS = ("as_context_b", "as_context_t", "kinds_b", "kinds_t", "as_word_b", "as_word_t")
 
 
-def bigram_counts(numbered: DataFrame, size: int) -> np.ndarray:
-    """Counts of background and target by context and word. ``numbered`` has ``numbers`` and ``target``."""
-    rows = numbered.select("numbers", "target").mapInArrow(partial(_count_bigrams, size=size), "context int, counts binary")
-    summed = rows.repartition("context").sortWithinPartitions("context").mapInArrow(partial(_sum_counts, size=size), "context int, counts binary")
-    counts, unpress = np.zeros((2, size, size), dtype=np.int64), zstandard.ZstdDecompressor()
-    for row in summed.toLocalIterator():
-        counts[:, row.context] = np.frombuffer(unpress.decompress(bytes(row.counts)), "<i8").reshape(2, size)
-    return counts
+def word_totals(pairs: DataFrame) -> DataFrame:
+    """Per word its counts as context, the distinct words after it, and its own counts, in background and target."""
+    zero = F.lit(0).cast("long")
+    context = [F.col("b"), F.col("t"), F.lit(1).cast("long"), (F.col("t") > 0).cast("long"), zero, zero]
+    word = [zero, zero, zero, zero, F.col("b"), F.col("t")]
+    sides = [pairs.select(F.col(name).alias("h"), *(c.alias(x) for c, x in zip(cs, _TOTALS))) for name, cs in (("context", context), ("word", word))]
+    return sides[0].unionByName(sides[1]).groupBy("h").agg(*(F.sum(c).alias(c) for c in _TOTALS))
 
 
-def losses(counts: np.ndarray) -> np.ndarray:
-    """Negative log probability of each word after each context, in 32-bit floats."""
-    size = len(counts)
-    words = counts.sum(axis=0)
-    unigram = (words + 1) / (words.sum() + size)
-    totals = counts.sum(axis=1, keepdims=True)
-    held_back = DISCOUNT * (counts > 0).sum(axis=1, keepdims=True)
-    with np.errstate(invalid="ignore", divide="ignore"):
-        bigram = (np.maximum(counts - DISCOUNT, 0) + held_back * unigram) / totals
-    return -np.log(np.where(totals > 0, bigram, unigram)).astype(np.float32)
+def commonest(rows: DataFrame, count: Column, most: int) -> DataFrame:
+    """The rows of the highest counts, as many as come to at most ``most``: by a bound on the count, not by sorting."""
+    level = F.floor(F.log2(count.cast("double")) * 8).cast("int")
+    at, taken = None, 0
+    for row in sorted(rows.groupBy(level.alias("level")).count().collect(), reverse=True):
+        taken += row["count"]
+        if taken > most:
+            break
+        at = row.level
+    return rows.where(F.lit(False) if at is None else level >= at)
 
 
-def _score(batches: Iterator[pa.RecordBatch], shared, size: int) -> Iterator[pa.RecordBatch]:
-    (background, target), unpress = shared.value, zstandard.ZstdDecompressor()
+class Size(NamedTuple):
+    """Words of the vocabulary and tokens of background and target."""
+
+    words: int
+    b: int
+    t: int
+
+
+def _loss(which: str, size: Size, context: str, word: str) -> Column:
+    """Negative log probability of a pair."""
+    n, kinds = F.col(f"{context}.as_context_{which}"), F.col(f"{context}.kinds_{which}")
+    unigram = (F.col(f"{word}.as_word_{which}") + 1) / F.lit(float(getattr(size, which) + size.words))
+    bigram = (F.greatest(F.col(which) - F.lit(DISCOUNT), F.lit(0.0)) + F.lit(DISCOUNT) * kinds * unigram) / n
+    return -F.log(F.when(n > 0, bigram).otherwise(unigram))
+
+
+def losses(pairs: DataFrame, totals: DataFrame, common: DataFrame, size: Size) -> DataFrame:
+    """``pair, loss_b, loss_t``. ``common`` has those rows of ``totals`` that are broadcast."""
+    def named(table: DataFrame, side: str, key: str) -> DataFrame:
+        return table.select(F.col("h").alias(key), F.struct(*_TOTALS).alias(side))
+
+    rows = pairs
+    for side in ("context", "word"):
+        rows = rows.join(F.broadcast(named(common, f"of_{side}", f"{side}_h")), F.col(side) == F.col(f"{side}_h"), "left").drop(f"{side}_h")
+    known = F.col("of_context").isNotNull() & F.col("of_word").isNotNull()
+    rest = rows.where(~known)
+    for side in ("context", "word"):
+        # A word whose totals are known already needs no match: the pair spreads it.
+        key = F.when(F.col(f"of_{side}").isNull(), F.col(side)).otherwise(F.col("pair"))
+        rest = rest.withColumn("key", key).join(named(totals, "met", "key").hint("merge"), "key", "left")
+        rest = rest.withColumn(f"of_{side}", F.coalesce(f"of_{side}", "met")).drop("key", "met")
+    out = ["pair", *(_loss(which, size, "of_context", "of_word").cast("float").alias(f"loss_{which}") for which in ("b", "t"))]
+    return rows.where(known).select(*out).unionByName(rest.select(*out))
+
+
+def _looked_up(batches: Iterator[pa.RecordBatch], shared) -> Iterator[tuple]:
+    """Per text: row, doc_id, number of tokens, the pairs of its tokens, which have a common loss, and where."""
+    unpress, common = zstandard.ZstdDecompressor(), shared.value[0]
     for batch in batches:
-        rows = []
-        for numbers in batch.column("numbers").to_pylist():
-            found = cells(np.frombuffer(unpress.decompress(numbers), id_type(size)), size)
-            means = [float(table[found].mean(dtype=np.float64)) if len(found) else None for table in (target, background)]
-            rows.append((len(found), *means, means[0] - means[1] if len(found) else None))
-        columns = [pa.array([r[k] for r in rows], pa.float64() if k else pa.int64()) for k in range(4)]
-        names = ["doc_id", "n_tokens", "target_loss", "background_loss", "difference"]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], names)
+        for row, name, numbers in zip(*(batch.column(c).to_pylist() for c in ("row", "doc_id", "numbers"))):
+            pair = _pairs(np.frombuffer(unpress.decompress(numbers), "<u8"))[1].view(np.int64)
+            at = np.minimum(np.searchsorted(common, pair), max(0, len(common) - 1))
+            yield row, name, pair, common[at] == pair if len(common) else np.zeros(len(pair), dtype=bool), at
+
+
+def _common_sums(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
+    """Each text with its number of tokens and the losses of its common pairs."""
+    _, *tables = shared.value
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+    for whole in batches:
+        for batch in slices(whole, _ROWS):
+            rows = [(r, i, len(pair), *(float(x[at[hit]].sum(dtype=np.float64)) for x in tables)) for r, i, pair, hit, at in _looked_up([batch], shared)]
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in rows], kind) for k, kind in enumerate(kinds)], ["row", "doc_id", "n_tokens", "b", "t"])
+
+
+def _other_pairs(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
+    """The distinct other pairs of each text, with how often they occur in it."""
+    for whole in batches:
+        for batch in slices(whole, _ROWS):
+            pairs, counts, rows = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for row, _, pair, hit, _ in _looked_up([batch], shared):
+                found, n = np.unique(pair[~hit], return_counts=True)
+                pairs.append(found)
+                counts.append(n)
+                rows.append(np.full(len(found), row))
+            columns = [pa.array(np.concatenate(x)) for x in (rows, pairs, counts)]
+            yield pa.RecordBatch.from_arrays(columns, ["row", "pair", "n"])
 
 
-def cross_entropy_difference(documents: DataFrame, target_ids: DataFrame, size: int = VOCABULARY) -> DataFrame:
+def cross_entropy_difference(documents: DataFrame, target_ids: DataFrame, size: int | None = None) -> DataFrame:
     """``doc_id, n_tokens, target_loss, background_loss, difference`` of every document.
 
-    ``target_ids`` has the ``doc_id`` of the documents that make the target corpus.
+    ``target_ids`` has the ``doc_id`` of the documents that make the target corpus. The vocabulary is every distinct word;
+    a caller who wants a smaller one names its ``size``, and words beyond the most frequent are one unknown word.
     """
     context = documents.sparkSession.sparkContext
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    number = context.broadcast(vocabulary(texts, size))
-    numbered = staged(texts.mapInArrow(partial(_number, shared=number, size=size), "doc_id long, numbers binary"))
+    known = None if size is None else context.broadcast(vocabulary(texts, size))
     chosen = target_ids.select(F.col("doc_id").cast("long").alias("doc_id")).distinct().withColumn("target", F.lit(True))
-    counts = bigram_counts(numbered.join(chosen.hint("merge"), "doc_id", "left"), size)
-    shared = context.broadcast((losses(counts[0]).ravel(), losses(counts[1]).ravel()))
-    kinds = "doc_id long, n_tokens long, target_loss double, background_loss double, difference double"
-    return numbered.mapInArrow(partial(_score, shared=shared, size=size), kinds)
+    hashed = texts.mapInArrow(partial(_hash, shared=known), "doc_id long, numbers binary").join(chosen.hint("merge"), "doc_id", "left")
+    hashed = staged(hashed.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.coalesce("target", F.lit(False)).alias("target"), "numbers"))
+    pairs = staged(pair_counts(hashed))
+    totals = staged(word_totals(pairs))
+    sums = totals.agg(F.count_if(F.col("as_word_b") > 0), F.coalesce(F.sum("as_word_b"), F.lit(0)), F.coalesce(F.sum("as_word_t"), F.lit(0))).first()
+    corpus = Size(sums[0] + 2 if size is None else size, sums[1], sums[2])
+    frequent = commonest(totals, F.greatest("as_context_b", "as_word_b"), COMMON_WORDS)
+    found = losses(commonest(pairs, F.col("b"), COMMON_PAIRS), totals, frequent, corpus).toArrow().sort_by("pair")
+    shared = context.broadcast(tuple(found.column(c).to_numpy() for c in ("pair", "loss_b", "loss_t")))
+    own = hashed.mapInArrow(partial(_common_sums, shared=shared), "row long, doc_id long, n_tokens long, b double, t double")
+    others = hashed.mapInArrow(partial(_other_pairs, shared=shared), "row long, pair long, n long")
+    met = others.join(losses(pairs, totals, frequent, corpus).hint("merge"), "pair")
+    none = F.lit(None).cast("long")
+    parts = met.select("row", none.alias("doc_id"), none.alias("n_tokens"), *((F.col("n") * F.col(f"loss_{x}").cast("double")).alias(x) for x in "bt"))
+    summed = own.unionByName(parts).groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.max("n_tokens").alias("n_tokens"), F.sum("b").alias("b"), F.sum("t").alias("t"))
+    target, background = (F.when(F.col("n_tokens") > 0, F.col(x) / F.col("n_tokens")) for x in "tb")
+    means = target.alias("target_loss"), background.alias("background_loss"), (target - background).alias("difference")
+    return summed.select("doc_id", "n_tokens", *means)
