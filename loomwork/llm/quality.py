@@ -2,11 +2,13 @@
 
 Two logistic classifiers see different views of a document: the text's content (shares of characters and signs, lengths,
 repetition) and its metadata (language, source, length). Both begin with the labelled documents. In each round either
-hands the other those documents of a pool without labels that it is surest of, as further examples. At the end each
-view is calibrated on labelled documents that no training saw, and their odds are combined over the prior.
+hands the other those documents without labels that it is surest of, as further examples. At the end each view is
+calibrated on labelled documents that no training saw, and their odds are combined over the prior.
 
-The fit takes a bounded sample: the ``LABELLED`` labelled documents and the ``POOL`` others with the smallest hash of
-``doc_id``. Everything else covers all documents: scoring is one pass without a shuffle.
+Only labelled documents are sampled: the ``LABELLED`` with the smallest hash of ``doc_id``. Every document without a label
+is in the pool. Its features are written once; a round counts how sure either view is of all of them, which gives the
+bound on the odds from which documents are handed over, and each Newton step sums slopes and curves in the tasks. No row
+of the pool goes to the driver. Scoring is one pass without a shuffle.
 
 Defined results: NULL texts are empty and NULL metadata a value of its own; labels other than 0 and 1 do not count, and
 of several labels of a document the mean decides, 0.5 counting as good; without documents of both labels every document
@@ -16,7 +18,7 @@ gets the score 1 and stays.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import partial
 from typing import NamedTuple
 
@@ -26,10 +28,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomwork.llm.arrow_rows import slices, utf8
+from loomwork.llm.near_dedup import mixed
 from loomwork.staging import discard, staged
 
-#: Bounds of the sample the classifiers are fitted on.
-LABELLED, POOL = 10_000, 10_000
+#: Bound of the labelled sample the classifiers are fitted on.
+LABELLED = 20_000
 ROUNDS = 5
 #: What either view hands over in a round: at most this share of the pool, of documents it is this sure of.
 HANDED, SURE = 0.05, 0.95
@@ -38,6 +41,8 @@ HELD_BACK = 5.0
 #: Documents below this probability of good quality are rejected.
 KEEP = 0.5
 _ROWS = 500
+#: Takes the features and a random number of some documents and gives numbers that add up over documents.
+Step = Callable[[tuple[np.ndarray, np.ndarray], np.ndarray], np.ndarray]
 _SIGNS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 #: Classes of bytes: small and capital letters, digits, blanks, line ends, each sign, other controls, non-ASCII.
 _CLASS = np.full(256, 5, dtype=np.uint8)
@@ -154,28 +159,172 @@ class Model(NamedTuple):
         return [sigmoid(a), sigmoid(b), sigmoid(a + b - self.prior)]
 
 
-def co_trained(views: tuple[np.ndarray, np.ndarray], y: np.ndarray, held_out: np.ndarray, pool: tuple[np.ndarray, np.ndarray]) -> Model:
+class LocalPool:
+    """Documents without labels, held as arrays."""
+
+    def __init__(self, views: tuple[np.ndarray, np.ndarray]):
+        self.views, self.draw = views, mixed(np.arange(len(views[0]), dtype=np.uint64))
+
+    def total(self, step: Step) -> np.ndarray:
+        """The sum over all documents of what ``step`` gives for some."""
+        return step(self.views, self.draw)
+
+
+class StagedPool:
+    """Documents without labels as a table of features; a step is one pass, and its sums leave each task once."""
+
+    def __init__(self, rows: DataFrame):
+        self.rows = rows
+
+    def total(self, step: Step) -> np.ndarray:
+        sums = self.rows.mapInArrow(partial(_summed, step=step), "i int, x double").groupBy("i").agg(F.sum("x").alias("x")).toArrow()
+        out = step(_no_rows(), np.zeros(0, np.uint64))
+        out[sums.column("i").to_numpy()] = sums.column("x").to_numpy()
+        return out
+
+
+def _no_rows() -> tuple[np.ndarray, np.ndarray]:
+    return np.zeros((0, TEXT_FEATURES)), np.zeros((0, META_FEATURES))
+
+
+def _unfolded(table: pa.RecordBatch | pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    text = np.frombuffer(b"".join(table.column("text").to_pylist()), "<f8").reshape(-1, TEXT_FEATURES)
+    return text, np.frombuffer(b"".join(table.column("meta").to_pylist()), np.uint8).reshape(-1, META_FEATURES).astype(np.float64)
+
+
+def _summed(batches: Iterator[pa.RecordBatch], step: Step) -> Iterator[pa.RecordBatch]:
+    out = step(_no_rows(), np.zeros(0, np.uint64))
+    for batch in batches:
+        out += step(_unfolded(batch), batch.column("draw").to_numpy().view(np.uint64))
+    at = np.flatnonzero(out)
+    yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(out[at])], ["i", "x"])
+
+
+def _moments(views: tuple[np.ndarray, np.ndarray], draw: np.ndarray) -> np.ndarray:
+    return np.concatenate([[float(len(draw))], *(f for x in views for f in (x.sum(axis=0), (x * x).sum(axis=0)))])
+
+
+class Handover(NamedTuple):
+    """What a view handed over in a round: by label, the lowest level of odds, and the share taken of that level."""
+
+    view: Logistic
+    lowest: dict[float, tuple[int, float]]
+
+
+_LEAST, _LEVELS = float(np.log(SURE / (1 - SURE))), 2048
+_LABELS = ((1.0, 1), (0.0, -1))
+
+
+def _level(odds: np.ndarray) -> np.ndarray:
+    """Levels of odds from that of ``SURE`` on; -1 below."""
+    above = np.log2(np.maximum(odds, _LEAST) / _LEAST) * 256
+    return np.where(odds >= _LEAST, np.minimum(_LEVELS - 1, above.astype(np.int64)), -1)
+
+
+def handed(history: list[Handover], x: np.ndarray, draw: np.ndarray) -> np.ndarray:
+    """The label each document was handed over with, NaN where it was not."""
+    out = np.full(len(x), np.nan)
+    for k, (view, lowest) in enumerate(history):
+        odds, u = view.odds(x), mixed(draw + np.uint64(k)) / 2.0**64
+        for label, sign in _LABELS:
+            level, (least, share) = _level(sign * odds), lowest[label]
+            out[np.isnan(out) & (level >= 0) & ((level > least) | ((level == least) & (u < share)))] = label
+    return out
+
+
+def _sure(views: tuple[np.ndarray, np.ndarray], draw: np.ndarray, models: list[Logistic], history: list[list[Handover]]) -> np.ndarray:
+    """By view, label and level, how many documents it has not yet handed over."""
+    counts = []
+    for x, model, past in zip(views, models, history):
+        fresh, odds = np.isnan(handed(past, x, draw)), model.odds(x)
+        for _, sign in _LABELS:
+            level = _level(sign * odds)
+            counts.append(np.bincount(level[fresh & (level >= 0)], minlength=_LEVELS))
+    return np.concatenate(counts).astype(np.float64)
+
+
+def _handover(view: Logistic, counts: np.ndarray, most: dict[float, float]) -> Handover:
+    """The surest documents, both labels in the shares they have, or the learner's prior would drift."""
+    part = min(1.0, *(counts[i].sum() / max(most[label], 1e-9) for i, (label, _) in enumerate(_LABELS)))
+    lowest = {}
+    for i, (label, _) in enumerate(_LABELS):
+        n, above = int(part * most[label]), np.cumsum(counts[i][::-1])[::-1]
+        reached = np.flatnonzero(above >= n) if n else []
+        least = int(reached[-1]) if len(reached) else _LEVELS
+        lowest[label] = (least, float((n - above[least] + counts[i][least]) / counts[i][least])) if n else (_LEVELS, 0.0)
+    return Handover(view, lowest)
+
+
+def _slopes(views: tuple, draw: np.ndarray, models: list[Logistic], history: list[list[Handover]], open_: list[int]) -> np.ndarray:
+    """Cost, slope and curve of the logistic loss of the documents handed to each view."""
+    out = []
+    for which in open_:
+        label = handed(history[1 - which], views[1 - which], draw)
+        given = ~np.isnan(label)
+        out.append(_loss(models[which], views[which][given], label[given]))
+    return np.concatenate(out)
+
+
+def _loss(model: Logistic, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    full = np.hstack((np.ones((len(x), 1)), (x - model.mean) / model.scale))
+    odds = full @ model.weights
+    p = sigmoid(odds)
+    curve = (full * np.maximum(p * (1 - p), 1e-6)[:, None]).T @ full
+    return np.concatenate(([(np.logaddexp(0, odds) - y * odds).sum()], full.T @ (y - p), curve.ravel()))
+
+
+def _refitted(models: list[Logistic], views: list[np.ndarray], y: np.ndarray, pool: LocalPool | StagedPool, history: list[list[Handover]]) -> list[Logistic]:
+    """Both views by Newton's method on labelled documents and those handed over; a step is one pass over the pool."""
+    models, now, steps = list(models), [np.inf, np.inf], [np.zeros(len(m.weights)) for m in models]
+    open_ = [0, 1]
+    for _ in range(25):
+        trial = [m._replace(weights=m.weights + step) for m, step in zip(models, steps)]
+        sums, at = pool.total(partial(_slopes, models=trial, history=history, open_=open_)), 0
+        for which in list(open_):
+            w = trial[which].weights
+            n = len(w)
+            found = sums[at : at + 1 + n + n * n] + _loss(trial[which], views[which], y)
+            at += 1 + n + n * n
+            penalty = np.full(n, 1.0)
+            penalty[0] = 1e-6
+            cost = float(found[0] + (penalty * w * w).sum() / 2)
+            if cost <= now[which]:
+                slope = found[1 : 1 + n] - penalty * w
+                models[which], now[which] = trial[which], cost
+                steps[which] = np.linalg.solve(found[1 + n :].reshape(n, n) + np.diag(penalty), slope)
+                if slope @ steps[which] < 1e-7 * (1 + cost):
+                    open_.remove(which)
+            else:
+                steps[which] = steps[which] / 2
+        if not open_:
+            break
+    return models
+
+
+def co_trained(
+    views: tuple[np.ndarray, np.ndarray], y: np.ndarray, held_out: np.ndarray, pool: LocalPool | StagedPool | tuple[np.ndarray, np.ndarray]
+) -> Model:
     """Train both views in rounds. ``held_out`` marks labelled rows for calibration only."""
+    pool = LocalPool(pool) if isinstance(pool, tuple) else pool
     train = ~held_out if len(set(y[~held_out].tolist())) == 2 else np.ones(len(y), dtype=bool)
-    given: list[dict[int, float]] = [{}, {}]  # pseudo-labels of pool rows, by the view that learns from them
-    models = [fitted(x[train], y[train]) for x in views]
-    for _ in range(ROUNDS):
-        for which in (0, 1):
-            # By calibrated probabilities, so a view that knows nothing is sure of nothing.
-            view = calibrated(models[which], views[which][~train], y[~train])
-            p = sigmoid(view.odds(pool[which])) if len(pool[which]) else np.zeros(0)
-            fresh, most = {}, {}
-            for label, sure in ((1.0, p), (0.0, 1 - p)):
-                most[label] = HANDED * len(p) * (y[train] == label).mean()
-                fresh[label] = [i for i in np.argsort(-sure, kind="stable").tolist() if sure[i] >= SURE and i not in given[1 - which]]
-            # Both labels in the shares they have, or the learner's prior would drift.
-            part = min(1.0, *(len(fresh[label]) / max(most[label], 1e-9) for label in most))
-            for label, rows in fresh.items():
-                given[1 - which].update(dict.fromkeys(rows[: int(part * most[label])], label))
+    sums, models, at = pool.total(_moments), [], 1
+    n_pool = sums[0]
+    for x in (v[train] for v in views):
+        # Features are standardised over the labelled documents and the whole pool.
+        n, k = len(x) + n_pool, x.shape[1]
+        mean, square = ((s + own) / n for s, own in ((sums[at : at + k], x.sum(axis=0)), (sums[at + k : at + 2 * k], (x * x).sum(axis=0))))
+        at += 2 * k
+        scale = np.maximum(np.sqrt(np.maximum(square - mean * mean, 0)), 1e-3)
+        models.append(Logistic(mean, scale, newton((x - mean) / scale, y[train], decay=1.0)))
+    history: list[list[Handover]] = [[], []]  # by the view that hands over
+    most = {label: HANDED * n_pool * (y[train] == label).mean() for label, _ in _LABELS}
+    for _ in range(ROUNDS if n_pool else 0):
+        # By calibrated probabilities, so a view that knows nothing is sure of nothing.
+        sure = [calibrated(m, x[~train], y[~train]) for m, x in zip(models, views)]
+        counts = pool.total(partial(_sure, models=sure, history=history)).reshape(2, 2, _LEVELS)
         for which in (0, 1):
-            rows = sorted(given[which])
-            x = np.vstack((views[which][train], pool[which][rows]))
-            models[which] = fitted(x, np.concatenate((y[train], [given[which][i] for i in rows])))
+            history[which].append(_handover(sure[which], counts[which], most))
+        models = _refitted(models, [v[train] for v in views], y[train], pool, history)
     models = [calibrated(m, x[~train], y[~train]) for m, x in zip(models, views)]
     good = (y.sum() + 1) / (len(y) + 2)
     return Model(models[0], models[1], float(np.log(good / (1 - good))))
@@ -189,9 +338,9 @@ def _views(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for batch in slices(whole, _ROWS):
-            views = [[row.astype("<f8").tobytes() for row in view] for view in _views(batch)]
-            columns = [batch.column("doc_id"), batch.column("label"), *(pa.array(v, pa.binary()) for v in views)]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "label", "text", "meta"])
+            text, meta = _views(batch)
+            rows = [[row.astype(kind).tobytes() for row in view] for view, kind in ((text, "<f8"), (meta, np.uint8))]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(v, pa.binary()) for v in rows)], ["doc_id", "text", "meta"])
 
 
 def _inputs(documents: DataFrame, *more: Column) -> DataFrame:
@@ -206,26 +355,24 @@ def _sample(ids: DataFrame, n: int) -> DataFrame:
 
 
 def train(documents: DataFrame, labels: DataFrame) -> Model | None:
-    """The model from a bounded sample; None without documents of both labels. ``labels`` has ``doc_id, label``."""
+    """The model; None without documents of both labels. ``labels`` has ``doc_id, label``."""
     labelled = labels.where("label in (0, 1) and doc_id is not null").groupBy("doc_id").agg((F.avg("label") >= 0.5).cast("double").alias("label"))
-    ids = documents.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct()
-    known = _sample(labelled.join(ids, "doc_id", "left_semi"), LABELLED)
-    pool = _sample(ids.join(labelled, "doc_id", "left_anti"), POOL).withColumn("label", F.lit(None).cast("double"))
-    chosen = staged(known.select("doc_id", "label").unionByName(pool))
-    # At most LABELLED + POOL ids go to the texts; of a repeated id one row counts.
-    rows = _inputs(documents, F.col("doc_id").cast("long").alias("doc_id")).join(F.broadcast(chosen), "doc_id")
-    features = rows.mapInArrow(_extract, "doc_id long, label double, text binary, meta binary")
-    sample = features.dropDuplicates(["doc_id"]).toArrow().sort_by("doc_id")
+    inputs = _inputs(documents, F.col("doc_id").cast("long").alias("doc_id"))
+    named, nameless = (inputs.where(f"doc_id is {x} null").mapInArrow(_extract, "doc_id long, text binary, meta binary") for x in ("not", ""))
+    features = named.join(labelled.hint("merge"), "doc_id", "left").unionByName(nameless.withColumn("label", F.lit(None).cast("double")))
+    features = staged(features)
+    chosen = staged(_sample(features.where("label is not null").select("doc_id", "label").distinct(), LABELLED))
+    # At most LABELLED ids go to the features; of a repeated id one row counts.
+    sample = features.join(F.broadcast(chosen.select("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"]).toArrow().sort_by("doc_id")
     discard(chosen)
-    label = np.array([np.nan if x is None else x for x in sample.column("label").to_pylist()], dtype=np.float64)
-    sizes = {"text": TEXT_FEATURES, "meta": META_FEATURES}
-    views = [np.frombuffer(b"".join(sample.column(c).to_pylist()), "<f8").reshape(-1, n) for c, n in sizes.items()]
-    with_label = ~np.isnan(label)
-    y = label[with_label]
-    if len(set(y.tolist())) < 2:
-        return None
-    held_out = np.arange(len(y)) % 4 == 3
-    return co_trained(tuple(v[with_label] for v in views), y, held_out, tuple(v[~with_label] for v in views))
+    y = sample.column("label").to_numpy()
+    model = None
+    if len(set(y.tolist())) == 2:
+        held_out = np.arange(len(y)) % 4 == 3
+        draw = F.xxhash64("doc_id", "text", "meta").alias("draw")
+        model = co_trained(_unfolded(sample), y, held_out, StagedPool(features.where("label is null").select("text", "meta", draw)))
+    discard(features)
+    return model
 
 
 SCORES = ("p_text", "p_meta", "quality")

@@ -62,6 +62,28 @@ def test_views_teach_each_other():
     assert ((model.probabilities(text[rest], meta[rest])[2] > 0.5) == y[rest]).mean() > 0.97
 
 
+def test_the_pool_has_every_document_without_label(spark, monkeypatch):
+    """No bound on the pool, and a staged pool trains as arrays do."""
+    pools = []
+    co_trained = quality.co_trained
+
+    def seen(views, y, held_out, pool):
+        pools.append(pool.total(lambda views, draw: np.array([float(len(draw))])).tolist())
+        return co_trained(views, y, held_out, pool)
+
+    monkeypatch.setattr(quality, "co_trained", seen)
+    docs = spark.range(12_000).select(
+        F.col("id").alias("doc_id"), F.when(F.col("id") % 2 == 0, "good text of words").otherwise("1 2 !! ## 3").alias("text"),
+        F.lit("en").alias("lang"), F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("source"), F.lit(20).alias("n_chars"),
+    )
+    docs = docs.unionByName(docs.where("doc_id = 11999").withColumn("doc_id", F.lit(None).cast("long")))
+    model = quality.train(docs, spark.range(100).select(F.col("id").alias("doc_id"), (F.col("id") % 2 == 0).cast("int").alias("label")))
+    assert pools == [[11_901]]
+    text = [quality.text_features(t) for t in (b"good text of words", b"1 2 !! ## 3")]
+    meta = [quality.meta_features("en", s, 20) for s in "ab"]
+    assert [p > 0.5 for p in model.probabilities(np.array(text), np.array(meta))[2]] == [True, False]
+
+
 def test_features_have_their_sizes():
     assert quality.text_features(None).shape == quality.text_features("é!\n x".encode()).shape == (quality.TEXT_FEATURES,)
     assert quality.meta_features(None, None, None).sum() == quality.meta_features("en", "s", 10**15).sum() == 3
