@@ -15,7 +15,7 @@ is longer than the corpus divided by the table's rows.
 Decoding joins every id with its piece, the bytes of the vocabulary's entry.
 
 Defined results: a NULL or empty text has no ids; every row is encoded for itself, whatever ids repeat (rows whose ids
-repeat are told apart by their texts). Only ``doc_id`` and ``text`` are read.
+repeat are told apart by their texts, and of copies one sends its words). Only ``doc_id`` and ``text`` are read.
 """
 
 from __future__ import annotations
@@ -219,7 +219,9 @@ def _joined(documents: DataFrame, tokenizer: str, frequent: int) -> tuple[DataFr
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     table = context.broadcast(_frequent(texts.select("text"), tokenizer, frequent))
     keyed = _keyed(texts)
-    rare = keyed.drop("doc_id").mapInArrow(partial(_rare, tokenizer=tokenizer, table=table), f"{_KEY}, position int, word string")
+    # Of the rows of one hashed key one sends its words; every copy joins what comes back.
+    own, shared = (keyed.where(x).select("key", "hashed", "text") for x in ("not hashed", "hashed"))
+    rare = own.unionByName(shared.distinct()).mapInArrow(partial(_rare, tokenizer=tokenizer, table=table), f"{_KEY}, position int, word string")
     # In order of words before the shuffle too: neighbours in its blocks are alike and compress.
     runs = rare.sortWithinPartitions("word").repartition("word").sortWithinPartitions("word")
     encoded = runs.mapInArrow(partial(_encode_runs, tokenizer=tokenizer), f"{_KEY}, position int, ids binary")

@@ -29,6 +29,17 @@ def test_equals_the_library(spark, frequent):
     assert sorted(((r.doc_id, bytes(r.ids), r.decoded) for r in got.collect()), key=repr) == sorted(want, key=repr)
 
 
+def test_copies_send_their_words_once(spark):
+    """What a key gathers is bounded by one text, however many rows repeat it."""
+    text = " ".join(f"rare{i}x" for i in range(50))
+    rows = [(1, text)] * 300 + [(None, text + " end")] * 200 + [(2, "other words")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    joined, _ = bpe._joined(docs, TOKENIZER, 3)
+    assert max(len(r.rare) for r in joined.select("rare").collect()) <= len(bpe.Words(TOKENIZER)(text + " end"))
+    got = bpe.encode_and_decode(docs, TOKENIZER, 3).select("doc_id", "decoded").collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(rows, key=repr)
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert bpe.decode(bpe.encode(docs, TOKENIZER), TOKENIZER).collect() == []
