@@ -168,7 +168,7 @@ def _by_size(texts: list[bytes | None]) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
-_FEATURES = "doc_id long, n_shingles long, f1 long, f2 long, bands array<long>, sketch binary"
+_FEATURES = "doc_id long, print long, n_shingles long, f1 long, f2 long, bands array<long>, sketch binary"
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,12 +182,12 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keys, sketch = iter(band_keys(signed).tolist()), iter(sketches(signed))
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id").slice(a, b - a), pa.array([len(s) for s in sets], pa.int64()),
+                    batch.column("doc_id").slice(a, b - a), batch.column("print").slice(a, b - a), pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([p[0] for p in prints], pa.int64()), pa.array([p[1] for p in prints], pa.int64()),
                     pa.array([next(keys) if len(s) else [] for s in sets], pa.list_(pa.int64())),
                     pa.array([next(sketch).tobytes() if len(s) else b"" for s in sets], pa.binary()),
                 ],
-                ["doc_id", "n_shingles", "f1", "f2", "bands", "sketch"],
+                ["doc_id", "print", "n_shingles", "f1", "f2", "bands", "sketch"],
             )
 
 
@@ -320,7 +320,7 @@ def _dealt(members: DataFrame, group: str) -> DataFrame:
     sizes = members.groupBy(group).agg(F.count("*").alias("size")).where("size > 1")
     blocks = F.ceil(F.col("size") / BLOCK)
     rows = members.join(sizes, group).withColumn("blocks", blocks)
-    rows = rows.withColumn("side", F.pmod(F.xxhash64("rep"), F.col("blocks")))
+    rows = rows.withColumn("side", F.pmod(F.xxhash64("rep", "print"), F.col("blocks")))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.withColumns({"unit": F.col(group), "i": F.least("side", "other"), "j": F.greatest("side", "other")})
     return rows.drop("size", "blocks", "other", group)
@@ -333,22 +333,27 @@ def _in_units(rows: DataFrame) -> DataFrame:
 def near_duplicates(documents: DataFrame) -> DataFrame:
     """One row per document: ``doc_id, n_shingles, component_id, kept``."""
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = texts.withColumn("print", F.xxhash64("text"))
     features = staged(texts.mapInArrow(_features, _FEATURES))
     same = ["f1", "f2", "n_shingles"]
     linked = features.where("n_shingles > 0 and doc_id is not null")
-    classes = linked.groupBy(*same).agg(F.min("doc_id").alias("rep"), F.any_value("bands").alias("bands"), F.any_value("sketch").alias("sketch"))
-    classes = staged(classes)
-    banded = classes.select("rep", "sketch", F.explode("bands").alias("band"))
+    first = F.min(F.struct("doc_id", "print")).alias("first")
+    classes = linked.groupBy(*same).agg(first, F.any_value("bands").alias("bands"), F.any_value("sketch").alias("sketch"))
+    classes = staged(classes.withColumns({"rep": F.col("first.doc_id"), "print": F.col("first.print")}).drop("first"))
+    banded = classes.select("rep", "print", "sketch", F.explode("bands").alias("band"))
     close = _in_units(_dealt(banded, "band")).mapInArrow(_bucket_edges, "a long, b long")
     clusters = components(close)
     members = clusters.select(F.col("node").alias("rep"), F.col("component").alias("cluster"))
-    members = _dealt(members, "cluster").join(classes.select("rep", "sketch"), "rep")
-    with_text = members.join(texts.withColumnRenamed("doc_id", "rep"), "rep")
+    # One row and one text for each class, so blocks are cut by the rows that arrive, however often a row is repeated.
+    members = members.join(classes.select("rep", "print", "sketch"), "rep")
+    wanted = members.select("rep", "print")
+    found = texts.withColumnRenamed("doc_id", "rep").join(wanted, ["rep", "print"], "left_semi").distinct()
+    with_text = _dealt(members, "cluster").join(found, ["rep", "print"])
     links = _in_units(with_text).mapInArrow(_confirm, "a long, b long")
     joined = components(links)
     smallest = joined.groupBy("component").agg(F.min("node").alias("component_id"))
     smallest = joined.join(smallest, "component").select(F.col("node").alias("rep"), "component_id")
-    named = features.drop("bands", "sketch").join(classes.select(*same, "rep"), same, "left").join(smallest, "rep", "left")
+    named = features.drop("bands", "sketch", "print").join(classes.select(*same, "rep"), same, "left").join(smallest, "rep", "left")
     component: Column = F.coalesce(F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "rep")), F.col("doc_id"))
     kept = F.coalesce(F.col("doc_id") == component, F.lit(True))
     return named.select("doc_id", "n_shingles", component.alias("component_id"), kept.alias("kept"))

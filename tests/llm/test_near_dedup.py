@@ -74,6 +74,31 @@ def test_rows_without_id_and_repeated_rows(spark):
     assert result(kept) == sorted([(3, text + " more"), (None, text), (8, None)], key=repr)
 
 
+def confirmed_units(monkeypatch):
+    """The tables of units, in the order they are made: of buckets, then of clusters."""
+    made, in_units = [], near_dedup._in_units
+    monkeypatch.setattr(near_dedup, "_in_units", lambda rows: made.append(rows) or in_units(rows))
+    return made
+
+
+def test_repeated_rows_come_to_a_unit_once(spark, monkeypatch):
+    made = confirmed_units(monkeypatch)
+    text = " ".join(f"w{i}" for i in range(40))
+    docs = spark.createDataFrame([(5, text)] * 700 + [(3, text + " more")], "doc_id long, text string")
+    assert set(map(tuple, near_dedup.near_duplicates(docs).collect())) == {(5, 36, 3, False), (3, 37, 3, True)}
+    assert made[1].count() == 2
+
+
+def test_blocks_are_cut_by_classes_not_ids(spark, monkeypatch):
+    """One id with many different texts, one of them near another document."""
+    monkeypatch.setattr(near_dedup, "BLOCK", 8)
+    made = confirmed_units(monkeypatch)
+    texts = [" ".join(f"t{k}w{i}" for i in range(40)) for k in range(200)]
+    docs = spark.createDataFrame([(5, t) for t in texts] + [(3, texts[70] + " more")], "doc_id long, text string")
+    assert {(r.doc_id, r.component_id) for r in near_dedup.near_duplicates(docs).collect()} == {(5, 3), (3, 3)}
+    assert max(r["count"] for r in made[1].groupBy("unit", "i", "j").count().collect()) < 60
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert near_dedup.near_duplicates(docs).collect() == []
