@@ -12,7 +12,7 @@ word is encoded once:
 Which words are in the table decides only where a word is encoded, never its ids. A hot word is in the table, so no run
 is longer than the corpus divided by the table's rows.
 
-Decoding joins every id with its piece, the bytes of the vocabulary's entry.
+Decoding looks every id up in the table of pieces, the bytes of the vocabulary's entries, which each task loads.
 
 Defined results: a NULL or empty text has no ids; every row is encoded for itself, whatever ids repeat (rows whose ids
 repeat are told apart by their texts, and of copies one sends its words). Only ``doc_id`` and ``text`` are read.
