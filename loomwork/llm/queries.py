@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomwork.llm import bpe, chat, decontamination, lm_scoring, near_dedup, neighbours, pii, quality, token_files, url_filters
+from loomwork.llm import bpe, chat, chunked_bpe, decontamination, lm_scoring, near_dedup, neighbours, pii, quality, token_files, url_filters
 from loomwork.staging import staged, staging_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -108,6 +108,14 @@ def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(vectors, "vec_id % 20 = 0", 20)
 
 
+def op13_chunked_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    encoded = chunked_bpe.encode(table(spark, sf_dir, "documents"), ranks, pattern)
+    return chunked_bpe.decode(encoded, ranks, pattern).select(
+        "doc_id", n_ids("ids").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
 def n_ids(column: str) -> Column:
     """Number of 32-bit ids in a binary column."""
     return (F.octet_length(column) / 4).cast("long")
@@ -116,6 +124,6 @@ def n_ids(column: str) -> Column:
 def queries() -> dict[str, Query]:
     registered = (
         op1_url_filter, op2_cross_entropy, op3_quality, op4_decontamination, op5_near_dedup, op6_pii, op7_bpe, op8_chat,
-        op9_neighbours, op10_token_files,
+        op9_neighbours, op10_token_files, op13_chunked_bpe,
     )
     return {query.__name__: query for query in registered}

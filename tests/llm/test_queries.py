@@ -20,7 +20,7 @@ TINY = "/root/testdata/sf0.001"
 
 def test_every_operator_has_a_query():
     numbers = sorted(int(re.match(r"op(\d+)_", name)[1]) for name in queries.queries())
-    assert numbers == list(range(1, 11))
+    assert numbers == [*range(1, 11), 13]
     assert set(queries.queries()) | {"pipeline"} <= set(driver.queries())
     assert set(oracles.oracle_sql()) <= set(driver.oracle_sql()) and "pipeline" not in driver.oracle_sql()
 
@@ -51,6 +51,7 @@ def test_shapes(spark):
         "op7_bpe": "doc_id n_tokens ids_sha256 decoded_sha256",
         "op9_neighbours": "query_id rank vec_id score",
         "op10_token_files": "doc_id start n_tokens ids_crc32",
+        "op13_chunked_bpe": "doc_id n_tokens ids_sha256 decoded_sha256",
     }
     documents = spark.read.parquet(f"{TINY}/documents.parquet").count()
     for name, columns in wanted.items():
