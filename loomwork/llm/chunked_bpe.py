@@ -25,6 +25,7 @@ import base64
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache, partial
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -69,11 +70,12 @@ def _counts(text: str, end: int) -> bool:
 def _chunks(batches: Iterator[pa.RecordBatch], chunk: int, overlap: int) -> Iterator[pa.RecordBatch]:
     """Each text as chunks: where they begin, their own length, and their text with the overlap."""
     for batch in batches:
-        for row, text in zip(batch.column("row").to_pylist(), batch.column("text").to_pylist()):
+        for row, name, text in zip(*(batch.column(c).to_pylist() for c in ("row", "doc_id", "text"))):
             begins = range(0, len(text), chunk)
             for some in (begins[i : i + _ROWS] for i in range(0, len(begins), _ROWS)):
                 yield pa.RecordBatch.from_pydict({
                     "row": pa.array([row] * len(some), pa.int64()),
+                    "doc_id": pa.array([name] * len(some), pa.int64()),
                     "begin": pa.array(some, pa.int64()),
                     "own": pa.array([min(chunk, len(text) - b) for b in some], pa.int64()),
                     "text": pa.array([text[b : b + chunk + overlap] for b in some], pa.string()),
@@ -84,26 +86,35 @@ def _ends(batches: Iterator[pa.RecordBatch], pattern: str, overlap: int) -> Iter
     """Pre-tokenise each chunk: the ends of pre-tokens in its first and in its last ``overlap`` code points, counted
     from the start of the chunk and from the start of its neighbour."""
     cut = regex.compile(pattern)
-    for batch in batches:
-        heads, tails = [], []
-        for own, text in zip(batch.column("own").to_pylist(), batch.column("text").to_pylist()):
-            sure = len(text) - _AHEAD if len(text) > own else len(text)
-            ends = [m.end() for m in cut.finditer(text) if m.end() <= sure and _counts(text, m.end())]
-            heads.append([e for e in ends if e <= overlap])
-            tails.append([e - own for e in ends if e >= own])
-        columns = [pa.array(x, pa.list_(pa.int64())) for x in (heads, tails)]
-        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("row", "begin", "own")), *columns], ["row", "begin", "own", "head", "tail"])
+    for whole in batches:
+        for batch in slices(whole, _ROWS):
+            heads, tails = [], []
+            for own, text in zip(batch.column("own").to_pylist(), batch.column("text").to_pylist()):
+                sure = len(text) - _AHEAD if len(text) > own else len(text)
+                ends = [m.end() for m in cut.finditer(text) if m.end() <= sure and (m.end() <= overlap or m.end() >= own)]
+                ends = [e for e in ends if _counts(text, e)]
+                heads.append([e for e in ends if e <= overlap])
+                tails.append([e - own for e in ends if e >= own])
+            columns = [pa.array(x, pa.list_(pa.int64())) for x in (heads, tails)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*batch.schema.names, "head", "tail"])
+
 
+_CHUNK = "row long, doc_id long, begin long, own long, text string"
 
-def _meeting(chunks: DataFrame, pattern: str, overlap: int) -> DataFrame:
+
+def _cut(chunks: DataFrame, pattern: str, overlap: int) -> DataFrame:
+    """Chunks with ``head`` and ``tail``, the chunks of one text spread over the tasks."""
+    job = partial(_ends, pattern=pattern, overlap=overlap)
+    return staged(chunks.repartition("row", "begin").mapInArrow(job, f"{_CHUNK}, head array<long>, tail array<long>"), in_loop=True)
+
+
+def _meeting(cut: DataFrame) -> DataFrame:
     """``row, begin, meet`` for every chunk but the first of a text: where it resynchronises with the chunk before,
     counted from its start, NULL if nowhere."""
-    spread = chunks.repartition("row", "begin")
-    ends = staged(spread.mapInArrow(partial(_ends, pattern=pattern, overlap=overlap), "row long, begin long, own long, head array<long>, tail array<long>"))
-    before = ends.select("row", (F.col("begin") + F.col("own")).alias("begin"), "tail")
-    return ends.select("row", "begin", "head").join(before, ["row", "begin"]).select(
+    before = cut.select("row", (F.col("begin") + F.col("own")).alias("begin"), "tail")
+    return staged(cut.select("row", "begin", "head").join(before, ["row", "begin"]).select(
         "row", "begin", F.array_min(F.array_intersect("head", "tail")).alias("meet")
-    )
+    ), in_loop=True)
 
 
 def _merged(chunks: DataFrame, meeting: DataFrame) -> DataFrame:
@@ -112,51 +123,91 @@ def _merged(chunks: DataFrame, meeting: DataFrame) -> DataFrame:
     order = Window.partitionBy("row").orderBy("begin")
     marks = chunks.select("row", "begin").join(apart, ["row", "begin"], "left")
     marks = marks.withColumn("island", F.sum(F.coalesce("starts", F.lit(1))).over(order)).drop("starts")
-    joined = chunks.join(marks, ["row", "begin"]).groupBy("row", "island").agg(
+    joined = chunks.join(marks, ["row", "begin"]).groupBy("row", "doc_id", "island").agg(
         F.array_sort(F.collect_list(F.struct("begin", "own", "text"))).alias("parts"), F.sum("own").alias("own")
     )
     owns = F.transform("parts", lambda x: F.substring(x.text, F.lit(1), x.own.cast("int")))
     last = F.element_at("parts", -1)
     overlap = F.substring(last.text, (last.own + 1).cast("int"), F.length(last.text))
     text = F.concat(F.array_join(owns, ""), overlap)
-    return joined.select("row", F.element_at("parts", 1).begin.alias("begin"), "own", text.alias("text"))
-
-
-def _encode(batches: Iterator[pa.RecordBatch], ranks: str, pattern: str) -> Iterator[pa.RecordBatch]:
-    """Encode ``text``, other columns as they are."""
-    encoder = encoding(ranks, pattern)
-    for whole in batches:
-        for batch in slices(whole, _ROWS):
-            ids = [np.array(encoder.encode_ordinary(text or ""), "<u4").tobytes() for text in batch.column("text").to_pylist()]
-            columns = {c: batch.column(c) for c in batch.schema.names if c != "text"}
-            yield pa.RecordBatch.from_pydict(columns | {"ids": pa.array(ids, pa.binary())})
+    return joined.select("row", "doc_id", F.element_at("parts", 1).begin.alias("begin"), "own", text.alias("text"))
 
 
 def pieces(long_texts: DataFrame, pattern: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
-    """``row, begin, text``: the texts of ``row, text`` in pieces that hold whole pre-tokens."""
+    """``row, doc_id, begin, text``: the texts of ``row, doc_id, text`` in pieces that hold whole pre-tokens."""
     if not 0 < overlap <= chunk:
         raise ValueError("the overlap is at least one code point and at most a chunk")
-    cut = partial(_chunks, chunk=chunk, overlap=overlap)
-    chunks = staged(long_texts.select("row", "text").mapInArrow(cut, "row long, begin long, own long, text string"))
-    meeting = staged(_meeting(chunks, pattern, overlap))
+    chunks = long_texts.select("row", "doc_id", "text").mapInArrow(partial(_chunks, chunk=chunk, overlap=overlap), _CHUNK)
+    cut = _cut(chunks, pattern, overlap)
+    meeting = _meeting(cut)
     while not (apart := meeting.where("meet is null")).isEmpty():
         # Only texts with such a chunk are cut again.
         rows = apart.select("row").distinct()
-        again = staged(_merged(chunks.join(rows, "row", "left_semi"), meeting.join(rows, "row", "left_semi")), in_loop=True)
-        met = _meeting(again, pattern, overlap)
-        chunks = staged(chunks.join(rows, "row", "left_anti").unionByName(again), in_loop=True)
-        meeting = staged(meeting.join(rows, "row", "left_anti").unionByName(met), in_loop=True)
+        again = _cut(_merged(cut.join(rows, "row", "left_semi"), meeting.join(rows, "row", "left_semi")), pattern, overlap)
+        cut = staged(cut.join(rows, "row", "left_anti").unionByName(again), in_loop=True)
+        meeting = _meeting(cut)
     first = meeting.select("row", "begin", F.col("meet").alias("first"))
-    after = first.withColumnRenamed("first", "after").withColumnRenamed("begin", "next")
-    placed = chunks.withColumn("next", F.col("begin") + F.col("own")).join(first, ["row", "begin"], "left").join(after, ["row", "next"], "left")
+    after = meeting.select("row", F.col("begin").alias("next"), F.col("meet").alias("after"))
+    chunks = cut.select("row", "doc_id", "begin", "own", "text", (F.col("begin") + F.col("own")).alias("next"))
+    placed = chunks.join(first, ["row", "begin"], "left").join(after, ["row", "next"], "left")
     start, end = F.coalesce("first", F.lit(0)), F.col("own") + F.coalesce("after", F.lit(0))
-    return placed.select("row", "begin", F.substring("text", (start + 1).cast("int"), (end - start).cast("int")).alias("text"))
+    return placed.select("row", "doc_id", "begin", F.substring("text", (start + 1).cast("int"), (end - start).cast("int")).alias("text"))
 
 
-def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        ids = [b"".join(part["ids"] for part in parts) for parts in batch.column("parts").to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.binary())], ["doc_id", "ids"])
+class Coder(NamedTuple):
+    """What tasks need for encoding and decoding."""
+
+    ranks: str
+    pattern: str
+
+    def encode(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """``ids`` in place of ``text``, other columns as they are."""
+        encoder = encoding(*self)
+        for whole in batches:
+            for batch in slices(whole, _ROWS):
+                ids = [np.array(encoder.encode_ordinary(text or ""), "<u4").tobytes() for text in batch.column("text").to_pylist()]
+                columns = {c: batch.column(c) for c in batch.schema.names if c != "text"}
+                yield pa.RecordBatch.from_pydict(columns | {"ids": pa.array(ids, pa.binary())})
+
+    def decode(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        decoder = encoding(*self)
+        for whole in batches:
+            for batch in slices(whole, _ROWS):
+                data = [decoder.decode_bytes(np.frombuffer(ids or b"", "<u4").tolist()) for ids in batch.column("ids").to_pylist()]
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(data, pa.binary())], [*batch.schema.names, "decoded"])
+
+    def narrow(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Encode pieces; their ids travel in as few bytes as the vocabulary needs."""
+        for batch in self.encode(batches):
+            ids = [np.frombuffer(x, "<u4").astype(self._kind()).tobytes() for x in batch.column("ids").to_pylist()]
+            yield pa.RecordBatch.from_pydict({c: batch.column(c) for c in ("row", "doc_id", "begin")} | {"ids": pa.array(ids, pa.binary())})
+
+    def _kind(self) -> str:
+        return "<u2" if encoding(*self).n_vocab <= 1 << 16 else "<u4"
+
+    def join(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The ids of the parts of each text, in order."""
+        for whole in batches:
+            for batch in slices(whole, _ROWS):
+                ids = [b"".join(part["ids"] for part in parts) for parts in batch.column("parts").to_pylist()]
+                ids = [np.frombuffer(x, self._kind()).astype("<u4").tobytes() for x in ids]
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.binary())], ["doc_id", "ids"])
+
+    def encode_and_decode(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return self.decode(self.encode(batches))
+
+    def join_and_decode(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return self.decode(self.join(batches))
+
+
+def _short_and_long(documents: DataFrame, coder: Coder, chunk: int, overlap: int) -> tuple[DataFrame, DataFrame]:
+    """``doc_id, text`` of texts of one chunk, and ``doc_id, parts`` of the others, whose parts are encoded."""
+    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    long = F.coalesce(F.length("text") > chunk, F.lit(False))
+    cut = pieces(texts.where(long).withColumn("row", F.monotonically_increasing_id()), coder.pattern, chunk, overlap)
+    encoded = cut.mapInArrow(coder.narrow, "row long, doc_id long, begin long, ids binary")
+    parts = encoded.groupBy("row", "doc_id").agg(F.array_sort(F.collect_list(F.struct("begin", "ids"))).alias("parts"))
+    return texts.where(~long), parts.select("doc_id", "parts")
 
 
 def encode(documents: DataFrame, ranks: str, pattern: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
@@ -165,27 +216,21 @@ def encode(documents: DataFrame, ranks: str, pattern: str, chunk: int = CHUNK, o
     ``ranks`` is a file of a rank for each token's bytes, ``pattern`` cuts texts into the parts that merge apart; it may
     look ahead of a match, by one character at white space, but not behind it.
     """
-    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    job = partial(_encode, ranks=ranks, pattern=pattern)
-    long = F.coalesce(F.length("text") > chunk, F.lit(False))
-    short = texts.where(~long).mapInArrow(job, "doc_id long, ids binary")
-    numbered = staged(texts.where(long).withColumn("row", F.monotonically_increasing_id()))
-    cut = pieces(numbered, pattern, chunk, overlap)
-    encoded = cut.repartition("row", "begin").mapInArrow(job, "row long, begin long, ids binary")
-    parts = encoded.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("begin", "ids"))).alias("parts"))
-    whole = parts.join(numbered.select("row", "doc_id"), "row").select("doc_id", "parts")
-    return short.unionByName(whole.mapInArrow(_joined, "doc_id long, ids binary"))
+    coder = Coder(ranks, pattern)
+    short, parts = _short_and_long(documents, coder, chunk, overlap)
+    schema = "doc_id long, ids binary"
+    return short.mapInArrow(coder.encode, schema).unionByName(parts.mapInArrow(coder.join, schema))
 
 
-def _decode(batches: Iterator[pa.RecordBatch], ranks: str, pattern: str) -> Iterator[pa.RecordBatch]:
-    decoder = encoding(ranks, pattern)
-    for whole in batches:
-        for batch in slices(whole, _ROWS):
-            data = [decoder.decode_bytes(np.frombuffer(ids or b"", "<u4").tolist()) for ids in batch.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(data, pa.binary())], [*batch.schema.names, "decoded"])
+def encode_and_decode(documents: DataFrame, ranks: str, pattern: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
+    """``doc_id, ids, decoded``: ``encode`` and ``decode`` with one Python worker for each task."""
+    coder = Coder(ranks, pattern)
+    short, parts = _short_and_long(documents, coder, chunk, overlap)
+    schema = "doc_id long, ids binary, decoded binary"
+    return short.mapInArrow(coder.encode_and_decode, schema).unionByName(parts.mapInArrow(coder.join_and_decode, schema))
 
 
 def decode(encoded: DataFrame, ranks: str, pattern: str) -> DataFrame:
     """``encoded`` (a column ``ids``) with ``decoded``, the bytes of the ids one after the other."""
     schema = ", ".join([*(f"`{c}` {kind}" for c, kind in encoded.dtypes), "decoded binary"])
-    return encoded.mapInArrow(partial(_decode, ranks=ranks, pattern=pattern), schema)
+    return encoded.mapInArrow(Coder(ranks, pattern).decode, schema)

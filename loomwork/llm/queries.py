@@ -110,8 +110,7 @@ def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op13_chunked_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
-    encoded = chunked_bpe.encode(table(spark, sf_dir, "documents"), ranks, pattern)
-    return chunked_bpe.decode(encoded, ranks, pattern).select(
+    return chunked_bpe.encode_and_decode(table(spark, sf_dir, "documents"), ranks, pattern).select(
         "doc_id", n_ids("ids").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )
 

@@ -28,13 +28,15 @@ def test_equals_the_library(spark, chunk, overlap):
     docs = spark.createDataFrame(rows, "doc_id long, text string, ids string, row int")
     got = chunked_bpe.decode(chunked_bpe.encode(docs, RANKS, PATTERN, chunk, overlap), RANKS, PATTERN)
     assert got.columns == ["doc_id", "ids", "decoded"]
+    both = chunked_bpe.encode_and_decode(docs, RANKS, PATTERN, chunk, overlap)
     want = [(name, library(text), (text or "").encode()) for name, text, *_ in rows]
-    assert sorted(((r.doc_id, bytes(r.ids), bytes(r.decoded)) for r in got.collect()), key=repr) == sorted(want, key=repr)
+    for df in (got, both):
+        assert sorted(((r.doc_id, bytes(r.ids), bytes(r.decoded)) for r in df.collect()), key=repr) == sorted(want, key=repr)
 
 
 def test_a_long_text_goes_to_many_pieces(spark):
     text = "Some words of a text, and more. " * 3000
-    pieces = chunked_bpe.pieces(spark.createDataFrame([(0, text)], "row long, text string"), PATTERN, 1000, 100).orderBy("begin").collect()
+    pieces = chunked_bpe.pieces(spark.createDataFrame([(0, 7, text)], "row long, doc_id long, text string"), PATTERN, 1000, 100).orderBy("begin").collect()
     assert "".join(p.text for p in pieces) == text
     assert len(pieces) == 96 and max(len(p.text) for p in pieces) < 1200
 
@@ -53,7 +55,7 @@ def test_any_cut_resynchronises_right(text, chunk):
     import regex
 
     overlap = 3
-    table = pa.RecordBatch.from_pydict({"row": pa.array([0]), "text": [text]})
+    table = pa.RecordBatch.from_pydict({"row": pa.array([0]), "doc_id": pa.array([0]), "text": [text]})
     chunks = list(chunked_bpe._chunks(iter([table]), chunk, overlap)) if text else []
     ends = [row for batch in chunked_bpe._ends(iter(chunks), PATTERN, overlap) for row in batch.to_pylist()]
     # A chunk is only right behind a true place, so neighbours count as long as all before them met.
@@ -72,4 +74,4 @@ def test_empty_table(spark):
 
 def test_bad_overlap(spark):
     with pytest.raises(ValueError):
-        chunked_bpe.pieces(spark.range(0).select(F.col("id").alias("row"), F.lit("").alias("text")), PATTERN, 10, 11)
+        chunked_bpe.pieces(spark.range(0).select(F.col("id").alias("row"), F.col("id").alias("doc_id"), F.lit("").alias("text")), PATTERN, 10, 11)
