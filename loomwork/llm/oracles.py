@@ -82,5 +82,47 @@ FROM sized GROUP BY conv_id
 """
 
 
+# CRC-32 of a decimal number: its bytes, each followed by eight steps of the bitwise division.
+OP12 = r"""
+WITH turns AS (
+  SELECT conv_id::BIGINT AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS p,
+         sha256(coalesce(role, '') || chr(10) || coalesce(text, '')) AS said, octet_length(encode(coalesce(text, ''))) AS bytes
+  FROM conversations WHERE conv_id IS NOT NULL
+), sizes AS (
+  SELECT c, count(*) AS size, xor(4294967295::BIGINT, list_reduce(
+           [4294967295::BIGINT] || flatten(list_transform(string_split(c::VARCHAR, ''), lambda ch: [ascii(ch)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1])),
+           lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)) % 9 AS h
+  FROM turns GROUP BY c
+), plans AS (
+  SELECT s.c, s.h, s.c - s.c % 5 AS source, least(s.h, coalesce(o.size, 0)) AS taken FROM sizes s LEFT JOIN sizes o ON o.c = s.c - s.c % 5
+), seqs AS (
+  SELECT plans.c, p + 1 AS d, said, bytes FROM plans JOIN turns ON turns.c = source WHERE p < h
+  UNION ALL
+  SELECT plans.c, p - h + taken + 1, said, bytes FROM plans JOIN turns USING (c) WHERE p >= h
+), prefixes AS (
+  SELECT c, d, bytes, sha256(string_agg(said, '') OVER (PARTITION BY c ORDER BY d)) AS prefix FROM seqs
+  UNION ALL
+  SELECT c, 0, 0, '' FROM sizes
+), named AS (
+  SELECT c, d, bytes, min(c) OVER (PARTITION BY d, prefix) AS node FROM prefixes
+), nodes AS (
+  SELECT d, node, count(*) AS n, max(bytes) AS bytes FROM named GROUP BY d, node
+), edges AS (
+  SELECT nodes.d, nodes.node, nodes.n, nodes.bytes, up.node AS parent FROM nodes LEFT JOIN named up ON up.c = nodes.node AND up.d = nodes.d - 1
+), kids AS (
+  SELECT d - 1 AS d, parent AS node, count(*) AS kids FROM edges WHERE d > 0 GROUP BY ALL
+), sums AS (
+  SELECT up.d, up.node, sum(CASE WHEN kids IS NULL THEN 1 ELSE 0 END) AS leaves, sum((edges.n - 1) * edges.bytes) AS saved
+  FROM edges LEFT JOIN kids USING (d, node) JOIN named up ON up.c = edges.node AND up.d <= edges.d GROUP BY up.d, up.node
+), ends AS (
+  SELECT d, node, string_agg(c::VARCHAR, ',' ORDER BY c) AS members
+  FROM (SELECT c, max_by(node, d) AS node, max(d) AS d FROM named GROUP BY c) GROUP BY d, node
+)
+SELECT node AS conv_id, d::BIGINT AS depth, parent AS parent_conv_id, n::BIGINT AS n_convs, coalesce(kids, 0)::BIGINT AS n_children,
+       leaves::BIGINT AS n_leaves, saved::BIGINT AS saved_tokens, sha256(coalesce(members, '')) AS ends_sha256
+FROM edges JOIN sums USING (d, node) LEFT JOIN kids USING (d, node) LEFT JOIN ends USING (d, node)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filter": OP1, "op4_decontamination": OP4, "op8_chat": OP8}
+    return {"op1_url_filter": OP1, "op4_decontamination": OP4, "op8_chat": OP8, "op12_prefix_trie": OP12}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomwork.llm import bpe, chat, chunked_bpe, decontamination, lm_scoring, near_dedup, neighbours, pii, quality, token_files, url_filters
+from loomwork.llm import bpe, chat, chunked_bpe, decontamination, lm_scoring, near_dedup, neighbours, pii, prefix_trie, quality, token_alignment, token_files, url_filters
 from loomwork.staging import staged, staging_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -108,6 +108,40 @@ def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(vectors, "vec_id % 20 = 0", 20)
 
 
+def alignment_summary(documents: DataFrame, a: str, b: str, common_pairs: int = token_alignment.COMMON_PAIRS) -> DataFrame:
+    """One row for each document: numbers of tokens, groups and links, sums over its links, and a digest of its groups."""
+    found = token_alignment.aligned(documents, a, b)
+    counts = staged(token_alignment.pair_counts(found, a, b))
+    numbers = ("n_a", "n_b", "n_groups", "n_links")
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    rows = token_alignment.groups(found).select("row", "doc_id", *numbers, digest.alias("groups_sha256"))
+    parts = token_alignment.scored(found, counts, a, b, common_pairs)
+    summed = rows.unionByName(parts, allowMissingColumns=True).groupBy("row").agg(
+        *(F.max(c).alias(c) for c in ("doc_id", *numbers)), *(F.sum(c).alias(c) for c in ("n_best", "count_sum")),
+        F.max("groups_sha256").alias("groups_sha256"),
+    )
+    return summed.drop("row")
+
+
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment_summary(table(spark, sf_dir, "documents"), a, b)
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie_summary(table(spark, sf_dir, "conversations"))
+
+
+def trie_summary(conversations: DataFrame) -> DataFrame:
+    """The nodes of the trie of rebuilt conversations, with a digest of those that end at each."""
+    nodes, ends = prefix_trie.trie(*prefix_trie.rebuilt(conversations))
+    digests = F.coalesce("ends_sha256", F.sha2(F.lit(""), 256))
+    return nodes.join(prefix_trie.ends_digest(ends), ["depth", "node"], "left").select(
+        F.col("node").alias("conv_id"), "depth", F.col("parent").alias("parent_conv_id"), F.col("n_seqs").alias("n_convs"), "n_children",
+        "n_leaves", F.col("saved").alias("saved_tokens"), digests.alias("ends_sha256"),
+    )
+
+
 def op13_chunked_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
     return chunked_bpe.encode_and_decode(table(spark, sf_dir, "documents"), ranks, pattern).select(
@@ -123,6 +157,7 @@ def n_ids(column: str) -> Column:
 def queries() -> dict[str, Query]:
     registered = (
         op1_url_filter, op2_cross_entropy, op3_quality, op4_decontamination, op5_near_dedup, op6_pii, op7_bpe, op8_chat,
-        op9_neighbours, op10_token_files, op13_chunked_bpe,
+        op9_neighbours, op10_token_files, op11_token_alignment, op12_prefix_trie,
+        op13_chunked_bpe,
     )
     return {query.__name__: query for query in registered}
