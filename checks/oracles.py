@@ -256,6 +256,10 @@ def oracle_sql() -> dict[str, str]:
         + "SELECT word || chr(9) || n0 || ',' || n1 AS line FROM paired",
         "csv_texts": "SELECT p_name AS text FROM part",
         "parsed_ratings": with_(ENTRIES) + 'SELECT "user", item, score FROM ratings',
+        "kept_ratings": with_(ENTRIES) + 'SELECT "user", item, score FROM ratings',
+        "rejected_lines": """SELECT o_custkey || ',' || o_orderpriority || ',' || o_orderkey AS value, 'item' AS reason FROM orders
+UNION ALL SELECT c_name || ',' || c_custkey || ',' || c_nationkey, 'user' FROM customer
+UNION ALL SELECT s_suppkey || ',' || s_nationkey, 'score' FROM supplier""",
         "parsed_postings": with_(QUESTIONS)
         + """SELECT 1 AS posting_type, id, CAST(-1 AS INTEGER) AS parent_id, score, tags, false AS has_parent FROM questions
 UNION ALL SELECT 2, CAST(l_partkey AS INTEGER), CAST(l_orderkey AS INTEGER),

@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from checks import views
 from loomwork.operators import lloyd, vector_clusters
+from loomwork.operators.positions import numbered
 from loomwork.operators.tokens import vocabulary
 from loomwork.operators.word_counts import (
     common_counts,
@@ -56,8 +56,8 @@ def ordered_recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
     text_files.write_key_values(scores, path, "user", "item", "score", order_by=order)
     lines = text_files.read_lines(spark, path).select("value", "_metadata.file_path", F.monotonically_increasing_id().alias("at"))
     # The lines of a file are read in their order, the files are named in theirs.
-    place = F.row_number().over(Window.orderBy("file_path", "at"))
-    return lines.select(F.col("value").alias("line"), place.cast("bigint").alias("place"))
+    placed = numbered(lines, "place", "file_path", "at")
+    return placed.select(F.col("value").alias("line"), (F.col("place") + 1).alias("place"))
 
 
 def written_word_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,6 +85,16 @@ def parsed_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parsed.withColumns({"has_parent": F.col("parent_id").isNotNull(), "parent_id": F.coalesce("parent_id", F.lit(-1))})
 
 
+def kept_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ratings among lines of other kinds."""
+    return records.sorted_out(views.mixed_rating_lines(spark, sf_dir), records.rating).rows
+
+
+def rejected_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The other lines, with the field that gives each away."""
+    return records.sorted_out(views.mixed_rating_lines(spark, sf_dir), records.rating).rejected
+
+
 def user_score_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of sparse items; the larger users have more than one block."""
     entry = F.transform("scores", lambda s: F.concat_ws(":", s["item"], s["score"], s["n"]))
@@ -222,6 +232,8 @@ def queries() -> dict[str, Query]:
         "csv_texts": csv_texts,
         "parsed_ratings": parsed_ratings,
         "parsed_postings": parsed_postings,
+        "kept_ratings": kept_ratings,
+        "rejected_lines": rejected_lines,
         "user_score_vectors": user_score_vectors,
         "co_occurrence": co_occurrence,
         "score_products": score_products,

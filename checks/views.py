@@ -112,6 +112,15 @@ def rating_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def mixed_rating_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rating lines among lines that are none: orders (a word for the item), customers (a name for the user), suppliers (too short)."""
+    bad = [("orders", "o_custkey", "o_orderpriority", "o_orderkey"), ("customer", "c_name", "c_custkey", "c_nationkey"), ("supplier", "s_suppkey", "s_nationkey")]
+    lines = rating_lines(spark, sf_dir)
+    for name, *columns in bad:
+        lines = lines.unionByName(table(spark, sf_dir, name).select(F.concat_ws(",", *columns).alias("value")))
+    return lines
+
+
 def posting_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The postings as ``type,id,[parent],score[,tag]`` lines; untagged questions end in an empty field."""
     parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("posting_type", "id", "parent_id", "score")]

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -25,6 +27,20 @@ def double_or_null(text: Column) -> Column:
     return text.try_cast("double")
 
 
+def reason(**wanted: Column) -> Column:
+    """The name of the first condition that does not hold, NULL if all do."""
+    return F.coalesce(*[F.when(F.coalesce(holds, F.lit(False)), F.lit(None)).otherwise(name.rstrip("_")) for name, holds in wanted.items()])
+
+
+def parsed(lines: DataFrame, parse: Callable[[Column], Column], line: str = "value") -> DataFrame:
+    """``lines`` with the fields of the struct that ``parse`` makes of a line's parts.
+
+    The line is split once and the struct made once: it comes out of a generator, behind which the planner cannot repeat
+    the expressions that make the line, whatever is later selected or tested.
+    """
+    return lines.select(line, F.inline(F.transform(F.array(fields(F.col(line))), parse)))
+
+
 def checked(good: Column, line: Column) -> Column:
     """A condition that is true, or a failing query that shows the line, whatever the ANSI mode of the session."""
     failure = F.raise_error(F.concat(F.lit("malformed line: "), line)).cast("boolean")

@@ -98,3 +98,8 @@ def test_the_summed_products_need_no_second_shuffle_before_the_exclusion(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     # Scores, matrix rows, sums, rated pairs.
     assert plan.count("Exchange hashpartitioning") == 4
+
+
+def test_places_come_without_a_window_over_all_lines(spark):
+    plan = plan_of(driver.queries()["ordered_recommendations"](spark, TINY))
+    assert "Window" not in plan and "SinglePartition" not in plan

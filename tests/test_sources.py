@@ -153,3 +153,24 @@ def test_staging_refuses_a_local_folder_on_a_cluster():
 
 def test_staging_uses_the_folder_of_the_session(spark):
     assert staging_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_lines_are_sorted_out_in_one_pass(spark):
+    values = ["1,2,3", "x,2,3", "1,,3", "1,2,y", "", "1,2", "1,2,3,more", " 1,2,3", "1,2,3,"]
+    lines = spark.createDataFrame([(v,) for v in values], "value string")
+    kept, rejected = records.sorted_out(lines, records.rating)
+    assert sorted(map(tuple, kept.collect())) == [(1, 2, 3.0)] * 3
+    assert sorted(map(tuple, rejected.collect())) == sorted(
+        [("x,2,3", "user"), ("1,,3", "item"), ("1,2,y", "score"), ("", "user"), ("1,2", "score"), (" 1,2,3", "user")]
+    )
+    postings = spark.createDataFrame([("1,27,,0,Algorithm",), ("2,28,x,3",), ("2,29,27",)], "value string")
+    kept, rejected = records.sorted_out(postings, records.posting)
+    assert [tuple(r) for r in kept.collect()] == [(1, 27, None, 0, "Algorithm")]
+    assert sorted(map(tuple, rejected.collect())) == [("2,28,x,3", "parent_id"), ("2,29,27", "score")]
+
+
+def test_the_expressions_that_make_a_line_run_once(spark):
+    """However many fields are tested and selected."""
+    lines = spark.range(10).select(F.concat_ws(",", F.col("id"), F.col("id") + 77, F.lit("1")).alias("value"))
+    plan = records.parse_ratings(lines)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("+ 77") == 1 and plan.count("split(") == 1
