@@ -21,7 +21,9 @@ five standard deviations under its mean.
 
 Defined results: a document without words has an empty set and is linked with nothing; one of fewer than five words has
 one shingle, all its words; a row without ``doc_id`` takes no part (component NULL, kept); repeated rows are each other's
-copies. Rows of one ``doc_id`` with different texts count as one node.
+copies. Rows of one ``doc_id`` with different texts count as one node in ``near_duplicates``. Deduplication looks at texts:
+it keeps one row of each component of texts, that with the smallest ``doc_id`` and then the smallest hash of its text, and
+of rows equal in ``doc_id`` and text one.
 """
 
 from __future__ import annotations
@@ -330,8 +332,9 @@ def _in_units(rows: DataFrame) -> DataFrame:
     return rows.repartition(*_UNIT).sortWithinPartitions(*_UNIT, "rep")
 
 
-def near_duplicates(documents: DataFrame) -> DataFrame:
-    """One row per document: ``doc_id, n_shingles, component_id, kept``."""
+def _classified(documents: DataFrame) -> DataFrame:
+    """``doc_id, print, n_shingles, first, part, component_id`` of every row: the smallest ``doc_id`` of its set, a number for
+    the component of its set (NULL without one) and the smallest ``doc_id`` there (NULL where that is ``first``)."""
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     texts = texts.withColumn("print", F.xxhash64("text"))
     features = staged(texts.mapInArrow(_features, _FEATURES))
@@ -339,34 +342,65 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     linked = features.where("n_shingles > 0 and doc_id is not null")
     first = F.min(F.struct("doc_id", "print")).alias("first")
     classes = linked.groupBy(*same).agg(first, F.any_value("bands").alias("bands"), F.any_value("sketch").alias("sketch"))
-    classes = staged(classes.withColumns({"rep": F.col("first.doc_id"), "print": F.col("first.print")}).drop("first"))
+    # Classes are numbered: ids do not tell them apart where an id has several texts.
+    classes = classes.withColumns({"rep": F.monotonically_increasing_id(), "print": F.col("first.print"), "first": F.col("first.doc_id")})
+    classes = staged(classes)
     banded = classes.select("rep", "print", "sketch", F.explode("bands").alias("band"))
     close = _in_units(_dealt(banded, "band")).mapInArrow(_bucket_edges, "a long, b long")
     clusters = components(close)
     members = clusters.select(F.col("node").alias("rep"), F.col("component").alias("cluster"))
     # One row and one text for each class, so blocks are cut by the rows that arrive, however often a row is repeated.
-    members = members.join(classes.select("rep", "print", "sketch"), "rep")
-    wanted = members.select("rep", "print")
-    found = texts.withColumnRenamed("doc_id", "rep").join(wanted, ["rep", "print"], "left_semi").distinct()
-    with_text = _dealt(members, "cluster").join(found, ["rep", "print"])
+    members = members.join(classes.select("rep", "first", "print", "sketch"), "rep")
+    wanted = members.select("first", "print")
+    found = texts.withColumnRenamed("doc_id", "first").join(wanted, ["first", "print"], "left_semi").distinct()
+    with_text = _dealt(members, "cluster").join(found, ["first", "print"])
     links = _in_units(with_text).mapInArrow(_confirm, "a long, b long")
-    joined = components(links)
-    smallest = joined.groupBy("component").agg(F.min("node").alias("component_id"))
-    smallest = joined.join(smallest, "component").select(F.col("node").alias("rep"), "component_id")
-    named = features.drop("bands", "sketch", "print").join(classes.select(*same, "rep"), same, "left").join(smallest, "rep", "left")
-    component: Column = F.coalesce(F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "rep")), F.col("doc_id"))
+    joined = components(links).select(F.col("node").alias("rep"), "component").join(classes.select("rep", "first"), "rep")
+    smallest = joined.groupBy("component").agg(F.min("first").alias("component_id"))
+    smallest = joined.join(smallest, "component").select("rep", "component", "component_id")
+    named = features.drop("bands", "sketch").join(classes.select(*same, "rep", "first"), same, "left").join(smallest, "rep", "left")
+    takes_part = F.col("doc_id").isNotNull()
+    part, first = (F.when(takes_part, x) for x in (F.coalesce("component", "rep"), F.col("first")))
+    return named.select("doc_id", "print", "n_shingles", first.alias("first"), part.alias("part"), F.when(takes_part, F.col("component_id")).alias("component_id"))
+
+
+def _by_id(found: DataFrame) -> DataFrame:
+    """``found`` with one component for all texts of a ``doc_id``."""
+    found = staged(found)
+    several = found.where("part is not null").groupBy("doc_id").agg(F.min("part").alias("one"), F.max("part").alias("other")).where("one != other")
+    several = staged(several.select("doc_id", "one"))
+    if several.isEmpty():
+        return found
+    linked = components(found.join(several, "doc_id").where("part is not null").select("one", "part"))
+    linked = linked.select(F.col("node").alias("part"), F.col("component").alias("whole"))
+    merged = found.join(linked, "part", "left")
+    smallest = merged.where("whole is not null").groupBy("whole").agg(F.min(F.coalesce("component_id", "first")).alias("of_whole"))
+    named = merged.join(smallest, "whole", "left").withColumn("component_id", F.coalesce("of_whole", "component_id"))
+    return named.select(*found.columns)
+
+
+def near_duplicates(documents: DataFrame) -> DataFrame:
+    """One row per document: ``doc_id, n_shingles, component_id, kept``."""
+    component: Column = F.coalesce("component_id", "first", "doc_id")
     kept = F.coalesce(F.col("doc_id") == component, F.lit(True))
-    return named.select("doc_id", "n_shingles", component.alias("component_id"), kept.alias("kept"))
+    return _by_id(_classified(documents)).select("doc_id", "n_shingles", component.alias("component_id"), kept.alias("kept"))
 
 
 def deduplicated(documents: DataFrame) -> DataFrame:
-    """The rows of ``documents`` that stay: of each group that with the smallest ``doc_id``, and of repeated rows one."""
-    found = staged(near_duplicates(documents))
-    gone = found.where("not kept").select("doc_id").distinct()
+    """The rows of ``documents`` that stay: one of each component, all that are linked with nothing, of repeated rows one."""
+    found = staged(_classified(documents).select("doc_id", "print", "part"))
+    key = F.struct("doc_id", "print")
+    stays = found.where("part is not null").groupBy("part").agg(F.min(key).alias("stays"))
+    gone = found.join(stays, "part").where(key != F.col("stays")).select("doc_id", "print").distinct()
+    # The rows travel as one column, so that no name of theirs can clash.
+    rows = documents.select(
+        F.struct(*documents.columns).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("print")
+    )
     # As many as a share of all documents: the same kind of join at every size.
-    stays = documents.join(gone.hint("merge"), "doc_id", "left_anti").select(*documents.columns)
-    repeated = found.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1")
-    if repeated.isEmpty():
-        return stays
-    once = stays.where("doc_id is not null").dropDuplicates(["doc_id"])
-    return once.unionByName(stays.where("doc_id is null"))
+    kept = rows.join(gone.hint("merge"), ["doc_id", "print"], "left_anti")
+    repeated = staged(found.where("doc_id is not null").groupBy("doc_id", "print").count().where("count > 1").select("doc_id", "print"))
+    if not repeated.isEmpty():
+        single = kept.join(repeated, ["doc_id", "print"], "left_anti").select("row")
+        copies = kept.join(repeated, ["doc_id", "print"]).groupBy("doc_id", "print")
+        kept = single.unionByName(copies.agg(F.min_by("row", F.xxhash64("row")).alias("row")).select("row"))
+    return kept.select(*(F.col("row").getField(c).alias(c) for c in documents.columns))

@@ -99,6 +99,29 @@ def test_blocks_are_cut_by_classes_not_ids(spark, monkeypatch):
     assert max(r["count"] for r in made[1].groupBy("unit", "i", "j").count().collect()) < 60
 
 
+def some_text(name: str) -> str:
+    return " ".join(f"{name}{i}" for i in range(40))
+
+
+def test_deduplication_looks_at_texts_not_ids(spark):
+    """Unlike texts of one id all stay, whatever other texts of the id are copies of."""
+    rows = [(3, "a"), (5, "a"), (5, "b"), (7, "c"), (7, "d")]
+    docs = spark.createDataFrame([(i, some_text(t)) for i, t in rows], "doc_id long, text string")
+    assert result(near_dedup.deduplicated(docs)) == sorted(((i, some_text(t)) for i, t in rows if (i, t) != (5, "a")), key=repr)
+    assert {(r.doc_id, r.component_id) for r in near_dedup.near_duplicates(docs).collect()} == {(3, 3), (5, 3), (7, 7)}
+
+
+def test_repeated_ids_with_unlike_equal_and_near_texts(spark):
+    near = some_text("e") + " more"
+    rows = [(9, near, 1), (9, some_text("e"), 2), (9, some_text("f"), 3), (9, some_text("f"), 3), (9, some_text("f"), 4), (2, near, 5), (9, "", 6), (9, None, 7), (9, None, 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _id int")
+    kept = near_dedup.deduplicated(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id, r.text or "") for r in kept.collect()) == sorted([(2, near), (9, some_text("f")), (9, ""), (9, "")])
+    again = near_dedup.deduplicated(docs.repartition(5))
+    assert result(again) == result(kept)
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert near_dedup.near_duplicates(docs).collect() == []
