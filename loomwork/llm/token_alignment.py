@@ -4,8 +4,8 @@ Tokenizer A is a byte-level BPE file of the tokenizers library, B a sentencepiec
 gets that space too, so both cut the same bytes. Places where both end cut a text into groups, and two tokens are linked
 where their bytes overlap. The count of a pair of ids is the number of documents that hold it linked.
 
-1. A text is cut into units at white space where neither tokenizer has a token across, so each distinct unit is encoded
-   and aligned once for many texts: the groups of a text are those of its units.
+1. The bytes of some texts at a time are laid end to end with marks where tokens of A and of B end. Running sums of the
+   marks give every link and every group of these texts at once.
 2. Most links join an id of A to the id of B with the same bytes. That map is computed once from the vocabularies, so
    these pairs are counted in vectors as long as A's vocabulary, one a task, which meet in sums.
 3. Only the other pairs are rows: distinct ones of many texts at once are summed in the task and then by one aggregation.
@@ -21,16 +21,20 @@ so repeated rows each count as a document, and ids may repeat or be NULL. Only `
 
 from __future__ import annotations
 
+import json
 import os
-import re
+import sys
+import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache, partial
-from itertools import islice
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import sentencepiece
+import tiktoken
 import zstandard
+from public_tokenizers import PATTERN
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -38,105 +42,120 @@ from tokenizers import Tokenizer
 from loomwork.llm.arrow_rows import slices
 from loomwork.llm.bpe import pieces
 from loomwork.llm.lm_scoring import commonest
-from loomwork.llm.tokenizing import SPACE
 from loomwork.staging import staged
 
 COMMON_PAIRS = 1 << 19
-#: Units a process remembers.
-REMEMBERED = 200_000
 _COUNTED_TOGETHER = 1 << 21
 _ROWS = 250
+#: Bytes of text aligned at once.
+_TOGETHER = 1 << 20
 _MARK = "▁"
 
 
+def _unsettled() -> np.ndarray:
+    """Which characters some versions of Unicode have as letters, numbers or white space and others do not."""
+    old, found = unicodedata.ucd_3_2_0, np.zeros(sys.maxunicode + 1, dtype=bool)
+    for code in range(sys.maxunicode + 1):
+        now = unicodedata.category(chr(code))
+        found[code] = (now[0] in "LNZ" or now == "Cn") and old.category(chr(code)) == "Cn"
+    return found
+
+
+class Encoder:
+    """Ids of whole texts by a byte-level BPE file, special tokens as plain text.
+
+    Where ids rank the merges, the same ids come faster from those ranks. Texts with characters that the pattern might
+    class differently there, and all texts of other files, go to the tokenizer itself.
+    """
+
+    def __init__(self, path: str, of_id: list[bytes]):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        self.tokenizer.encode_special_tokens = True
+        self.ranks, self.unsettled = None, _unsettled()
+        with open(path, encoding="utf-8") as file:
+            told = json.load(file)
+        vocabulary, merges = told["model"]["vocab"], [m.split(" ") if isinstance(m, str) else m for m in told["model"]["merges"]]
+        made = [vocabulary.get(x + y) for x, y in merges]
+        cut = told["pre_tokenizer"] or {}
+        plain = cut.get("type") == "ByteLevel" and not cut.get("add_prefix_space") and cut.get("use_regex", True) and not told["normalizer"]
+        if plain and made == list(range(256, 256 + len(merges))):
+            ranks = {of_id[i]: i for i in range(256 + len(merges))}
+            self.ranks = tiktoken.Encoding(path, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def __call__(self, text: str) -> np.ndarray:
+        if self.ranks is None or not text.isascii() and self.unsettled[np.frombuffer(text.encode("utf-32-le"), "<u4")].any():
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
+        return self.ranks.encode_to_numpy(text)
+
+
+class Aligned(NamedTuple):
+    """Numbers of tokens of A and B and of groups, the groups as text, the codes of all links."""
+
+    numbers: tuple[int, int, int]
+    groups: bytes
+    codes: np.ndarray
+
+
 class Aligner:
-    """Encodes and aligns units of texts, each distinct one once while it is remembered."""
+    """Encodes and aligns texts, some at a time."""
 
     def __init__(self, a: str, b: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.a, self.b = Tokenizer.from_file(a), sentencepiece.SentencePieceProcessor(model_file=b)
-        self.a.no_truncation()
-        self.a.no_padding()
-        self.a.encode_special_tokens = True
+        self.b = sentencepiece.SentencePieceProcessor(model_file=b)
         self.bytes_a = pieces(a)
+        self.a = Encoder(a, self.bytes_a)
         names = [self.b.id_to_piece(i) for i in range(self.b.vocab_size())]
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(_MARK, " ").encode() for i, p in enumerate(names)]
-        self.mark = self.b.piece_to_id(_MARK)
         self.size_a, self.size_b = (np.array([len(x) for x in table]) for table in (self.bytes_a, self.bytes_b))
         # Where several ids of B have the same bytes, one that is no byte token.
         of_bytes = {x: i for i, x in enumerate(self.bytes_b) if self.b.is_byte(i)}
         of_bytes |= {x: i for i, x in enumerate(self.bytes_b) if not (self.b.is_byte(i) or self.b.is_control(i) or self.b.is_unknown(i))}
         self.identity = np.array([of_bytes.get(x, -1) for x in self.bytes_a])
-        # White space that no token of B has behind another character or the mark, so B ends before it as A does.
-        spelled = [p for i, p in enumerate(names) if not self.b.is_byte(i)]
-        safe = [c for c, seen in ((" ", _MARK), ("\n", "\n")) if not any(re.search(f"[^{SPACE}{_MARK}]{seen}|{_MARK}\n", p) for p in spelled)]
-        other = f"(?:(?![{''.join(safe)}])[{SPACE}])" if safe else f"[{SPACE}]"
-        self.cut = re.compile(f"[{SPACE}]*[^{SPACE}]+(?:{other}[{SPACE}]*[^{SPACE}]*)*|[{SPACE}]+")
-        self.known: dict[str, int] = {}
-        self.groups: list[str] = []
-        self.codes: list[bytes | None] = []
-        self.numbers = np.zeros((2 * REMEMBERED, 3), np.int64)
-
-    def _encode_b(self, units: list[str]) -> list[list[int]]:
-        """Without the space that B puts before a text: it is the unit's own, or is taken away."""
-        spaced = [u.startswith(" ") for u in units]
-        found = self.b.encode([u[1:] if own else u for u, own in zip(units, spaced)], num_threads=1)
-        return [(ids or [self.mark]) if own else ids[1:] for ids, own in zip(found, spaced)]
-
-    def _align(self, units: list[str]) -> None:
-        """Remember new units: their groups as text, the codes of their links, and how many tokens and groups they have."""
-        ids_a = [e.ids for e in self.a.encode_batch_fast(units, add_special_tokens=False)]
-        ids_b = self._encode_b(units)
-        same = []
-        for k, unit in enumerate(units):
-            data = unit.encode()
-            if b"".join(map(self.bytes_b.__getitem__, ids_b[k])) == data and b"".join(map(self.bytes_a.__getitem__, ids_a[k])) == data:
-                same.append(k)
-        for unit in units:
-            self.known[unit] = len(self.groups)
-            self.groups.append("")
-            self.codes.append(None)
-        if not same:
-            return
-        flat_a, flat_b = (np.concatenate([ids[k] for k in same]).astype(np.int64) for ids in (ids_a, ids_b))
+        # How an id is written inside a group and at its end.
+        written = ((self.bytes_a, ",", "|"), (self.bytes_b, ",", ";"))
+        self.written = [f"{i}{mark}".encode() for table, *marks in written for mark in marks for i in range(len(table))]
+
+    def align(self, texts: list[str | None]) -> list[Aligned | None]:
+        """None for a text without tokens."""
+        found: list[Aligned | None] = [None] * len(texts)
+        given = [k for k, text in enumerate(texts) if text]
+        ids_b = self.b.encode([texts[k] for k in given], num_threads=1)
+        whole, at, ids_a = [], [], []
+        for n, k in enumerate(given):
+            text = " " + texts[k]
+            data, own = text.encode(), self.a(text)
+            if b"".join(map(self.bytes_b.__getitem__, ids_b[n])) == data and b"".join(map(self.bytes_a.__getitem__, own.tolist())) == data:
+                whole.append(k)
+                ids_a.append(own)
+                at.append(n)
+        if not whole:
+            return found
+        flat_a = np.concatenate(ids_a).astype(np.int64)
+        flat_b = np.concatenate([np.array(ids_b[n], dtype=np.int64) for n in at])
         end_a, end_b = np.cumsum(self.size_a[flat_a]), np.cumsum(self.size_b[flat_b])
+        mark_a, mark_b = (np.zeros(int(end_a[-1]) + 1, dtype=bool) for _ in range(2))
+        mark_a[end_a], mark_b[end_b] = True, True
+        both = mark_a & mark_b
+        upto_a, upto_b, upto_both = (np.cumsum(mark, dtype=np.int64) for mark in (mark_a, mark_b, both))
         # Every stretch between ends of either is what two tokens share.
-        ends, both = np.union1d(end_a, end_b), np.intersect1d(end_a, end_b)
-        codes = (flat_a[np.searchsorted(end_a, ends)] * len(self.bytes_b) + flat_b[np.searchsorted(end_b, ends)]).astype("<u4").tobytes()
-        of_group = [[0, *(np.searchsorted(x, both) + 1).tolist()] for x in (end_a, end_b)]
-        text_a, text_b = (list(map(str, x.tolist())) for x in (flat_a, flat_b))
-        groups = [
-            ",".join(text_a[i:j]) + "|" + ",".join(text_b[m:n])
-            for i, j, m, n in zip(of_group[0], of_group[0][1:], of_group[1], of_group[1][1:])
-        ]
-        unit_ends = np.cumsum([len(ids_a[k]) for k in same])
-        last = end_a[unit_ends - 1]
-        links, grouped = ([0, *(np.searchsorted(x, last) + 1).tolist()] for x in (ends, both))
-        for n, k in enumerate(same):
-            at = self.known[units[k]]
-            self.groups[at] = ";".join(groups[grouped[n] : grouped[n + 1]])
-            self.codes[at] = codes[4 * links[n] : 4 * links[n + 1]]
-            self.numbers[at] = len(ids_a[k]), len(ids_b[k]), grouped[n + 1] - grouped[n]
-
-    def learn(self, texts: list[list[str]]) -> None:
-        """Make sure that all units of these texts are known. Beyond the bound the later half is forgotten."""
-        new = [u for u in dict.fromkeys(u for units in texts for u in units) if u not in self.known]
-        if len(self.groups) + len(new) > REMEMBERED:
-            self.known = dict(islice(self.known.items(), REMEMBERED // 2))
-            del self.groups[len(self.known) :], self.codes[len(self.known) :]
-            new = [u for u in dict.fromkeys(u for units in texts for u in units) if u not in self.known]
-        if len(self.groups) + len(new) > len(self.numbers):
-            self.numbers = np.concatenate((self.numbers, np.zeros((len(self.groups) + len(new), 3), np.int64)))
-        for start in range(0, len(new), 5000):
-            self._align(new[start : start + 5000])
-
-    def text(self, units: list[str]) -> tuple[np.ndarray, str, np.ndarray] | None:
-        """Of known units: how many tokens of A and B and groups, the groups as text, the codes of all links."""
-        at = list(map(self.known.__getitem__, units))
-        codes = list(map(self.codes.__getitem__, at))
-        if not at or None in codes:
-            return None
-        return self.numbers[at].sum(axis=0), ";".join(map(self.groups.__getitem__, at)), np.frombuffer(b"".join(codes), "<u4")
+        ends, cuts = np.flatnonzero(mark_a | mark_b), np.flatnonzero(both)
+        codes = flat_a[upto_a[ends] - mark_a[ends]] * len(self.bytes_b) + flat_b[upto_b[ends] - mark_b[ends]]
+        # The tokens of A stand before those of B in each group.
+        group_a, group_b = upto_both[end_a] - both[end_a], upto_both[end_b] - both[end_b]
+        order = np.empty(len(flat_a) + len(flat_b), np.int64)
+        n_a, n_b = len(self.bytes_a), len(self.bytes_b)
+        order[np.arange(len(flat_a)) + np.concatenate(([0], upto_b[cuts]))[group_a]] = flat_a + n_a * both[end_a]
+        order[np.arange(len(flat_b)) + upto_a[cuts][group_b]] = 2 * n_a + flat_b + n_b * both[end_b]
+        last = np.cumsum([int(self.size_a[ids].sum()) for ids in ids_a])
+        bounds = [[0, *upto[last].tolist()] for upto in (upto_a, upto_b, upto_both)]
+        links = [0, *np.searchsorted(ends, last, "right").tolist()]
+        for n, k in enumerate(whole):
+            (a0, a1), (b0, b1), (g0, g1) = (x[n : n + 2] for x in bounds)
+            groups = b"".join(map(self.written.__getitem__, order[a0 + b0 : a1 + b1].tolist()))
+            found[k] = Aligned((a1 - a0, b1 - b0, g1 - g0), groups[:-1], codes[links[n] : links[n + 1]].astype(np.uint32))
+        return found
 
 
 @lru_cache(maxsize=2)
@@ -159,24 +178,27 @@ def _unpressed(data: bytes, unpress: zstandard.ZstdDecompressor) -> tuple[np.nda
 _NUMBERS = ["n_a", "n_b", "n_groups", "n_links"]
 
 
+def _by_size(texts: list[str | None]) -> Iterator[list[str | None]]:
+    start = size = 0
+    for i, text in enumerate(texts):
+        size += len(text or "")
+        if size >= _TOGETHER:
+            yield texts[start : i + 1]
+            start, size = i + 1, 0
+    yield texts[start:]
+
+
 def _aligned(batches: Iterator[pa.RecordBatch], a: str, b: str) -> Iterator[pa.RecordBatch]:
-    found, press = aligner(a, b), zstandard.ZstdCompressor(level=1)
-    nothing = _pressed(np.zeros(0, np.uint32), np.zeros(0, np.uint32), press)
+    both, press = aligner(a, b), zstandard.ZstdCompressor(level=1)
+    nothing = Aligned((0, 0, 0), b"", np.zeros(0, np.uint32))
     for whole in batches:
         for batch in slices(whole, _ROWS):
-            units = [found.cut.findall(" " + text) if text else [] for text in batch.column("text").to_pylist()]
-            found.learn(units)
             numbers, groups, links = [], [], []
-            for of_text in units:
-                result = found.text(of_text)
-                if result is None:
-                    numbers.append((0, 0, 0, 0))
-                    groups.append(press.compress(b""))
-                    links.append(nothing)
-                else:
-                    counts, text, codes = result
-                    numbers.append((*counts.tolist(), len(codes)))
-                    groups.append(press.compress(text.encode()))
+            for some in _by_size(batch.column("text").to_pylist()):
+                for found in both.align(some):
+                    counts, text, codes = found or nothing
+                    numbers.append((*counts, len(codes)))
+                    groups.append(press.compress(text))
                     links.append(_pressed(*np.unique(codes, return_counts=True), press))
             columns = [pa.array([n[k] for n in numbers], pa.int64()) for k in range(4)]
             yield pa.RecordBatch.from_arrays(

@@ -93,18 +93,25 @@ def test_groups_are_an_output(spark):
     assert counts.where("exact").count() and counts.where("not exact").count()
 
 
-def test_a_small_memory(monkeypatch):
-    """Forgetting units changes nothing."""
-    monkeypatch.setattr(token_alignment, "REMEMBERED", 8)
-    small, large = token_alignment.Aligner(A, B), token_alignment.aligner(A, B)
-    for text in TEXTS * 2:
-        if text:
-            for one in (small, large):
-                one.learn([one.cut.findall(" " + text)])
-            x, y = (one.text(one.cut.findall(" " + text)) for one in (small, large))
-            assert (x is None) == (y is None)
-            if x is not None:
-                assert x[0].tolist() == y[0].tolist() and x[1] == y[1] and x[2].tolist() == y[2].tolist()
+@pytest.mark.parametrize("together", [1, 300, 1 << 20])
+def test_texts_together_or_apart(monkeypatch, together):
+    monkeypatch.setattr(token_alignment, "_TOGETHER", together)
+    both = token_alignment.aligner(A, B)
+    found = [x for some in token_alignment._by_size(TEXTS) for x in both.align(some)]
+    assert len(found) == len(TEXTS)
+    for text, x, (n_a, n_b, n_groups, n_links, *_, groups) in zip(TEXTS, found, brute_force(TEXTS)):
+        assert (x is None) == (n_a == 0), text
+        assert x is None or (*x.numbers, len(x.codes), x.groups.decode()) == (n_a, n_b, n_groups, n_links, groups)
+
+
+def test_ranks_and_tokenizer_give_the_same_ids():
+    encode = token_alignment.aligner(A, B).a
+    assert encode.ranks is not None
+    library = Tokenizer.from_file(A)
+    library.encode_special_tokens = True
+    assert encode.unsettled[0x1C89] and not encode.unsettled[[ord(c) for c in "Ünïcode 日本 🙂 <|endoftext|>"]].any()
+    for text in [*TEXTS, "new letters \u1c89x \ua7cb's \U0001e900", "''ll''s 'S"]:
+        assert encode(text or "").tolist() == library.encode(text or "", add_special_tokens=False).ids
 
 
 def test_empty_table(spark):
