@@ -31,7 +31,7 @@ def sorted_rows(columns: list[str], rows: list[tuple]) -> list[tuple]:
 
 def main() -> int:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else f"{ROOT}/sf0.01"
-    chosen = sys.argv[2:] or list(queries())
+    chosen = sys.argv[2:] or list(oracle_sql())
     spark = local_session(8)
     connection = duckdb_tables(sf_dir)
     failed = 0

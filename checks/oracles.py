@@ -41,6 +41,12 @@ ratings AS (
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey),
 entries AS (SELECT "user", item, max(score) AS score, count(*) AS n FROM ratings GROUP BY ALL)"""
 
+LATEST = """
+entries AS (
+  SELECT CAST(o_custkey AS INTEGER) AS "user", CAST(split_part(p_brand, '#', 2) AS INTEGER) AS item,
+         CAST(arg_max(l_quantity, row(o_orderdate, o_orderkey, l_linenumber, l_quantity)) AS DOUBLE) AS score, count(*) AS n
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey GROUP BY ALL)"""
+
 MATRIX = """
 matrix AS (
   SELECT a.item AS item1, b.item AS item2,
@@ -146,9 +152,8 @@ ab AS (
          max(CASE WHEN own = label THEN dist * n / nullif(n - 1, 0) END) AS a,
          min(CASE WHEN own <> label THEN dist END) AS b
   FROM means GROUP BY vec_id)
-SELECT round(avg(CASE WHEN n = 1 THEN 0 WHEN a < b THEN 1 - a / b WHEN a > b THEN b / a - 1 ELSE 0 END), 9)
-  AS silhouette
-FROM ab"""
+"""
+ROW_SILHOUETTE = "CASE WHEN n = 1 THEN 0 WHEN a < b THEN 1 - a / b WHEN a > b THEN b / a - 1 ELSE 0 END"
 
 
 SIZE = VECTORS["vector_size"]
@@ -239,6 +244,31 @@ centers0 AS MATERIALIZED (
 )
 
 
+def draw_round(n: int) -> str:
+    """Candidates after round ``n``: rows drawn by their share of the cost are added to those before."""
+    uniform = f"""((CAST(CAST('0x' || substr(md5('{SEED}#{n}#' || vec_id), 1, 13) AS BIGINT) AS DOUBLE) + CAST(0.5 AS DOUBLE))
+      / CAST(4503599627370496 AS DOUBLE))"""
+    return f"""
+drawn{n} AS MATERIALIZED (
+  SELECT vec, drawn, v FROM drawn{n - 1}
+  UNION ALL
+  SELECT vec_id, {n}, v FROM whole JOIN (SELECT vec_id, min(dist) AS dist FROM far{n - 1} GROUP BY vec_id) USING (vec_id)
+  WHERE {uniform} < dist * CAST({2.0 * CENTERS} AS DOUBLE) / (SELECT sum(dist) FROM (SELECT min(dist) AS dist FROM far{n - 1} GROUP BY vec_id))),
+far{n} AS MATERIALIZED (
+  SELECT w.vec_id, d.vec, list_sum(list_transform(list_zip(w.v, d.v), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS dist FROM whole w, drawn{n} d)"""
+
+
+CANDIDATES = (
+    f"""
+whole AS MATERIALIZED (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+drawn0 AS MATERIALIZED (SELECT vec_id AS vec, 0 AS drawn, v FROM whole ORDER BY md5('{SEED}#' || vec_id) LIMIT 1),
+far0 AS MATERIALIZED (
+  SELECT w.vec_id, d.vec, list_sum(list_transform(list_zip(w.v, d.v), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS dist FROM whole w, drawn0 d)""",
+    draw_round(1),
+    draw_round(2),
+)
+
+
 def with_(*parts: str, recursive: bool = False) -> str:
     return f"WITH {'RECURSIVE ' if recursive else ''}{','.join(parts)}\n"
 
@@ -325,5 +355,16 @@ FROM (SELECT doc_id, len(tokens) AS n, unnest(CASE WHEN len(tokens) = 0 THEN [NU
         + f"""SELECT cluster, coalesce(size, 0) AS size, CAST(d AS INTEGER) AS dim, round(v, 6) + 0.0 AS value
 FROM centers{ROUNDS} LEFT JOIN (SELECT cluster, count(*) AS size FROM assigned{ROUNDS} GROUP BY cluster) USING (cluster)""",
         "vector_assignments": with_(*VECTOR_CLUSTERS) + f"SELECT vec_id, cluster AS predicted_cluster FROM assigned{ROUNDS}",
-        "silhouette": SILHOUETTE,
+        "silhouette": SILHOUETTE + f"SELECT round(avg({ROW_SILHOUETTE}), 9) AS silhouette FROM ab",
+        "row_silhouettes": SILHOUETTE + f"SELECT vec_id, round({ROW_SILHOUETTE}, 9) AS silhouette FROM ab",
+        "kmeans_candidates": with_(*CANDIDATES)
+        + """SELECT CAST(drawn AS BIGINT) AS drawn, count(*) AS weight, round(any_value(v0), 6) + 0.0 AS v0, round(any_value(v1), 6) + 0.0 AS v1
+FROM (SELECT vec_id, arg_min(c.vec, row(dist, c.drawn, c.v)) AS vec FROM far2 JOIN drawn2 c ON c.vec = far2.vec GROUP BY vec_id)
+  JOIN (SELECT vec, drawn, v[1] AS v0, v[2] AS v1 FROM drawn2) USING (vec) GROUP BY vec, drawn""",
+        "part_medians": """SELECT l_partkey, count(*) AS size, median(CAST(round(l_extendedprice * 100) AS BIGINT)) AS median
+FROM lineitem GROUP BY l_partkey""",
+        "latest_ratings": with_(LATEST) + 'SELECT "user", item, score, n FROM entries',
+        "latest_recommendations": with_(LATEST, MATRIX, PREDICTED)
+        + """SELECT "user", item, score FROM predicted p
+WHERE NOT EXISTS (SELECT 1 FROM entries e WHERE e."user" = p."user" AND e.item = p.item)""",
     }

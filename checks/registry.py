@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from checks import views
 from loomwork.operators import lloyd, vector_clusters
+from loomwork.operators.group_medians import group_medians
 from loomwork.operators.positions import numbered
+from loomwork.operators.ratings import latest_entries
 from loomwork.operators.tokens import vocabulary
 from loomwork.operators.word_counts import (
     common_counts,
@@ -130,6 +132,25 @@ def recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recommend.recommend(views.ratings(spark, sf_dir))
 
 
+def latest_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last rating of each customer and brand, by the time in its line."""
+    lines = views.timed_rating_lines(spark, sf_dir)
+    return latest_entries(records.parse_timed_ratings(lines).withColumn("sequence", F.lit(0)))
+
+
+def latest_recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    timed = records.parse_timed_ratings(views.timed_rating_lines(spark, sf_dir)).withColumn("sequence", F.lit(0))
+    return recommend.recommend(timed, repeated="latest")
+
+
+def part_medians(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Median price of every part, in cents."""
+    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
+    lines = views.table(spark, sf_dir, "lineitem").select("l_partkey", cents.alias("cents"))
+    found = group_medians(lines, "l_partkey", "cents")
+    return found.select("l_partkey", "size", ((F.col("low") + F.col("high")) / 2).alias("median"))
+
+
 def scored_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forum.scored_questions(views.postings(spark, sf_dir))
 
@@ -216,6 +237,44 @@ def vector_assignments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_clusters.assigned(vectors, centers).select("vec_id", "predicted_cluster")
 
 
+def kmeans_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What k-means would start from: candidates by the round that drew them, with the rows nearest to each."""
+    found = vector_clusters.candidates(stored_vectors(spark, sf_dir), CENTERS, views.SEED, F.col("vec_id"))
+    rows = [(int(r), int(w), *(round(x, 6) + 0.0 for x in v[:2])) for v, r, w in zip(found.vectors, found.drawn, found.weights)]
+    return spark.createDataFrame(rows, "drawn bigint, weight bigint, v0 double, v1 double")
+
+
+def row_silhouettes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = vector_clusters.silhouettes(stored_vectors(spark, sf_dir), prediction="label")
+    return rows.select("vec_id", F.round("silhouette", 9).alias("silhouette"))
+
+
+def full_embedding(spark: SparkSession, sf_dir: str, model: str) -> DataFrame:
+    embedded = text_clusters.embed_texts(token_arrays(spark, sf_dir), model=model).vectors
+    return embedded.select("doc_id", F.transform("vector", lambda x: F.round(x, 6)).alias("vector"))
+
+
+def embed_texts_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With the default parameters: 100 dimensions, window 5."""
+    return full_embedding(spark, sf_dir, "mean")
+
+
+def embed_texts_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With a word tree, 100 dimensions, window 5."""
+    return full_embedding(spark, sf_dir, "tree")
+
+
+def cluster_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole chain over all documents with its default parameters, and the silhouette of each text."""
+    done = text_clusters.cluster_texts(views.texts(spark, sf_dir), views.stop_words(spark), model="tree")
+    scored = vector_clusters.silhouettes(done.predicted)
+    return scored.select("doc_id", "predicted_cluster", F.round("silhouette", 6).alias("silhouette"))
+
+
+#: Queries that SQL cannot repeat: tests compare them with plain versions on small texts.
+WITHOUT_SQL = {"embed_texts_full", "embed_texts_tree", "cluster_texts"}
+
+
 def silhouette(spark: SparkSession, sf_dir: str) -> DataFrame:
     labelled = stored_vectors(spark, sf_dir).withColumnRenamed("label", "predicted_cluster")
     return spark.createDataFrame([(round(vector_clusters.silhouette(labelled), 9),)], "silhouette double")
@@ -257,4 +316,12 @@ def queries() -> dict[str, Query]:
         "cluster_vectors": cluster_vectors,
         "vector_assignments": vector_assignments,
         "silhouette": silhouette,
+        "row_silhouettes": row_silhouettes,
+        "kmeans_candidates": kmeans_candidates,
+        "part_medians": part_medians,
+        "latest_ratings": latest_ratings,
+        "latest_recommendations": latest_recommendations,
+        "embed_texts_full": embed_texts_full,
+        "embed_texts_tree": embed_texts_tree,
+        "cluster_texts": cluster_texts,
     }

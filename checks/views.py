@@ -112,6 +112,16 @@ def rating_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def timed_rating_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ratings as ``user,item,score,time`` lines; the time is the day of the order with its number and that of the line."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity")
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
+    joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(parts, F.col("l_partkey") == F.col("p_partkey"))
+    time = F.concat_ws("-", F.date_format("o_orderdate", "yyyyMMdd"), F.lpad(F.col("o_orderkey").cast("string"), 12, "0"), F.lpad(F.col("l_linenumber").cast("string"), 4, "0"))
+    return joined.select(F.concat_ws(",", "o_custkey", F.substring_index("p_brand", "#", -1), "l_quantity", time).alias("value"))
+
+
 def mixed_rating_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rating lines among lines that are none: orders (a word for the item), customers (a name for the user), suppliers (too short)."""
     bad = [("orders", "o_custkey", "o_orderpriority", "o_orderkey"), ("customer", "c_name", "c_custkey", "c_nationkey"), ("supplier", "s_suppkey", "s_nationkey")]

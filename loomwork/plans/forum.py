@@ -60,11 +60,12 @@ def sample_centroids(points: DataFrame, k: int = CLUSTERS, seed: int = 1) -> Dat
 def lloyd_kmeans(
     points: DataFrame, centroids: DataFrame, eta: float = ETA, max_iter: int = MAX_ITER
 ) -> DataFrame:
-    """Final ``(cluster, cx, cy)``. Each round is one small job over the cached points; k rows come back."""
+    """Final ``(cluster, cx, cy)``. Each round is one small job over the cached points, most of which are settled by bounds on
+    their distances; k rows come back."""
     weighted = spread(points if "w" in points.columns else staged_points(points)).persist()
     try:
         final = lloyd.centroid_list(centroids)
-        for done in lloyd.rounds(weighted, final, eta, max_iter):
+        for done in lloyd.bounded_rounds(weighted, final, eta, max_iter):
             final = done.centroids
     finally:
         weighted.unpersist()

@@ -34,6 +34,13 @@ def rating(parts: Column) -> Column:
     return F.struct(user.alias("user"), item.alias("item"), score.alias("score"), why.alias("reason"))
 
 
+def timed_rating(parts: Column) -> Column:
+    """``user,item,score,time[,…]``; the time is any text that sorts by time."""
+    told = rating(parts)
+    why = F.coalesce(told["reason"], F.when(F.coalesce(field(parts, 3), F.lit("")) == "", "time"))
+    return F.struct(told["user"].alias("user"), told["item"].alias("item"), told["score"].alias("score"), field(parts, 3).alias("time"), why.alias("reason"))
+
+
 def posting(parts: Column) -> Column:
     """``type,id,[parent],score[,tag]``; the parent may be empty."""
     kind, number, score = (int_or_null(field(parts, i)) for i in (0, 1, 3))
@@ -60,13 +67,18 @@ def parse_ratings(lines: DataFrame, malformed: str = "raise") -> DataFrame:
     return _good(parsed(lines, rating), malformed)
 
 
+def parse_timed_ratings(lines: DataFrame, malformed: str = "raise") -> DataFrame:
+    """``(user INT, item INT, score DOUBLE, time STRING)`` of lines in a column ``value``."""
+    return _good(parsed(lines, timed_rating), malformed)
+
+
 def parse_postings(lines: DataFrame, malformed: str = "raise") -> DataFrame:
     """``(posting_type INT, id INT, parent_id INT?, score INT, tags STRING?)`` of lines in a column ``value``."""
     return _good(parsed(lines, posting), malformed)
 
 
 def sorted_out(lines: DataFrame, parse: Callable[[Column], Column]) -> Sorted:
-    """Good and rejected lines apart; ``parse`` is ``rating`` or ``posting``. The parsed lines are staged: both read them."""
+    """Good and rejected lines apart; ``parse`` is ``rating``, ``timed_rating`` or ``posting``. The parsed lines are staged: both read them."""
     table = staged(parsed(lines, parse))
     rows = table.where("reason is null").drop("value", "reason")
     return Sorted(rows, table.where("reason is not null").select("value", "reason"))
