@@ -2,7 +2,8 @@
 
 Base spans follow four patterns with their checks. The patterns here are those of the contract with possessive repeats,
 and begin only where a run of their first characters begins or the last match ended; they find the same matches in time
-linear in the text.
+linear in the text. So is all else: what is made of a word is made once, places and overlaps come from running sums,
+maxima and minima over blocks of a list, and no aggregation holds a list that grows with the text.
 
 Weak supervision adds spans. Candidates are words with a digit, ``@`` or ``=`` in them, and spaced telephone numbers.
 Labelers vote on each (yes, no or nothing): a regular expression of known formats, a gazetteer of key words, the word
@@ -42,12 +43,11 @@ _IP = r"^0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})(?:\.0*(?:25[0-5]|2[0-4][0-9]|1?[
 _NEEDS = {"email": "@", "ip": ".", "phone": "+"}
 
 CANDIDATE = r"(?<!\S)(?:\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9])|[^\s0-9@=]*+[0-9@=]\S*+)"
-_OPENING, _CLOSING = r"^[\"'(\[{<]+", r"[\"')\]}>.,;:!?]+$"
+_OPENING, _CLOSING = "\"'([{<", "\"')]}>.,;:!?"
 _SHAPES = {
     "email": r"^[^@\s]+@[^@\s]+\.[A-Za-z]{2,}$",
     "phone": r"^\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}$",
     "id": r"^[0-9]{3}-[0-9]{2}-[0-9]{4}$",
-    "secret": r"(?=.*[0-9])(?=.*[A-Za-z])|=",
 }
 _KNOWN = r"^(?:(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_\w{20,}|sk-\w{16,}|xox[abp]-[\w-]{10,}|(?i:passw(?:or)?d|pwd|secret|token|api[_-]?key)[=:]\S{6,})$"
 _GAZETTEER = r"(?i)(?:passw|passwort|pwd|secret|token|api[_-]?key|akia|asia|ghp_|bearer|@mail|\.com$|\.org$|\.net$|contrase|mot_?de_?passe)"
@@ -63,6 +63,40 @@ ROUNDS = 50
 
 _SPAN = "array<struct<start:int,end:int>>"
 _CANDIDATE_TYPE = "array<struct<start:int,end:int,kind:string,votes:array<boolean>,features:array<boolean>>>"
+#: Entries of a block of a list whose running sums are made: an aggregation copies its state at every step.
+_BLOCK = 256
+
+
+def _bound(value: Column, use) -> Column:
+    """``use`` of a value that is made once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _running(values: Column, op, zero: int) -> Column:
+    """For each number of a list ``op`` over those before it, from ``zero`` on."""
+
+    def scanned(block: Column) -> Column:
+        begin = F.struct(F.array().cast("array<int>").alias("seen"), F.lit(zero).alias("at"))
+        return F.aggregate(block, begin, lambda s, x: F.struct(F.concat(s["seen"], F.array(s["at"])).alias("seen"), op(s["at"], x).alias("at")))
+
+    def of_blocks(blocks: Column) -> Column:
+        before = scanned(F.transform(blocks, lambda b: b["at"]))["seen"]
+        return F.flatten(F.zip_with(blocks, before, lambda b, whole: F.transform(b["seen"], lambda x: op(x, whole))))
+
+    def cut(v: Column) -> Column:
+        places = F.sequence(F.lit(0), F.greatest(F.size(v) - 1, F.lit(0)), F.lit(_BLOCK))
+        return F.transform(places, lambda i: scanned(F.slice(v, i + 1, F.lit(_BLOCK))))
+
+    return _bound(_bound(values, cut), of_blocks)
+
+
+def _placed(pieces: Column, size) -> Column:
+    """Each piece beside the place where it begins, the sum of the sizes before it."""
+
+    def both(p: Column) -> Column:
+        return F.zip_with(p, _running(F.transform(p, size), lambda a, x: a + x, 0), lambda piece, at: F.struct(piece.alias("piece"), at.alias("at")))
+
+    return _bound(pieces, both)
 
 
 def _digits(text: Column) -> Column:
@@ -98,68 +132,104 @@ def _matches(text: Column, pattern: str) -> Column:
 
 
 def _spans(text: Column, kind: str) -> Column:
-    def step(state: Column, piece: Column) -> Column:
-        start = state["at"] + F.length(piece["between"])
-        end = start + F.coalesce(F.length(piece["match"]), F.lit(0))
-        found = F.array(F.struct(start.alias("start"), end.alias("end")))
-        good = piece["match"].isNotNull() & _valid(kind, piece["match"])
-        return F.struct(end.alias("at"), F.when(good, F.concat(state["found"], found)).otherwise(state["found"]).alias("found"))
-
-    empty = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("found"))
-    found = F.aggregate(_matches(text, PATTERNS[kind]), empty, step, lambda state: state["found"])
+    def size(piece: Column) -> Column:
+        return F.length(piece["between"]) + F.coalesce(F.length(piece["match"]), F.lit(0))
+
+    placed = _placed(_matches(text, PATTERNS[kind]), size)
+    good = F.filter(placed, lambda p: F.when(p["piece"]["match"].isNotNull(), _valid(kind, p["piece"]["match"])).otherwise(False))
+    found = F.transform(good, lambda p: F.struct((p["at"] + F.length(p["piece"]["between"])).alias("start"), (p["at"] + size(p["piece"])).alias("end")))
     has = text.contains(_NEEDS[kind]) if kind in _NEEDS else text.rlike("[0-9][\x20-]?[0-9]")
     return F.when(has, found).otherwise(F.array().cast(_SPAN))
 
 
-def _votes(word: Column, before: Column, kind: Column, base: Column) -> list[Column]:
+def _votes(w: Column) -> list[Column]:
     yes, no, nothing = F.lit(True), F.lit(False), F.lit(None).cast("boolean")
-    digits, length = F.length(_digits(word)), F.length(word)
+    word, before, kind = w["word"], w["before"], w["kind"]
     formatted = word.rlike(_KNOWN) | kind.isin("email", "phone", "id")
-    mixed = (digits >= 4) & (length >= 10) & word.rlike("[A-Za-z]")
+    mixed = (w["digits"] >= 4) & (w["length"] >= 10) & word.rlike("[A-Za-z]")
     return [
         F.when(formatted, yes).when(word.rlike(r"^[0-9.,/-]{1,9}$"), no).otherwise(nothing),
         F.when(word.rlike(_GAZETTEER), yes).otherwise(nothing),
         F.when(before.rlike(_BEFORE_YES), yes).when(before.rlike(_BEFORE_NO), no).otherwise(nothing),
         F.when(mixed, yes).otherwise(no),
         F.when(word.rlike(r"[|*#$%&]{2}|^[^A-Za-z]*$|^[0-9]{1,4}[a-z]{0,2}$") & ~kind.isin("phone", "id"), no).otherwise(nothing),
-        F.when(base, yes).otherwise(nothing),
+        F.when(w["overlaps"], yes).otherwise(nothing),
     ]
 
 
-def _features(word: Column, before: Column) -> list[Column]:
-    digits, length = F.length(_digits(word)), F.length(word)
+def _features(w: Column) -> list[Column]:
+    word, digits, length = w["word"], w["digits"], w["length"]
     return [
         word.contains("@"), word.contains("="), word.rlike("[a-z]"), word.rlike("[A-Z]"), digits >= 4, digits >= 8,
-        length >= 12, length >= 20, word.rlike("^[0-9]+$"), word.rlike(r"[|*#$%&]{2}"), before.rlike(_BEFORE_YES),
+        length >= 12, length >= 20, word.rlike("^[0-9]+$"), word.rlike(r"[|*#$%&]{2}"), w["before"].rlike(_BEFORE_YES),
         word.rlike(_GAZETTEER),
     ]
 
 
+def _words(text: Column) -> Column:
+    """Candidate words in order, without signs around them, and the word before each."""
+
+    def bare(piece: Column) -> Column:
+        match, between = F.coalesce(piece["match"], F.lit("")), piece["between"]
+        inner = F.ltrim(match, F.lit(_OPENING))
+        return F.struct(
+            (F.length(between) + F.length(match) - F.length(inner)).alias("gap"), F.rtrim(inner, F.lit(_CLOSING)).alias("word"),
+            (F.length(between) + F.length(match)).alias("size"), F.regexp_extract(F.substring(between, -40, 40), r"(\S+)\s*$", 1).alias("before"),
+        )
+
+    def word(p: Column) -> Column:
+        start = p["at"] + p["piece"]["gap"]
+        return F.struct(
+            start.alias("start"), (start + F.length(p["piece"]["word"])).alias("end"), p["piece"]["word"].alias("word"), p["piece"]["before"].alias("before")
+        )
+
+    placed = _placed(F.transform(_matches(text, CANDIDATE), bare), lambda piece: piece["size"])
+    return F.transform(F.filter(placed, lambda p: p["piece"]["word"] != ""), word)
+
+
+def _overlaps(words: Column, base: Column) -> Column:
+    """For each word whether a base span overlaps it."""
+    spans = F.transform(base, lambda b: F.struct(b["start"].alias("start"), F.lit(0).alias("word"), b["end"].alias("end")))
+    events = F.array_sort(F.concat(spans, F.transform(words, lambda w: F.struct(w["start"].alias("start"), F.lit(1).alias("word"), w["end"].alias("end")))))
+
+    def both(e: Column) -> Column:
+        reach = F.transform(e, lambda x: F.when(x["word"] == 0, x["end"]).otherwise(-1))
+        begin = F.transform(F.reverse(e), lambda x: F.when(x["word"] == 0, x["start"]).otherwise(2**31 - 1))
+        # The furthest end of the spans that begin before the word or with it, and the next begin after it.
+        furthest, following = _running(reach, F.greatest, -1), F.reverse(_running(begin, F.least, 2**31 - 1))
+        met = F.zip_with(e, F.arrays_zip(furthest.alias("furthest"), following.alias("following")), lambda x, y: F.struct(
+            x["word"].alias("word"), ((y["furthest"] > x["start"]) | (y["following"] < x["end"])).alias("overlaps")
+        ))
+        return F.transform(F.filter(met, lambda x: x["word"] == 1), lambda x: x["overlaps"])
+
+    return F.when(F.size(base) > 0, _bound(events, both)).otherwise(F.transform(words, lambda w: F.lit(False)))
+
+
 def _candidates(text: Column, base: Column) -> Column:
     """Candidate spans with their kind, votes and features."""
 
-    def step(state: Column, piece: Column) -> Column:
-        match = F.coalesce(piece["match"], F.lit(""))
-        opening = F.length(F.regexp_extract(match, _OPENING, 0))
-        word = F.regexp_replace(F.regexp_replace(match, _OPENING, ""), _CLOSING, "")
-        begin = state["at"] + F.length(piece["between"])
-        start = begin + opening
-        end = start + F.length(word)
-        before = F.regexp_extract(F.substring(piece["between"], -40, 40), r"(\S+)\s*$", 1)
-        kind = F.lit("number")
+    def kind_of(word: Column) -> Column:
+        mixed = word.rlike("[0-9]") & word.rlike("[A-Za-z]") | word.contains("=")
+        kind = F.when(mixed, "secret").otherwise("number")
         for name, shape in reversed(_SHAPES.items()):
             kind = F.when(word.rlike(shape), name).otherwise(kind)
-        overlaps = F.exists(base, lambda s: (s["start"] < end) & (start < s["end"]))
-        one = F.struct(
-            start.alias("start"), end.alias("end"), kind.alias("kind"),
-            F.array(*_votes(word, before, kind, overlaps)).alias("votes"), F.array(*_features(word, before)).alias("features"),
+        return kind
+
+    def measured(w: Column, overlaps: Column) -> Column:
+        return F.struct(
+            w["start"].alias("start"), w["end"].alias("end"), w["word"].alias("word"), w["before"].alias("before"), kind_of(w["word"]).alias("kind"),
+            F.length(_digits(w["word"])).alias("digits"), F.length(w["word"]).alias("length"), overlaps.alias("overlaps"),
         )
-        found = F.when(word != "", F.concat(state["found"], F.array(one))).otherwise(state["found"])
-        return F.struct((begin + F.length(match)).alias("at"), found.alias("found"))
 
-    empty = F.struct(F.lit(0).alias("at"), F.array().cast(_CANDIDATE_TYPE).alias("found"))
-    found = F.aggregate(_matches(text, CANDIDATE), empty, step, lambda state: state["found"])
-    return F.when(text.rlike("[0-9@=]"), found).otherwise(F.array().cast(_CANDIDATE_TYPE))
+    def judged(w: Column) -> Column:
+        return F.struct(
+            w["start"].alias("start"), w["end"].alias("end"), w["kind"].alias("kind"), F.array(*_votes(w)).alias("votes"), F.array(*_features(w)).alias("features")
+        )
+
+    def of_words(words: Column) -> Column:
+        return F.transform(F.zip_with(words, _overlaps(words, base), measured), judged)
+
+    return F.when(text.rlike("[0-9@=]"), _bound(_words(text), of_words)).otherwise(F.array().cast(_CANDIDATE_TYPE))
 
 
 def _named(kind: str, rank: int):

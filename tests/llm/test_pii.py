@@ -2,6 +2,9 @@ from __future__ import annotations
 
 import random
 import re
+import time
+
+from pyspark.sql import functions as F
 
 from loomwork.llm import pii
 
@@ -86,6 +89,68 @@ def test_credentials_are_added(spark):
         assert [(s, e) for kind, s, e in got[i] if kind == "secret"] == secrets, text
 
 
+def plain_candidates(text):
+    """Kind and span of every candidate, and whether a base span overlaps it."""
+    spaced = r"(?<!\S)(?:\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9])|[^\s0-9@=]*[0-9@=]\S*)"
+    found = []
+    for m in re.finditer(spaced, text or "", re.ASCII):
+        inner = m.group().lstrip("\"'([{<")
+        word = inner.rstrip("\"')]}>.,;:!?")
+        if not word:
+            continue
+        start = m.end() - len(inner)
+        if re.search(r"^[^@\s]+@[^@\s]+\.[A-Za-z]{2,}$", word):
+            kind = "email"
+        elif re.search(r"^\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}$", word):
+            kind = "phone"
+        elif re.search(r"^[0-9]{3}-[0-9]{2}-[0-9]{4}$", word):
+            kind = "id"
+        else:
+            kind = "secret" if "=" in word or re.search("[0-9]", word) and re.search("[A-Za-z]", word) else "number"
+        end = start + len(word)
+        found.append((start, end, kind, any(s < end and start < e for _, s, e in base_spans(text))))
+    return found
+
+
+def test_candidates_and_added_spans_equal_a_plain_version(spark):
+    """The added spans are the candidates that the same weights take and no base span overlaps."""
+    random.seed(9)
+    noise = ["".join(random.choices(["12", "a", " ", "@", ".", "b.co", "=", "(", ")", "+1 98 ", "-", "555-1234 ", "é", "key ", "x9y8z7w6v5 "], k=random.randint(0, 60))) for _ in range(250)]
+    texts = TEXTS + noise
+    found = pii.detected(frame(spark, texts), "doc_id").cache()
+    weights = pii.trained_weights(found)
+    added = {r.doc_id: {(s["start"], s["end"], s["kind"]) for s in r.spans} - {(s["start"], s["end"], s["kind"]) for s in r.base} for r in pii.personal_data(frame(spark, texts)).collect()}
+    total = 0
+    for r in found.collect():
+        want = plain_candidates(texts[r.doc_id])
+        assert [(c["start"], c["end"], c["kind"], c["votes"][5] is True) for c in r.candidates] == want, texts[r.doc_id][:200]
+        taken = set()
+        for c in r.candidates:
+            score = weights[0] + sum(w for w, f in zip(weights[1:], c["features"]) if f)
+            if score > 0 and c["kind"] != "number" and c["votes"][5] is not True:
+                taken.add((c["start"], c["end"], c["kind"]))
+        assert added[r.doc_id] == taken
+        total += len(taken)
+    assert total > 10
+
+
+def test_time_is_linear_in_the_text(spark):
+    """A million characters of one kind, and of many short candidates."""
+    n = 1_000_000
+    texts = ["7" * n, "." * n + "1", "1" + ")" * n + "a", "ab3" * (n // 3), "@" * n, "a@" * (n // 2), "=" * n, "12 " * (n // 3), "a1@b.com " * (n // 9), "+49 30 1234567 " * (n // 15), "1.2.3.4," * (n // 8)]
+    start = time.time()
+    rows = pii.personal_data(frame(spark, texts).repartition(8)).select("doc_id", F.size("spans").alias("n"), F.size("base").alias("b")).collect()
+    taken = time.time() - start
+    counts = {r.doc_id: r.b for r in rows}
+    assert counts[0] == counts[4] == counts[6] == 0 and counts[8] == n // 9 and counts[10] == n // 8
+    assert taken < 90, taken
+
+
+def test_equal_repeated_rows(spark):
+    docs = spark.createDataFrame([(1, "mail a@b.co")] * 3 + [(2, "mail a@b.co")], "doc_id long, text string")
+    assert [[tuple(s) for s in r.base] for r in pii.personal_data(docs).collect()] == [[(5, 0, "email", 11)]] * 4
+
+
 def test_masked_keeps_rows_and_columns(spark):
     docs = spark.createDataFrame(
         [(1, "write é@x a.b@c.de or +1 (988) 555-2485.", "e", 1), (1, None, None, 2), (None, "clean", "c", 3)],
