@@ -10,7 +10,7 @@ number of vectors. Candidates of all tables merge, and their inner products are
 The expected distance comes from a sample of ``SAMPLE`` vectors with the smallest hash; all vectors are indexed. Cells are
 held in chunks of at most about ``CHUNK`` vectors and queries in blocks of about ``QUERIES``; a chunk goes to each block
 that visits its cell, and a task streams the chunks past one block. A query that finds fewer than it should is compared
-with every chunk.
+with every chunk of one table.
 
 Defined results: NULL vectors, zero vectors, those with NULL or non-finite components, with a norm that is not finite, or
 of another length than most take no part, nor do rows without id; of repeated ids the best score counts.
@@ -155,7 +155,8 @@ def _place(batches: Iterator[pa.RecordBatch], index: Index) -> Iterator[pa.Recor
         keys = cell_keys(cells.astype(np.int64))
         rows = np.repeat(np.arange(batch.num_rows), keys.shape[1])
         copied = batch.take(pa.array(rows))
-        yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), *copied.columns], ["cell", "vec_id", "vector"])
+        table = np.tile(np.arange(keys.shape[1]), batch.num_rows)
+        yield pa.RecordBatch.from_arrays([pa.array(table), pa.array(keys.ravel()), *copied.columns], ["table", "cell", "vec_id", "vector"])
 
 
 def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[tuple, list[dict]]]:
@@ -178,16 +179,17 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for start in range(0, len(rows), 2 * CHUNK):
             some = rows[start : start + 2 * CHUNK]
             ids = np.array([r["vec_id"] for r in some], "<i8").tobytes()
-            yield pa.RecordBatch.from_pydict({"cell": [cell], "chunk": [chunk], "ids": [ids], "vectors": [b"".join(r["vector"] for r in some)]})
+            data = b"".join(r["vector"] for r in some)
+            yield pa.RecordBatch.from_pydict({"table": [some[0]["table"]], "cell": [cell], "chunk": [chunk], "ids": [ids], "vectors": [data]})
 
 
 def chunks(vectors: DataFrame, index: Index) -> DataFrame:
-    """``cell, chunk, ids, vectors``: all vectors in each table, by cell."""
-    placed = staged(vectors.mapInArrow(partial(_place, index=index), "cell long, vec_id long, vector binary"))
+    """``table, cell, chunk, ids, vectors``: all vectors in each table, by cell."""
+    placed = staged(vectors.mapInArrow(partial(_place, index=index), "table long, cell long, vec_id long, vector binary"))
     sizes = placed.groupBy("cell").agg(F.ceil(F.count("*") / CHUNK).alias("parts"))
     dealt = placed.join(sizes, "cell").withColumn("chunk", F.pmod(F.xxhash64("vec_id"), F.col("parts"))).drop("parts")
     dealt = dealt.repartition("cell", "chunk").sortWithinPartitions("cell", "chunk")
-    return staged(dealt.mapInArrow(_chunks, "cell long, chunk long, ids binary, vectors binary"))
+    return staged(dealt.mapInArrow(_chunks, "table long, cell long, chunk long, ids binary, vectors binary"))
 
 
 _ASKED = "block long, cell long, ids binary, vectors binary, positions binary"
@@ -301,19 +303,19 @@ def nearest(vectors: DataFrame, is_query: str, k: int) -> DataFrame:
         return clean.select(F.col("vec_id").alias("query_id"), F.lit(0).alias("rank"), "vec_id", F.lit(0.0).alias("score"))
     stored = chunks(clean, index)
     asked = staged(_blocks(queries, queries.count()).mapInArrow(partial(_ask, index=index), _ASKED))
-    visited = asked.where("cell is not null").select("block", "cell", "positions").join(stored, "cell")
+    visited = asked.where("cell is not null").select("block", "cell", "positions").join(stored.drop("table"), "cell")
     found = staged(_found(asked.where("cell is null").select("block", "ids", "vectors"), visited, k).distinct())
     others = min(k, clean.select("vec_id").distinct().limit(k + 1).count() - 1)
     enough = found.groupBy("query_id").agg(F.countDistinct("vec_id").alias("n")).where(F.col("n") >= others)
     left = queries.join(enough.select(F.col("query_id").alias("vec_id")), "vec_id", "left_anti")
     remaining = left.count()
     if remaining and others:
-        whole = _blocks(left, remaining).mapInArrow(_ask_all, "block long, ids binary, vectors binary").withColumn("every", F.lit(0))
-        all_chunks = stored.withColumnsRenamed({"ids": "i", "vectors": "v"}).withColumn("every", F.lit(0))
-        seen = all_chunks.join(whole.select("block", "every"), "every").select(
-            "block", "cell", "chunk", F.lit(None).cast("binary").alias("positions"), F.col("i").alias("ids"), F.col("v").alias("vectors")
-        )
-        found = found.unionByName(_found(whole.drop("every"), seen, k))
+        whole = _blocks(left, remaining).mapInArrow(_ask_all, "block long, ids binary, vectors binary")
+        # Every block sees the chunks of one table, which hold every vector once; a chunk goes to each block by its number.
+        blocks = max(1, -(-remaining // QUERIES))
+        seen = stored.where(F.col("table") == 0).withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
+        seen = seen.select("block", "cell", "chunk", F.lit(None).cast("binary").alias("positions"), "ids", "vectors")
+        found = found.unionByName(_found(whole, seen, k))
     best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)

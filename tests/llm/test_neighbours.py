@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from loomwork.llm import neighbours
 
@@ -65,6 +66,22 @@ def test_ties_and_equal_vectors(spark, monkeypatch):
     assert got == {0: [(i, 5.0) for i in range(1, 6)], 100: [(i, 5.0) for i in range(5)]}
 
 
+def test_queries_that_find_too_few_see_every_vector_once(spark, monkeypatch):
+    """In several blocks, by block number and not by one key for all."""
+    monkeypatch.setattr(neighbours, "QUERIES", 4)
+    rng = np.random.default_rng(3)
+    rows = dict(enumerate(rng.standard_normal((400, 12))))
+    asked, found = [], neighbours._found
+    monkeypatch.setattr(neighbours, "_found", lambda *a: asked.append(a) or found(*a))
+    got = searched(frame(spark, rows.items()), "vec_id % 4 = 0", 399)
+    want = brute_force(rows, range(0, 400, 4), 399)
+    whole, seen, _ = asked[1]
+    left = np.concatenate([np.frombuffer(r.ids, "<i8") for r in whole.collect()]).tolist()
+    assert len(left) > 8 and all([i for i, _ in got[q]] == [i for i, _ in want[q]] for q in left)
+    n = {r.block: r.n for r in seen.groupBy("block").agg(F.sum(F.octet_length("ids") / 8).alias("n")).collect()}
+    assert len(n) > 1 and set(n.values()) == {400}
+
+
 def test_empty(spark):
     assert neighbours.nearest(frame(spark, []), "vec_id % 2 = 0", 3).collect() == []
     assert neighbours.nearest(frame(spark, [(1, [1, 1]), (3, [1, 0])]), "vec_id % 2 = 0", 3).collect() == []
