@@ -5,21 +5,24 @@ every distinct word of all documents and two places for unknown words and the be
 smoothing: absolute discounting that backs off to add-one unigrams. The score of a text is its mean loss per token under
 the target model less that under the background model; texts like the target have low scores.
 
-Words are their 64-bit hashes, pairs of neighbours a 64-bit hash of both; texts are written once as compressed hashes of
-their words. They, not the texts, meet the target ids, always by the same kind of join.
-
-1. Distinct pairs with their counts in background and target: summed in the tasks, then by one aggregation.
-2. The totals of each word as context and as word, again from partial sums.
-3. The loss of a pair needs the totals of its two words. Those of the commonest words (at most ``COMMON_WORDS``) are
-   broadcast; a pair with any other word is joined with the totals, and words that are known already spread by the pair,
-   so no key is hot.
-4. A text adds the losses of the commonest pairs (at most ``COMMON_PAIRS``, broadcast) in its own task. Every other
-   distinct pair of the text is joined with its loss, and the sums go back to the text.
-
-All tables grow with the input and stay distributed; what is broadcast decides only where a loss is looked up.
+Words are told apart by 64-bit hashes, pairs of neighbours by both hashes. Nearly every pair of a corpus is rare, so rows
+of single pairs would outweigh the texts many times; questions and answers therefore travel as packed columns.
+
+1. Texts meet the target ids, then some ``CHUNK`` tokens of whole texts become one row: the distinct words, and the texts
+   as numbers into them. Chunks are written once.
+2. A chunk asks for its distinct pairs: one row for each bucket of pairs, with the chunk's own counts. A bucket adds up
+   what all chunks ask, answers each with the counts of its pairs, and tells how many kinds of words follow each context.
+3. In the same way it asks for its distinct words, by buckets of words, and the kinds of step 2 join in. The answer has
+   the totals of a word as context and as word.
+4. A chunk and its answers meet by the chunk's number, and it adds the losses of each of its texts.
+
+A context belongs to one bucket, so that it is sent once with all words after it, but for words that may make up a
+``COMMON_WORDS``-th of all tokens: these are spread by the word that follows. A word that common must be that common in some chunk, so
+only such words are counted to find them, and there are at most 2 * ``COMMON_WORDS``. This list is all that is broadcast.
+Buckets grow in number with the tokens, not in size. The counts of every pair and word take part.
 
 Defined results: a NULL or empty text has no tokens and NULL scores; rows are scored one by one; without any target text
-the target model is uniform.
+the target model is uniform. A text is never cut: one of more than ``CHUNK`` tokens makes a chunk of its own.
 """
 
 from __future__ import annotations
@@ -28,12 +31,13 @@ from collections import Counter
 from collections.abc import Iterator
 from functools import partial
 from hashlib import blake2b
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomwork.llm.arrow_rows import slices, utf8
@@ -43,13 +47,13 @@ from loomwork.staging import staged
 
 UNKNOWN, BEGINNING = 0, 1
 DISCOUNT = 0.75
-#: Bounds of what is broadcast.
-COMMON_WORDS, COMMON_PAIRS = 1 << 16, 1 << 19
+#: A context of a larger share of all tokens is spread over buckets.
+COMMON_WORDS = 1 << 16
+#: Tokens and texts of a chunk, tokens for each bucket.
+CHUNK, CHUNK_TEXTS, BUCKET = 1 << 21, 1 << 16, 1 << 22
 _ROWS = 500
-_COUNTED_TOGETHER = 1 << 21
 _HELD_WORDS = 1 << 19
-_U = np.uint64
-_TURN = _U(0x9E3779B97F4A7C15)
+_TURN = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -87,189 +91,297 @@ class _Hashes(dict):
         return found
 
 
-def _hash(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
-    """Each text as the compressed hashes of its words."""
-    number, press = _Hashes(shared.value if shared else None), zstandard.ZstdCompressor(level=1)
-    for whole in batches:
-        for batch in slices(whole, _ROWS):
-            rows = []
-            for text in utf8(batch, "text"):
-                words = normalised_words(text)
-                rows.append(press.compress(np.fromiter(map(number.__getitem__, words), dtype="<u8", count=len(words)).tobytes()))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(rows, pa.binary())], ["doc_id", "numbers"])
-
-
-def pair_hashes(context: np.ndarray, word: np.ndarray) -> np.ndarray:
-    return mixed(mixed(context + _TURN) + word * _TURN)
-
+def packed(*columns: np.ndarray) -> bytes:
+    """Columns of 64-bit numbers, compressed."""
+    sizes = np.array([len(columns), *map(len, columns)], "<u8")
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(np.ascontiguousarray(x, "<u8").tobytes() for x in (sizes, *columns)))
 
-def _pairs(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The context of each word of a text, and the hash of both."""
-    context = np.concatenate((np.array([BEGINNING], np.uint64), words[:-1])) if len(words) else words
-    return context, pair_hashes(context, words)
 
+def unpacked(blob: bytes) -> list[np.ndarray]:
+    numbers = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), "<u8")
+    n = int(numbers[0])
+    return np.split(numbers[n + 1 :], np.cumsum(numbers[1 : n + 1].astype(np.int64))[:-1])
 
-def _signed(values: np.ndarray) -> pa.Array:
-    return pa.array(values.view(np.int64))
 
+_CHUNK = "words binary, numbers binary, doc_ids array<long>, lengths array<long>, targets array<boolean>"
 
-_PAIRS = "pair long, context long, word long, b long, t long"
 
-
-def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Distinct pairs of some texts, with their counts in the background and in the target."""
-    unpress = zstandard.ZstdDecompressor()
-    held: list[tuple[np.ndarray, ...]] = []
+def _chunks(batches: Iterator[pa.RecordBatch], shared, most: int) -> Iterator[pa.RecordBatch]:
+    """Whole texts of some tokens as one row. Frequent words have low numbers, and bytes of one rank lie together."""
+    number = _Hashes(shared.value if shared else None)
+    press = zstandard.ZstdCompressor(level=3)
+    held: list[tuple] = []
     n = 0
 
     def told() -> pa.RecordBatch:
-        word, context, pair, target = (np.concatenate(parts) for parts in zip(*held))
-        order = np.argsort(pair, kind="stable")
-        pair = pair[order]
-        first = np.flatnonzero(np.concatenate(([True], pair[1:] != pair[:-1])))
-        counts = [np.add.reduceat(x, first) for x in (np.ones(len(pair), np.int64), target[order].astype(np.int64))]
-        columns = [_signed(pair[first]), _signed(context[order[first]]), _signed(word[order[first]]), *map(pa.array, counts)]
-        return pa.RecordBatch.from_arrays(columns, ["pair", "context", "word", "b", "t"])
+        tokens = np.concatenate([x[0] for x in held])
+        words, at, counts = np.unique(tokens, return_inverse=True, return_counts=True)
+        order = np.argsort(-counts, kind="stable")
+        place = np.empty(len(words), "<u4")
+        place[order] = np.arange(len(words))
+        planes = np.ascontiguousarray(place[at].view(np.uint8).reshape(-1, 4).T)
+        blobs = [pa.array([x], pa.binary()) for x in (packed(words[order]), press.compress(planes.tobytes()))]
+        lists = [pa.array([x], pa.list_(kind)) for x, kind in (([x[1] for x in held], pa.int64()), ([len(x[0]) for x in held], pa.int64()), ([x[2] for x in held], pa.bool_()))]
+        return pa.RecordBatch.from_arrays([*blobs, *lists], ["words", "numbers", "doc_ids", "lengths", "targets"])
 
-    for batch in batches:
-        for numbers, target in zip(batch.column("numbers").to_pylist(), batch.column("target").to_pylist()):
-            words = np.frombuffer(unpress.decompress(numbers), "<u8")
-            if len(words):
-                held.append((words, *_pairs(words), np.full(len(words), target)))
+    for whole in batches:
+        for batch in slices(whole, _ROWS):
+            for text, name, target in zip(utf8(batch, "text"), batch.column("doc_id").to_pylist(), batch.column("target").to_pylist()):
+                words = normalised_words(text)
+                held.append((np.fromiter(map(number.__getitem__, words), dtype="<u8", count=len(words)), name, target))
                 n += len(words)
-            if n > _COUNTED_TOGETHER:
-                yield told()
-                held.clear()
-                n = 0
+                if n >= most or len(held) >= CHUNK_TEXTS:
+                    yield told()
+                    held.clear()
+                    n = 0
     if held:
         yield told()
 
 
-def pair_counts(hashed: DataFrame) -> DataFrame:
-    """``pair, context, word, b, t``: every distinct pair with its counts. ``hashed`` has ``numbers`` and ``target``."""
-    rows = hashed.select("numbers", "target").mapInArrow(_count_pairs, _PAIRS)
-    same = [F.any_value(c).alias(c) for c in ("context", "word")]
-    return rows.groupBy("pair").agg(*same, F.sum("b").alias("b"), F.sum("t").alias("t"))
+class Size(NamedTuple):
+    """Words of the vocabulary, tokens of background and target, buckets."""
 
+    words: int
+    b: int
+    t: int
+    buckets: int
 
-_TOTALS = ("as_context_b", "as_context_t", "kinds_b", "kinds_t", "as_word_b", "as_word_t")
 
+class Chunk:
+    """The distinct pairs and words of a chunk, with its counts, in the order in which buckets are asked for them."""
 
-def word_totals(pairs: DataFrame) -> DataFrame:
-    """Per word its counts as context, the distinct words after it, and its own counts, in background and target."""
-    zero = F.lit(0).cast("long")
-    context = [F.col("b"), F.col("t"), F.lit(1).cast("long"), (F.col("t") > 0).cast("long"), zero, zero]
-    word = [zero, zero, zero, zero, F.col("b"), F.col("t")]
-    sides = [pairs.select(F.col(name).alias("h"), *(c.alias(x) for c, x in zip(cs, _TOTALS))) for name, cs in (("context", context), ("word", word))]
-    return sides[0].unionByName(sides[1]).groupBy("h").agg(*(F.sum(c).alias(c) for c in _TOTALS))
+    def __init__(self, words: bytes, numbers: bytes, lengths: list[int], targets: list[bool]):
+        self.words = np.append(unpacked(words)[0], np.uint64(BEGINNING))
+        planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(numbers), np.uint8).reshape(4, -1)
+        self.word = np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
+        self.lengths = np.array(lengths, np.int64)
+        self.target = np.repeat(np.array(targets, bool), self.lengths)
+        self.context = np.concatenate(([0], self.word[:-1])) if len(self.word) else self.word
+        starts = np.cumsum(self.lengths) - self.lengths
+        self.context[starts[self.lengths > 0]] = len(self.words) - 1
 
+    def _counts(self, at: np.ndarray, n: int) -> list[np.ndarray]:
+        return [np.bincount(at, minlength=n), np.bincount(at[self.target], minlength=n)]
 
-def commonest(rows: DataFrame, count: Column, most: int) -> DataFrame:
-    """The rows of the highest counts, as many as come to at most ``most``: by a bound on the count, not by sorting."""
-    level = F.floor(F.log2(count.cast("double")) * 8).cast("int")
-    at, taken = None, 0
-    for row in sorted(rows.groupBy(level.alias("level")).count().collect(), reverse=True):
-        taken += row["count"]
-        if taken > most:
-            break
-        at = row.level
-    return rows.where(F.lit(False) if at is None else level >= at)
+    def ask_pairs(self, common: np.ndarray, buckets: int) -> None:
+        n = len(self.words)
+        pairs, self.pair = np.unique(self.context * n + self.word, return_inverse=True)
+        self.pair_context, self.pair_word = np.divmod(pairs, n)
+        context, word = self.words[self.pair_context], self.words[self.pair_word]
+        spread = np.where(np.isin(context, common), mixed(word + _TURN), np.uint64(0))
+        self.pair_bucket = (mixed(context + spread) % np.uint64(buckets)).astype(np.int64)
+        self.pair_order = np.argsort(self.pair_bucket, kind="stable")
+        self.pair_counts = self._counts(self.pair, len(pairs))
 
+    def ask_words(self, buckets: int) -> None:
+        n = len(self.words)
+        self.word_bucket = word_buckets(self.words, buckets)
+        self.word_order = np.argsort(self.word_bucket, kind="stable")
+        self.word_counts = [*self._counts(self.context, n), *self._counts(self.word, n)]
 
-class Size(NamedTuple):
-    """Words of the vocabulary and tokens of background and target."""
 
-    words: int
-    b: int
-    t: int
+def word_buckets(words: np.ndarray, buckets: int) -> np.ndarray:
+    return (mixed(words + _TURN) % np.uint64(buckets)).astype(np.int64)
 
 
-def _loss(which: str, size: Size, context: str, word: str) -> Column:
-    """Negative log probability of a pair."""
-    n, kinds = F.col(f"{context}.as_context_{which}"), F.col(f"{context}.kinds_{which}")
-    unigram = (F.col(f"{word}.as_word_{which}") + 1) / F.lit(float(getattr(size, which) + size.words))
-    bigram = (F.greatest(F.col(which) - F.lit(DISCOUNT), F.lit(0.0)) + F.lit(DISCOUNT) * kinds * unigram) / n
-    return -F.log(F.when(n > 0, bigram).otherwise(unigram))
-
-
-def losses(pairs: DataFrame, totals: DataFrame, common: DataFrame, size: Size) -> DataFrame:
-    """``pair, loss_b, loss_t``. ``common`` has those rows of ``totals`` that are broadcast."""
-    def named(table: DataFrame, side: str, key: str) -> DataFrame:
-        return table.select(F.col("h").alias(key), F.struct(*_TOTALS).alias(side))
-
-    rows = pairs
-    for side in ("context", "word"):
-        rows = rows.join(F.broadcast(named(common, f"of_{side}", f"{side}_h")), F.col(side) == F.col(f"{side}_h"), "left").drop(f"{side}_h")
-    known = F.col("of_context").isNotNull() & F.col("of_word").isNotNull()
-    rest = rows.where(~known)
-    for side in ("context", "word"):
-        # A word whose totals are known already needs no match: the pair spreads it.
-        key = F.when(F.col(f"of_{side}").isNull(), F.col(side)).otherwise(F.col("pair"))
-        rest = rest.withColumn("key", key).join(named(totals, "met", "key").hint("merge"), "key", "left")
-        rest = rest.withColumn(f"of_{side}", F.coalesce(f"of_{side}", "met")).drop("key", "met")
-    out = ["pair", *(_loss(which, size, "of_context", "of_word").cast("float").alias(f"loss_{which}") for which in ("b", "t"))]
-    return rows.where(known).select(*out).unionByName(rest.select(*out))
-
-
-def _looked_up(batches: Iterator[pa.RecordBatch], shared) -> Iterator[tuple]:
-    """Per text: row, doc_id, number of tokens, the pairs of its tokens, which have a common loss, and where."""
-    unpress, common = zstandard.ZstdDecompressor(), shared.value[0]
-    for batch in batches:
-        for row, name, numbers in zip(*(batch.column(c).to_pylist() for c in ("row", "doc_id", "numbers"))):
-            pair = _pairs(np.frombuffer(unpress.decompress(numbers), "<u8"))[1].view(np.int64)
-            at = np.minimum(np.searchsorted(common, pair), max(0, len(common) - 1))
-            yield row, name, pair, common[at] == pair if len(common) else np.zeros(len(pair), dtype=bool), at
+def _runs(values: np.ndarray) -> np.ndarray:
+    """Where runs of equal values begin, and the end."""
+    return np.concatenate((np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1]))), [len(values)])) if len(values) else np.zeros(1, np.int64)
 
 
-def _common_sums(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
-    """Each text with its number of tokens and the losses of its common pairs."""
-    _, *tables = shared.value
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
-    for whole in batches:
-        for batch in slices(whole, _ROWS):
-            rows = [(r, i, len(pair), *(float(x[at[hit]].sum(dtype=np.float64)) for x in tables)) for r, i, pair, hit, at in _looked_up([batch], shared)]
-            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in rows], kind) for k, kind in enumerate(kinds)], ["row", "doc_id", "n_tokens", "b", "t"])
+def _read(batch: pa.RecordBatch) -> Iterator[tuple[int, Chunk]]:
+    for i in range(batch.num_rows):
+        row = batch.slice(i, 1).to_pylist()[0]
+        yield row["chunk"], Chunk(row["words"], row["numbers"], row["lengths"], row["targets"])
 
 
-def _other_pairs(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
-    """The distinct other pairs of each text, with how often they occur in it."""
-    for whole in batches:
-        for batch in slices(whole, _ROWS):
-            pairs, counts, rows = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-            for row, _, pair, hit, _ in _looked_up([batch], shared):
-                found, n = np.unique(pair[~hit], return_counts=True)
-                pairs.append(found)
-                counts.append(n)
-                rows.append(np.full(len(found), row))
-            columns = [pa.array(np.concatenate(x)) for x in (rows, pairs, counts)]
-            yield pa.RecordBatch.from_arrays(columns, ["row", "pair", "n"])
+_ASKED = "bucket long, chunk long, blob binary"
+
 
+def _asked(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = (("bucket", pa.int64()), ("chunk", pa.int64()), ("blob", pa.binary()))
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, (_, kind) in enumerate(kinds)], [x for x, _ in kinds])
 
-def cross_entropy_difference(documents: DataFrame, target_ids: DataFrame, size: int | None = None) -> DataFrame:
+
+def _frequent(batches: Iterator[pa.RecordBatch], share: int) -> Iterator[pa.RecordBatch]:
+    """The words that may be common, with their counts in a chunk."""
+    for batch in batches:
+        for _, chunk in _read(batch):
+            counts = np.bincount(chunk.context, minlength=len(chunk.words))
+            at = np.flatnonzero((counts > 0) & (counts * (2 * share) >= len(chunk.word)))
+            yield pa.RecordBatch.from_arrays([pa.array(chunk.words[at].view(np.int64)), pa.array(counts[at])], ["h", "n"])
+
+
+def common_contexts(chunks: DataFrame, tokens: int, share: int) -> np.ndarray:
+    """Every context of at least a ``share``-th of all tokens, and at most twice as many words as that."""
+    counted = chunks.mapInArrow(partial(_frequent, share=share), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    rows = counted.where(F.col("n") * (2 * share) >= tokens).select("h").toArrow()
+    return np.sort(rows.column("h").to_numpy().astype(np.int64).view(np.uint64))
+
+
+def _ask_pairs(batches: Iterator[pa.RecordBatch], shared, buckets: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for name, chunk in _read(batch):
+            chunk.ask_pairs(shared.value, buckets)
+            ends = _runs(chunk.pair_bucket[chunk.pair_order])
+            for start, end in zip(ends[:-1], ends[1:]):
+                at = chunk.pair_order[start:end]
+                heads = _runs(chunk.pair_context[at])
+                head = chunk.words[chunk.pair_context[at[heads[:-1]]]]
+                blob = packed(head, np.diff(heads), chunk.words[chunk.pair_word[at]], *(x[at] for x in chunk.pair_counts))
+                yield _asked([(int(chunk.pair_bucket[at[0]]), name, blob)])
+
+
+def _ask_words(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for name, chunk in _read(batch):
+            chunk.ask_words(buckets)
+            ends = _runs(chunk.word_bucket[chunk.word_order])
+            for start, end in zip(ends[:-1], ends[1:]):
+                at = chunk.word_order[start:end]
+                none = np.zeros(len(at), np.int64)
+                yield _asked([(int(chunk.word_bucket[at[0]]), name, packed(chunk.words[at], *(x[at] for x in chunk.word_counts), none, none))])
+
+
+def _by(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[int, list[dict]]]:
+    """Rows of one key after the other; the rows come sorted by it."""
+    held: list[dict] = []
+    for row in chain.from_iterable(batch.slice(i, 1).to_pylist() for batch in batches for i in range(batch.num_rows)):
+        if held and held[0][key] != row[key]:
+            yield held[0][key], held
+            held = []
+        held.append(row)
+    if held:
+        yield held[0][key], held
+
+
+def _sums(order: np.ndarray, starts: np.ndarray, columns: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Sums of columns over groups, and the same sums for every row."""
+    sums = [np.add.reduceat(x[order], starts[:-1]) for x in columns]
+    of = np.empty(len(order), np.int64)
+    of[order] = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
+    return sums, [x[of] for x in sums]
+
+
+PAIRS, WORDS = 1, 2
+_TOLD = "kind int, chunk long, bucket long, blob binary, words long"
+
+
+def _told(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = (("kind", pa.int32()), ("chunk", pa.int64()), ("bucket", pa.int64()), ("blob", pa.binary()), ("words", pa.int64()))
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, (_, kind) in enumerate(kinds)], [x for x, _ in kinds])
+
+
+def _answers(kind: int, bucket: int, rows: list[dict], sizes: list[int], columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    end = 0
+    for row, size in zip(rows, sizes):
+        start, end = end, end + size
+        if row["chunk"] is not None:
+            yield _told([(kind, row["chunk"], bucket, packed(*(x[start:end] for x in columns)), 0)])
+
+
+def _answer_pairs(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """Counts of pairs to every chunk that asked, and the kinds of words after each context to the buckets of words."""
+    for bucket, rows in _by(batches, "bucket"):
+        parts = [unpacked(row.pop("blob")) for row in rows]
+        context = np.concatenate([np.repeat(head, n.astype(np.int64)) for head, n, *_ in parts])
+        word, b, t = (np.concatenate([x[k] for x in parts]) for k in (2, 3, 4))
+        sizes = [len(x[2]) for x in parts]
+        del parts
+        order = np.lexsort((word, context))
+        sorted_context, sorted_word = context[order], word[order]
+        changed = (sorted_context[1:] != sorted_context[:-1]) | (sorted_word[1:] != sorted_word[:-1])
+        starts = np.concatenate(([0], np.flatnonzero(changed) + 1, [len(order)]))
+        sums, totals = _sums(order, starts, [b, t])
+        yield from _answers(PAIRS, bucket, rows, sizes, totals)
+        head = sorted_context[starts[:-1]]
+        heads = _runs(head)
+        kinds = np.diff(heads), np.add.reduceat((sums[1] > 0).astype(np.int64), heads[:-1])
+        head = head[heads[:-1]]
+        to = word_buckets(head, buckets)
+        by = np.argsort(to, kind="stable")
+        ends = _runs(to[by])
+        for start, end in zip(ends[:-1], ends[1:]):
+            at = by[start:end]
+            none = np.zeros(len(at), np.int64)
+            yield _told([(WORDS, None, int(to[at[0]]), packed(head[at], none, none, none, none, *(x[at] for x in kinds)), 0)])
+
+
+def _answer_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Totals of words to every chunk that asked, and how many words of the vocabulary the bucket has."""
+    for bucket, rows in _by(batches, "bucket"):
+        parts = [unpacked(row.pop("blob")) for row in rows]
+        word, *columns = (np.concatenate(x) for x in zip(*parts))
+        order = np.argsort(word, kind="stable")
+        sums, totals = _sums(order, _runs(word[order]), columns)
+        yield from _answers(WORDS, bucket, rows, [len(x[0]) for x in parts], totals)
+        yield _told([(WORDS, None, bucket, None, int((sums[2] > 0).sum()))])
+
+
+def _in_order(blobs: list[bytes], order: np.ndarray) -> list[np.ndarray]:
+    """Columns of answers, which come in the order of the questions, at the places of what was asked."""
+    out = []
+    for column in zip(*map(unpacked, blobs)):
+        placed = np.empty(len(order), np.float64)
+        placed[order] = np.concatenate(column)
+        out.append(placed)
+    return out
+
+
+def _score(batches: Iterator[pa.RecordBatch], shared, size: Size) -> Iterator[pa.RecordBatch]:
+    """The texts of each chunk with their mean losses. Rows come by chunk: the chunk, answers on pairs, answers on words."""
+    for _, (row, *answers) in _by(batches, "chunk"):
+        chunk = Chunk(row["words"], row["numbers"], row["lengths"], row["targets"])
+        texts = np.repeat(np.arange(len(chunk.lengths)), chunk.lengths)
+        losses = {which: np.zeros(len(chunk.lengths)) for which in "tb"}
+        if len(texts):
+            chunk.ask_pairs(shared.value, size.buckets)
+            chunk.ask_words(size.buckets)
+            pairs = _in_order([x["blob"] for x in answers if x["kind"] == PAIRS], chunk.pair_order)
+            totals = _in_order([x["blob"] for x in answers if x["kind"] == WORDS], chunk.word_order)
+            for k, which in enumerate("bt"):
+                count, after, own, kinds = pairs[k], totals[k], totals[2 + k], totals[4 + k]
+                unigram = ((own + 1) / (getattr(size, which) + size.words))[chunk.pair_word]
+                n, kinds = after[chunk.pair_context], kinds[chunk.pair_context]
+                bigram = (np.maximum(count - DISCOUNT, 0) + DISCOUNT * kinds * unigram) / np.maximum(n, 1)
+                losses[which] = np.bincount(texts, -np.log(np.where(n > 0, bigram, unigram))[chunk.pair], len(chunk.lengths))
+        means = [pa.array(x / np.maximum(chunk.lengths, 1), mask=chunk.lengths == 0) for x in losses.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(row["doc_ids"], pa.int64()), pa.array(chunk.lengths), *means], ["doc_id", "n_tokens", "target_loss", "background_loss"])
+
+
+def _sorted(rows: DataFrame, key: str, *then: str) -> DataFrame:
+    return rows.repartition(key).sortWithinPartitions(key, *then)
+
+
+def cross_entropy_difference(
+    documents: DataFrame, target_ids: DataFrame, size: int | None = None, common_words: int = COMMON_WORDS, chunk: int = CHUNK, bucket: int = BUCKET
+) -> DataFrame:
     """``doc_id, n_tokens, target_loss, background_loss, difference`` of every document.
 
     ``target_ids`` has the ``doc_id`` of the documents that make the target corpus. The vocabulary is every distinct word;
     a caller who wants a smaller one names its ``size``, and words beyond the most frequent are one unknown word.
+    ``common_words``, ``chunk`` and ``bucket`` change where counts are added up, not the result.
     """
     context = documents.sparkSession.sparkContext
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     known = None if size is None else context.broadcast(vocabulary(texts, size))
     chosen = target_ids.select(F.col("doc_id").cast("long").alias("doc_id")).distinct().withColumn("target", F.lit(True))
-    hashed = texts.mapInArrow(partial(_hash, shared=known), "doc_id long, numbers binary").join(chosen.hint("merge"), "doc_id", "left")
-    hashed = staged(hashed.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.coalesce("target", F.lit(False)).alias("target"), "numbers"))
-    pairs = staged(pair_counts(hashed))
-    totals = staged(word_totals(pairs))
-    sums = totals.agg(F.count_if(F.col("as_word_b") > 0), F.coalesce(F.sum("as_word_b"), F.lit(0)), F.coalesce(F.sum("as_word_t"), F.lit(0))).first()
-    corpus = Size(sums[0] + 2 if size is None else size, sums[1], sums[2])
-    frequent = commonest(totals, F.greatest("as_context_b", "as_word_b"), COMMON_WORDS)
-    found = losses(commonest(pairs, F.col("b"), COMMON_PAIRS), totals, frequent, corpus).toArrow().sort_by("pair")
-    shared = context.broadcast(tuple(found.column(c).to_numpy() for c in ("pair", "loss_b", "loss_t")))
-    own = hashed.mapInArrow(partial(_common_sums, shared=shared), "row long, doc_id long, n_tokens long, b double, t double")
-    others = hashed.mapInArrow(partial(_other_pairs, shared=shared), "row long, pair long, n long")
-    met = others.join(losses(pairs, totals, frequent, corpus).hint("merge"), "pair")
-    none = F.lit(None).cast("long")
-    parts = met.select("row", none.alias("doc_id"), none.alias("n_tokens"), *((F.col("n") * F.col(f"loss_{x}").cast("double")).alias(x) for x in "bt"))
-    summed = own.unionByName(parts).groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.max("n_tokens").alias("n_tokens"), F.sum("b").alias("b"), F.sum("t").alias("t"))
-    target, background = (F.when(F.col("n_tokens") > 0, F.col(x) / F.col("n_tokens")) for x in "tb")
-    means = target.alias("target_loss"), background.alias("background_loss"), (target - background).alias("difference")
-    return summed.select("doc_id", "n_tokens", *means)
+    flagged = texts.join(chosen.hint("merge"), "doc_id", "left").select("doc_id", "text", F.coalesce("target", F.lit(False)).alias("target"))
+    chunks = flagged.mapInArrow(partial(_chunks, shared=known, most=chunk), _CHUNK)
+    chunks = staged(chunks.select(F.monotonically_increasing_id().alias("chunk"), "*"))
+    n = F.aggregate("lengths", F.lit(0).cast("long"), lambda x, y: x + y)
+    of_target = F.aggregate(F.arrays_zip("lengths", "targets"), F.lit(0).cast("long"), lambda x, y: x + F.when(y.targets, y.lengths).otherwise(0))
+    tokens, in_target = chunks.agg(F.coalesce(F.sum(n), F.lit(0)), F.coalesce(F.sum(of_target), F.lit(0))).first()
+    buckets = 1 + tokens // bucket
+    common = context.broadcast(common_contexts(chunks, tokens, common_words))
+    asked = chunks.mapInArrow(partial(_ask_pairs, shared=common, buckets=buckets), _ASKED)
+    of_pairs = staged(_sorted(asked, "bucket").mapInArrow(partial(_answer_pairs, buckets=buckets), _TOLD))
+    asked = chunks.mapInArrow(partial(_ask_words, buckets=buckets), _ASKED)
+    kinds = of_pairs.where(F.col("kind") == WORDS).select("bucket", "chunk", "blob")
+    of_words = staged(_sorted(asked.unionByName(kinds), "bucket").mapInArrow(_answer_words, _TOLD))
+    words = of_words.agg(F.coalesce(F.sum("words"), F.lit(0))).first()[0] + 2 if size is None else size
+    answers = of_pairs.unionByName(of_words).where("chunk is not null").drop("words")
+    met = chunks.withColumn("kind", F.lit(0)).unionByName(answers, allowMissingColumns=True)
+    score = partial(_score, shared=common, size=Size(words, tokens, in_target, buckets))
+    scored = _sorted(met, "chunk", "kind", "bucket").mapInArrow(score, "doc_id long, n_tokens long, target_loss double, background_loss double")
+    return scored.withColumn("difference", F.col("target_loss") - F.col("background_loss"))

@@ -35,13 +35,12 @@ import sentencepiece
 import tiktoken
 import zstandard
 from public_tokenizers import PATTERN
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from loomwork.llm.arrow_rows import slices
 from loomwork.llm.bpe import pieces
-from loomwork.llm.lm_scoring import commonest
 from loomwork.staging import staged
 
 COMMON_PAIRS = 1 << 19
@@ -300,6 +299,18 @@ def _other_links(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.Recor
             yield pa.RecordBatch.from_arrays(columns, ["row", "pair", "times"])
 
 
+def commonest(rows: DataFrame, count: Column, most: int) -> DataFrame:
+    """The rows of the highest counts, as many as come to at most ``most``: by a bound on the count, not by sorting."""
+    level = F.floor(F.log2(count.cast("double")) * 8).cast("int")
+    at, taken = None, 0
+    for row in sorted(rows.groupBy(level.alias("level")).count().collect(), reverse=True):
+        taken += row["count"]
+        if taken > most:
+            break
+        at = row.level
+    return rows.where(F.lit(False) if at is None else level >= at)
+
+
 def scored(found: DataFrame, counts: DataFrame, a: str, b: str, common_pairs: int = COMMON_PAIRS) -> DataFrame:
     """``row, n_best, count_sum`` in parts to be summed by row: links whose count is the highest of their A id (ties
     included), and the counts of all links. ``counts`` is ``pair_counts``, staged."""

@@ -76,11 +76,9 @@ def test_texts_like_the_target_score_lower(spark):
     assert max(r.difference for r in scores if r.doc_id % 2) < min(r.difference for r in scores if not r.doc_id % 2)
 
 
-@pytest.mark.parametrize("common", [1 << 16, 4, 0])
-def test_every_word_has_its_own_losses(spark, monkeypatch, common):
-    """Without a size no word is unknown, wherever a loss is looked up."""
-    monkeypatch.setattr(lm_scoring, "COMMON_WORDS", common)
-    monkeypatch.setattr(lm_scoring, "COMMON_PAIRS", common)
+@pytest.mark.parametrize("common, chunk, bucket", [(1 << 16, 1 << 21, 1 << 22), (4, 300, 100), (1, 1, 7), (100, 700, 50)])
+def test_every_word_has_its_own_losses(spark, common, chunk, bucket):
+    """Without a size no word is unknown, however texts lie in chunks and words and pairs in buckets."""
     random.seed(4)
     words = [f"w{i}" for i in range(6)] + ["the"] * 6
     rows = [(i, " ".join([f"rare{j}" for j in range(60 * i, 60 * i + 60)] + random.choices(words, k=20))) for i in range(40)]
@@ -90,7 +88,7 @@ def test_every_word_has_its_own_losses(spark, monkeypatch, common):
     assert size > 2048
     want = sorted(brute_force(rows, set(targets), size), key=repr)
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    got = lm_scoring.cross_entropy_difference(docs, spark.createDataFrame([(t,) for t in targets], "doc_id long"))
+    got = lm_scoring.cross_entropy_difference(docs, spark.createDataFrame([(t,) for t in targets], "doc_id long"), None, common, chunk, bucket)
     for mine, theirs in zip(sorted((tuple(r) for r in got.collect()), key=lambda r: repr(r[:2])), sorted(want, key=lambda r: repr(r[:2])), strict=True):
         assert mine[:2] == theirs[:2]
         assert mine[2:] == (pytest.approx(theirs[2:], abs=1e-5) if theirs[1] else theirs[2:])
