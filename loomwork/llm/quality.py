@@ -1,12 +1,15 @@
 """Quality classifier by co-training.
 
-Two logistic classifiers see different views of a document: the text's content (shares of characters and signs, lengths,
-repetition) and its metadata (language, source, length). Both begin with the labelled documents. In each round either
+Two logistic classifiers see different views of a document: the text's content (which words of a lexicon it has, shares
+of characters and signs, lengths, repetition) and its metadata (language, source). The lexicon holds the ``LEXICON`` words
+whose presence tells most about the labels of the examples (by the G statistic of their counts of documents, ties by word),
+as far as chance alone would not give them.
+Both begin with the labelled documents. In each round either
 hands the other those documents without labels that it is surest of, as further examples. At the end each view is
 calibrated on labelled documents that no training saw, and their odds are combined over the prior.
 
-Only labelled documents are sampled: the ``LABELLED`` with the smallest hash of ``doc_id``. Every document without a label
-is in the pool. Its features are written once; a round counts how sure either view is of all of them, which gives the
+Only labelled documents are sampled: the ``LABELLED`` with the smallest hash of ``doc_id``, of a repeated one the row with
+the smallest features. Every document without a label is in the pool. Its features are written once; a round counts how sure either view is of all of them, which gives the
 bound on the odds from which documents are handed over, and each Newton step sums slopes and curves in the tasks. No row
 of the pool goes to the driver. Scoring is one pass without a shuffle.
 
@@ -28,11 +31,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomwork.llm.arrow_rows import slices, utf8
+from loomwork.llm.decontamination import normalised_words
 from loomwork.llm.near_dedup import mixed
 from loomwork.staging import discard, staged
 
 #: Bound of the labelled sample the classifiers are fitted on.
 LABELLED = 20_000
+#: Words the text view looks for, at most, and their least G statistic: by chance a word has it once in a million.
+LEXICON, TELLING = 256, 24.0
 ROUNDS = 5
 #: What either view hands over in a round: at most this share of the pool, of documents it is this sure of.
 HANDED, SURE = 0.05, 0.95
@@ -52,13 +58,18 @@ for _c in range(256):
         else 6 if _c >= 128 else 7 + _SIGNS.index(_c) if _c in _SIGNS else 5
     )
 _CLASSES = 7 + len(_SIGNS)
-_LANGS, _SOURCES, _SIZES = 16, 64, 20
-TEXT_FEATURES = _CLASSES + 7
-META_FEATURES = _LANGS + _SOURCES + _SIZES
+_LANGS, _SOURCES = 16, 64
+_STYLE = _CLASSES + 7
+TEXT_FEATURES = _STYLE + LEXICON
+META_FEATURES = _LANGS + _SOURCES
 
 
-def text_features(text: bytes | None) -> np.ndarray:
+def text_features(text: bytes | None, lexicon: dict[bytes, int] | None = None) -> np.ndarray:
+    """Style of a text, and which words of the lexicon (with their places) it has."""
     text = text or b""
+    present = np.zeros(LEXICON)
+    if lexicon:
+        present[[lexicon[w] for w in lexicon.keys() & set(normalised_words(text))]] = 1
     shares = np.bincount(_CLASS[np.frombuffer(text, np.uint8)], minlength=_CLASSES) / max(1, len(text))
     words, lines = text.split(), text.split(b"\n")
     n = max(1, len(words))
@@ -68,18 +79,17 @@ def text_features(text: bytes | None) -> np.ndarray:
         np.log1p(len(words)), sum(map(len, words)) / n / 10, len(set(words)) / n, len(set(lines)) / len(lines),
         signs / n, marked / n, sum(len(w) == 1 for w in words) / n,
     ]
-    return np.concatenate((shares, extra))
+    return np.concatenate((shares, extra, present))
 
 
 def _bucket(value: str | None, buckets: int) -> int:
     return 0 if value is None else 1 + zlib.crc32(value.encode()) % (buckets - 1)
 
 
-def meta_features(lang: str | None, source: str | None, n_chars: int | None) -> np.ndarray:
+def meta_features(lang: str | None, source: str | None) -> np.ndarray:
     out = np.zeros(META_FEATURES)
     out[_bucket(lang, _LANGS)] = 1
     out[_LANGS + _bucket(source, _SOURCES)] = 1
-    out[_LANGS + _SOURCES + min(_SIZES - 1, 0 if n_chars is None else 1 + max(0, n_chars).bit_length())] = 1
     return out
 
 
@@ -98,8 +108,8 @@ class Logistic(NamedTuple):
 
     def odds(self, x: np.ndarray) -> np.ndarray:
         """Calibrated log odds."""
-        score = (x - self.mean) / self.scale @ self.weights[1:] + self.weights[0]
-        return self.slope * score + self.offset
+        weights = self.weights[1:] / self.scale
+        return self.slope * (x @ weights + (self.weights[0] - self.mean @ weights)) + self.offset
 
 
 def newton(x: np.ndarray, y: np.ndarray, decay: float, base: np.ndarray | float = 0.0, free: float = 1e-6, steps: int = 25) -> np.ndarray:
@@ -152,6 +162,7 @@ class Model(NamedTuple):
     text: Logistic
     meta: Logistic
     prior: float
+    lexicon: dict[bytes, int] = {}
 
     def probabilities(self, text: np.ndarray, meta: np.ndarray) -> list[np.ndarray]:
         """Of good quality: by the text, by the metadata, by both."""
@@ -188,7 +199,9 @@ def _no_rows() -> tuple[np.ndarray, np.ndarray]:
 
 
 def _unfolded(table: pa.RecordBatch | pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    text = np.frombuffer(b"".join(table.column("text").to_pylist()), "<f8").reshape(-1, TEXT_FEATURES)
+    packed = np.frombuffer(b"".join(table.column("text").to_pylist()), np.uint8).reshape(-1, 8 * _STYLE + LEXICON)
+    style = np.ascontiguousarray(packed[:, : 8 * _STYLE]).view("<f8")
+    text = np.hstack((style, packed[:, 8 * _STYLE :].astype(np.float64)))
     return text, np.frombuffer(b"".join(table.column("meta").to_pylist()), np.uint8).reshape(-1, META_FEATURES).astype(np.float64)
 
 
@@ -270,7 +283,8 @@ def _loss(model: Logistic, x: np.ndarray, y: np.ndarray) -> np.ndarray:
     odds = full @ model.weights
     p = sigmoid(odds)
     curve = (full * np.maximum(p * (1 - p), 1e-6)[:, None]).T @ full
-    return np.concatenate(([(np.logaddexp(0, odds) - y * odds).sum()], full.T @ (y - p), curve.ravel()))
+    # The curve is symmetric; half of it travels.
+    return np.concatenate(([(np.logaddexp(0, odds) - y * odds).sum()], full.T @ (y - p), curve[np.triu_indices(len(curve))]))
 
 
 def _refitted(models: list[Logistic], views: list[np.ndarray], y: np.ndarray, pool: LocalPool | StagedPool, history: list[list[Handover]]) -> list[Logistic]:
@@ -283,15 +297,18 @@ def _refitted(models: list[Logistic], views: list[np.ndarray], y: np.ndarray, po
         for which in list(open_):
             w = trial[which].weights
             n = len(w)
-            found = sums[at : at + 1 + n + n * n] + _loss(trial[which], views[which], y)
-            at += 1 + n + n * n
+            size = 1 + n + n * (n + 1) // 2
+            found = sums[at : at + size] + _loss(trial[which], views[which], y)
+            at += size
             penalty = np.full(n, 1.0)
             penalty[0] = 1e-6
             cost = float(found[0] + (penalty * w * w).sum() / 2)
             if cost <= now[which]:
                 slope = found[1 : 1 + n] - penalty * w
                 models[which], now[which] = trial[which], cost
-                steps[which] = np.linalg.solve(found[1 + n :].reshape(n, n) + np.diag(penalty), slope)
+                half = np.zeros((n, n))
+                half[np.triu_indices(n)] = found[1 + n :]
+                steps[which] = np.linalg.solve(half + np.triu(half, 1).T + np.diag(penalty), slope)
                 if slope @ steps[which] < 1e-7 * (1 + cost):
                     open_.remove(which)
             else:
@@ -330,23 +347,30 @@ def co_trained(
     return Model(models[0], models[1], float(np.log(good / (1 - good))))
 
 
-def _views(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    meta = zip(*(batch.column(c).to_pylist() for c in ("lang", "source", "n_chars")))
-    return np.array([text_features(t) for t in utf8(batch, "text")]), np.array([meta_features(*m) for m in meta])
+def _views(batch: pa.RecordBatch, lexicon: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
+    meta = zip(batch.column("lang").to_pylist(), batch.column("source").to_pylist())
+    return np.array([text_features(t, lexicon) for t in utf8(batch, "text")]), np.array([meta_features(*m) for m in meta])
 
 
-def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _extract(batches: Iterator[pa.RecordBatch], lexicon: dict[bytes, int]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for batch in slices(whole, _ROWS):
-            text, meta = _views(batch)
-            rows = [[row.astype(kind).tobytes() for row in view] for view, kind in ((text, "<f8"), (meta, np.uint8))]
+            text, meta = _views(batch, lexicon)
+            rows = [
+                [row[:_STYLE].astype("<f8").tobytes() + row[_STYLE:].astype(np.uint8).tobytes() for row in text],
+                [row.astype(np.uint8).tobytes() for row in meta],
+            ]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(v, pa.binary()) for v in rows)], ["doc_id", "text", "meta"])
 
 
 def _inputs(documents: DataFrame, *more: Column) -> DataFrame:
     """The columns the views read, with their types."""
-    kinds = {"text": "string", "lang": "string", "source": "string", "n_chars": "long"}
-    return documents.select(*more, *(F.col(c).cast(k).alias(c) for c, k in kinds.items()))
+    return documents.select(*more, *(F.col(c).cast("string").alias(c) for c in ("text", "lang", "source")))
+
+
+def held_out() -> Column:
+    """Which labelled documents serve calibration only: a quarter, by hash."""
+    return F.pmod(F.xxhash64("doc_id", F.lit("held out")), F.lit(4)) == 3
 
 
 def _sample(ids: DataFrame, n: int) -> DataFrame:
@@ -354,25 +378,60 @@ def _sample(ids: DataFrame, n: int) -> DataFrame:
     return ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
 
 
+def _present(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for each distinct word of a document, with its label."""
+    for whole in batches:
+        for batch in slices(whole, _ROWS):
+            words, labels = [], []
+            for text, label in zip(utf8(batch, "text"), batch.column("label").to_pylist()):
+                found = set(normalised_words(text))
+                words += found
+                labels += [label] * len(found)
+            yield pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(labels, pa.float64())], ["word", "label"])
+
+
+def _telling(words: DataFrame, good: float, bad: float) -> DataFrame:
+    """The ``LEXICON`` words (of ``word, label``, a row for each document) that tell most about the label."""
+    counts = words.groupBy("word").agg(F.sum("label").alias("a"), F.sum(1 - F.col("label")).alias("b"))
+    n, a, b = good + bad, F.col("a"), F.col("b")
+
+    def cell(count: Column, row: Column, column: float) -> Column:
+        return F.when(count > 0, count * F.log(count * n / (row * column))).otherwise(0.0)
+
+    having, without = a + b, n - a - b
+    g = cell(a, having, good) + cell(b, having, bad) + cell(good - a, without, good) + cell(bad - b, without, bad)
+    return counts.select("word", F.round(2 * g, 6).alias("g")).where(F.col("g") >= TELLING).orderBy(F.desc("g"), "word").limit(LEXICON)
+
+
 def train(documents: DataFrame, labels: DataFrame) -> Model | None:
     """The model; None without documents of both labels. ``labels`` has ``doc_id, label``."""
     labelled = labels.where("label in (0, 1) and doc_id is not null").groupBy("doc_id").agg((F.avg("label") >= 0.5).cast("double").alias("label"))
     inputs = _inputs(documents, F.col("doc_id").cast("long").alias("doc_id"))
-    named, nameless = (inputs.where(f"doc_id is {x} null").mapInArrow(_extract, "doc_id long, text binary, meta binary") for x in ("not", ""))
+    chosen = staged(_sample(inputs.select("doc_id").distinct().join(labelled.hint("merge"), "doc_id"), LABELLED))
+    examples = chosen.where(~held_out())
+    good, bad = (chosen.where(f"label = {label}").count() for label in (1, 0))
+    if not good or not bad:
+        discard(chosen)
+        return None
+    # At most LABELLED ids go to the texts and to the features.
+    texts = inputs.select("doc_id", "text").join(F.broadcast(examples), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
+    words = texts.select("text", "label").mapInArrow(_present, "word binary, label double")
+    good, bad = (float(examples.where(f"label = {label}").count()) for label in (1, 0))
+    lexicon = {bytes(r.word): i for i, r in enumerate(_telling(words, good, bad).collect())}
+    extract = partial(_extract, lexicon=lexicon)
+    named, nameless = (inputs.where(f"doc_id is {x} null").mapInArrow(extract, "doc_id long, text binary, meta binary") for x in ("not", ""))
     features = named.join(labelled.hint("merge"), "doc_id", "left").unionByName(nameless.withColumn("label", F.lit(None).cast("double")))
     features = staged(features)
-    chosen = staged(_sample(features.where("label is not null").select("doc_id", "label").distinct(), LABELLED))
-    # At most LABELLED ids go to the features; of a repeated id one row counts.
-    sample = features.join(F.broadcast(chosen.select("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"]).toArrow().sort_by("doc_id")
+    least = F.min(F.struct("text", "meta")).alias("least")
+    sample = features.join(F.broadcast(chosen.select("doc_id")), "doc_id", "left_semi").groupBy("doc_id", "label").agg(least)
+    sample = sample.select("doc_id", "label", held_out().alias("held"), "least.*").toArrow().sort_by("doc_id")
     discard(chosen)
     y = sample.column("label").to_numpy()
-    model = None
-    if len(set(y.tolist())) == 2:
-        held_out = np.arange(len(y)) % 4 == 3
-        draw = F.xxhash64("doc_id", "text", "meta").alias("draw")
-        model = co_trained(_unfolded(sample), y, held_out, StagedPool(features.where("label is null").select("text", "meta", draw)))
+    held = sample.column("held").to_numpy(zero_copy_only=False).astype(bool)
+    draw = F.xxhash64("doc_id", "text", "meta").alias("draw")
+    model = co_trained(_unfolded(sample), y, held, StagedPool(features.where("label is null").select("text", "meta", draw)))
     discard(features)
-    return model
+    return model._replace(lexicon=lexicon)
 
 
 SCORES = ("p_text", "p_meta", "quality")
@@ -381,20 +440,19 @@ SCORES = ("p_text", "p_meta", "quality")
 def _score(batches: Iterator[pa.RecordBatch], model: Model | None, kept: list[str], names: list[str]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for batch in slices(whole, _ROWS):
-            scores = model.probabilities(*_views(batch)) if model else [np.ones(batch.num_rows)] * len(names)
+            scores = model.probabilities(*_views(batch, model.lexicon)) if model else [np.ones(batch.num_rows)] * len(names)
             columns = [batch.column(c) for c in kept] + [pa.array(s) for s in scores]
             yield pa.RecordBatch.from_arrays(columns, [*kept, *names])
 
 
 def scored(documents: DataFrame, labels: DataFrame, names: tuple[str, ...] = SCORES) -> DataFrame:
-    """``documents`` (``doc_id, text, lang, source, n_chars`` and any others) with three probabilities of good quality.
+    """``documents`` (``doc_id, text, lang, source`` and any others) with three probabilities of good quality.
 
     They are by the text, by the metadata and by both. Columns of ``documents`` with their ``names`` are replaced.
     """
     model = train(documents, labels)
     kept = [c for c in documents.columns if c not in names]
-    needed = {"text": "string", "lang": "string", "source": "string", "n_chars": "long"}
-    rows = documents.select(*(F.col(c).cast(needed[c]).alias(c) if c in needed else c for c in kept))
+    rows = documents.select(*(F.col(c).cast("string").alias(c) if c in ("text", "lang", "source") else c for c in kept))
     schema = ", ".join([*(f"`{c}` {kind}" for c, kind in rows.dtypes), *(f"`{c}` double" for c in names)])
     return rows.mapInArrow(partial(_score, model=model, kept=kept, names=list(names)), schema)
 

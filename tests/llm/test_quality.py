@@ -79,14 +79,16 @@ def test_the_pool_has_every_document_without_label(spark, monkeypatch):
     docs = docs.unionByName(docs.where("doc_id = 11999").withColumn("doc_id", F.lit(None).cast("long")))
     model = quality.train(docs, spark.range(100).select(F.col("id").alias("doc_id"), (F.col("id") % 2 == 0).cast("int").alias("label")))
     assert pools == [[11_901]]
-    text = [quality.text_features(t) for t in (b"good text of words", b"1 2 !! ## 3")]
-    meta = [quality.meta_features("en", s, 20) for s in "ab"]
+    assert set(model.lexicon) == {b"good", b"text", b"of", b"words", b"1", b"2", b"3"}
+    text = [quality.text_features(t, model.lexicon) for t in (b"good text of words", b"1 2 !! ## 3")]
+    meta = [quality.meta_features("en", s) for s in "ab"]
     assert [p > 0.5 for p in model.probabilities(np.array(text), np.array(meta))[2]] == [True, False]
 
 
 def test_features_have_their_sizes():
     assert quality.text_features(None).shape == quality.text_features("é!\n x".encode()).shape == (quality.TEXT_FEATURES,)
-    assert quality.meta_features(None, None, None).sum() == quality.meta_features("en", "s", 10**15).sum() == 3
+    assert quality.meta_features(None, None).sum() == quality.meta_features("en", "s").sum() == 2
+    assert quality.text_features(b"Some words", {b"some": 3, b"other": 1})[quality.TEXT_FEATURES - quality.LEXICON :].nonzero()[0].tolist() == [3]
     assert np.isfinite(quality.text_features(b"\n\n")).all()
 
 
@@ -98,3 +100,110 @@ def test_newton_equals_slow_descent():
     full = np.hstack((np.ones((200, 1)), x))
     slope = full.T @ (y - quality.sigmoid(full @ weights)) - np.array([1e-6, 1, 1, 1]) * weights
     assert slope == pytest.approx(0, abs=1e-2)
+
+
+def plain_co_training(views, y, held_out, pool, draw):
+    """Calibrated log odds of both views for the pool, by sorting documents and refitting on all examples at once."""
+    train, x, models = ~held_out, [], []
+    for own, others in zip(views, pool):
+        both = np.vstack((own[train], others))
+        mean, scale = both.mean(axis=0), np.maximum(both.std(axis=0), 1e-3)
+        x.append([(a - mean) / scale for a in (own[train], own[held_out], others)])
+    examples = [(labelled, y[train]) for labelled, _, _ in x]
+    given = [np.full(len(draw), np.nan) for _ in x]
+
+    def odds():
+        out = []
+        for (known, label), (_, held, others) in zip(examples, x):
+            weights = quality.newton(known, label, decay=1.0)
+            unit = quality.Logistic(np.zeros(len(weights) - 1), np.ones(len(weights) - 1), weights)
+            out.append(quality.calibrated(unit, held, y[held_out]).odds(others))
+        return out
+
+    for k in range(quality.ROUNDS):
+        u = quality.mixed(draw + np.uint64(k)) / 2.0**64
+        for which, score in enumerate(odds()):
+            fresh, chosen = np.isnan(given[which]), []
+            levels = {label: np.where(fresh, quality._level(sign * score), -1) for label, sign in ((1.0, 1), (0.0, -1))}
+            most = {label: quality.HANDED * len(draw) * (y[train] == label).mean() for label in levels}
+            part = min(1.0, *((levels[label] >= 0).sum() / most[label] for label in levels))
+            for label, level in levels.items():
+                n = int(part * most[label])
+                if n:
+                    last = np.sort(level)[::-1][n - 1]
+                    share = (n - (level > last).sum()) / (level == last).sum()
+                    chosen.append((label, (level > last) | ((level == last) & (u < share))))
+            for label, rows in chosen:
+                given[which][rows] = label
+        for which in (0, 1):
+            taught = given[1 - which]
+            rows = ~np.isnan(taught)
+            examples[which] = (np.vstack((x[which][0], x[which][2][rows])), np.concatenate((y[train], taught[rows])))
+    return odds(), given
+
+
+def test_co_training_equals_plain_arrays(spark, monkeypatch):
+    """All rounds over a staged pool, against sorting and refitting in arrays."""
+    seen, co_trained = [], quality.co_trained
+
+    def kept(views, y, held_out, pool):
+        rows = pool.rows.toArrow()
+        seen.append((views, y, held_out, quality._unfolded(rows), rows.column("draw").to_numpy().view(np.uint64)))
+        return co_trained(views, y, held_out, pool)
+
+    monkeypatch.setattr(quality, "co_trained", kept)
+    monkeypatch.setattr(quality, "HANDED", 0.1)
+    model = quality.train(table(spark, SMALL, "documents"), quality_labels(spark, SMALL))
+    (views, y, held_out, pool, draw), = seen
+    (text, meta), given = plain_co_training(views, y, held_out, pool, draw)
+    assert sum((~np.isnan(g)).sum() for g in given) > 20
+    assert quality.sigmoid(model.text.odds(pool[0])) == pytest.approx(quality.sigmoid(text), abs=0.01)
+    assert quality.sigmoid(model.meta.odds(pool[1])) == pytest.approx(quality.sigmoid(meta), abs=0.01)
+
+
+def test_views_of_arrays_equal_plain_co_training():
+    """Both views hand over documents of both labels."""
+    rng = np.random.default_rng(6)
+    y = rng.random(2000) < 0.6
+    views = [rng.standard_normal((2000, k)) + size * np.where(y, 1, -1)[:, None] for k, size in ((6, 0.8), (3, 1.0))]
+    known, pool = [v[:200] for v in views], tuple(v[200:] for v in views)
+    label, held = y[:200].astype(float), np.arange(200) % 3 == 0
+    local = quality.LocalPool(pool)
+    model = quality.co_trained(tuple(known), label, held, local)
+    (text, meta), given = plain_co_training(known, label, held, pool, local.draw)
+    assert all((g == label).sum() > 20 for g in given for label in (0, 1))
+    assert quality.sigmoid(model.text.odds(pool[0])) == pytest.approx(quality.sigmoid(text), abs=0.01)
+    assert quality.sigmoid(model.meta.odds(pool[1])) == pytest.approx(quality.sigmoid(meta), abs=0.01)
+
+
+def test_lexicon_has_the_most_telling_words(spark, monkeypatch):
+    monkeypatch.setattr(quality, "TELLING", 12.0)
+    docs = table(spark, SMALL, "documents").select("doc_id", "text").collect()
+    examples = quality_labels(spark, SMALL).where(~quality.held_out())
+    label = {r.doc_id: float(r.label) for r in examples.collect()}
+    held = [(label[r.doc_id], set(quality.normalised_words((r.text or "").encode()))) for r in docs if r.doc_id in label]
+    a, b = ({w: 0 for _, words in held for w in words} for _ in range(2))
+    for kind, words in held:
+        for w in words:
+            (a if kind else b)[w] += 1
+    good, bad = sum(k for k, _ in held), sum(1 - k for k, _ in held)
+
+    def g(w):
+        table_ = np.array([[a[w], b[w]], [good - a[w], bad - b[w]]])
+        expected = table_.sum(axis=1, keepdims=True) * table_.sum(axis=0) / table_.sum()
+        return 2 * sum(o * np.log(o / e) for o, e in zip(table_.ravel(), expected.ravel()) if o)
+
+    best = [w for w in sorted(a, key=lambda w: (-round(g(w), 6), w)) if g(w) >= quality.TELLING][: quality.LEXICON]
+    assert len(best) > 10
+    found = quality.train(table(spark, SMALL, "documents"), quality_labels(spark, SMALL)).lexicon
+    assert sorted(g(w) for w in found) == pytest.approx(sorted(g(w) for w in best), abs=1e-5)
+    assert len(set(found) & set(best)) >= len(best) - 2  # rounding may differ in the last digit
+
+
+def test_a_repeated_labelled_document_trains_one_model(spark):
+    """Rows of one id with different texts: the order of rows does not matter."""
+    docs = table(spark, SMALL, "documents")
+    twice = docs.unionByName(docs.where("doc_id % 3 = 0").withColumn("text", F.reverse("text")))
+    one, other = (quality.train(d, quality_labels(spark, SMALL)) for d in (twice, twice.repartition(5).orderBy(F.desc("text"))))
+    assert one.lexicon == other.lexicon
+    assert one.text.weights == pytest.approx(other.text.weights, abs=1e-6)
