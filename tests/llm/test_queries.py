@@ -76,7 +76,7 @@ def test_pipeline_equals_plain_stages(spark):
     model = quality.train(docs, queries.quality_labels(spark, TINY))
     want = set()
     for r in given.values():
-        text, meta = quality.text_features(r.text.encode()), quality.meta_features(r.lang, r.source, r.n_chars)
+        text, meta = quality.text_features(r.text.encode(), model.lexicon), quality.meta_features(r.lang, r.source)
         if model.probabilities(text[None], meta[None])[2][0] >= quality.KEEP:
             want.add(r.doc_id)
     now = as_dict(good)
