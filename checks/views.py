@@ -49,13 +49,26 @@ def stop_words(spark: SparkSession) -> DataFrame:
     return spark.range(1).select(F.explode(F.lit(STOP_WORDS)).alias("word"))
 
 
+# Lines of a partition, from 16 times as many lines on.
+ROWS = 1 << 18
+
+
+def _with_orders(lines: DataFrame, orders: DataFrame) -> DataFrame:
+    """``lines`` joined with ``orders``. Many are dealt to as many partitions as give each some ``ROWS`` lines, so that later
+    steps in the task of the join do not grow with the table."""
+    parts = -(-lines.count() // ROWS)
+    if parts > 16:
+        lines, orders = lines.repartition(parts, "l_orderkey"), orders.repartition(parts, "o_orderkey")
+    return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+
+
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every line item is a customer's rating of a brand by quantity; customers rate brands repeatedly."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
     return (
-        lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        _with_orders(lines, orders)
         .join(parts, F.col("l_partkey") == F.col("p_partkey"))
         .select(
             F.col("o_custkey").cast("int").alias("user"),
@@ -84,7 +97,7 @@ def supplier_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _line_ratings(spark: SparkSession, sf_dir: str, item: Column, kind: str = "int") -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", item.cast(kind).alias("item"), F.col("l_quantity").alias("score"))
-    joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    joined = _with_orders(lines, orders)
     return joined.select(F.col("o_custkey").cast("int").alias("user"), "item", "score")
 
 
@@ -123,7 +136,7 @@ def timed_rating_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity")
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
-    joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(parts, F.col("l_partkey") == F.col("p_partkey"))
+    joined = _with_orders(lines, orders).join(parts, F.col("l_partkey") == F.col("p_partkey"))
     time = F.concat_ws("-", F.date_format("o_orderdate", "yyyyMMdd"), F.lpad(F.col("o_orderkey").cast("string"), 12, "0"), F.lpad(F.col("l_linenumber").cast("string"), 4, "0"))
     return joined.select(F.concat_ws(",", "o_custkey", F.substring_index("p_brand", "#", -1), "l_quantity", time).alias("value"))
 

@@ -29,3 +29,11 @@ def test_part_numbers_beyond_four_bytes_are_items(spark, tables):
 
 def test_small_part_numbers_stay_int(spark, tables):
     assert dict(views.part_ratings(spark, tables(5, 6)).dtypes)["item"] == "int"
+
+
+def test_many_lines_are_joined_in_partitions_of_bounded_size(spark, tables, monkeypatch):
+    monkeypatch.setattr(views, "ROWS", 1, raising=False)
+    folder = tables(*range(1, 21))
+    found = views.part_ratings(spark, folder)
+    assert "REPARTITION_BY_NUM" in found._jdf.queryExecution().executedPlan().toString()
+    assert found.count() == 40 and found.select("user", "item").distinct().count() == 40
