@@ -47,6 +47,8 @@ HELD_BACK = 5.0
 #: Documents below this probability of good quality are rejected.
 KEEP = 0.5
 _ROWS = 500
+#: Rows of the sample that the driver works on at a time.
+_SLICE = 1024
 #: Takes the features and a random number of some documents and gives numbers that add up over documents.
 Step = Callable[[tuple[np.ndarray, np.ndarray], np.ndarray], np.ndarray]
 _SIGNS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -97,6 +99,34 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -500, 500)))
 
 
+class Packed:
+    """Rows of numbers as bytes: ``floats`` doubles, then a byte for each number that is 0 or 1. Only a slice is unfolded."""
+
+    def __init__(self, data: np.ndarray, floats: int):
+        self.data, self.floats = data, floats
+        self.shape = (len(data), data.shape[1] - 7 * floats)
+
+    def __len__(self) -> int:
+        return len(self.data)
+
+    def __getitem__(self, rows: slice | np.ndarray) -> np.ndarray | Packed:
+        """The numbers of a slice of rows; of marked rows the bytes alone."""
+        if not isinstance(rows, slice):
+            return Packed(self.data[rows], self.floats)
+        style = np.ascontiguousarray(self.data[rows, : 8 * self.floats]).view("<f8")
+        return np.hstack((style, self.data[rows, 8 * self.floats :].astype(np.float64)))
+
+    def __array__(self, dtype: np.dtype | None = None, copy: bool | None = None) -> np.ndarray:
+        return self[:].astype(dtype or np.float64)
+
+
+Rows = np.ndarray | Packed
+
+
+def _slices(n: int) -> Iterator[slice]:
+    return (slice(a, a + _SLICE) for a in range(0, n, _SLICE))
+
+
 class Logistic(NamedTuple):
     """A linear score of standardised features, and its calibration."""
 
@@ -106,36 +136,53 @@ class Logistic(NamedTuple):
     slope: float = 1.0
     offset: float = 0.0
 
-    def odds(self, x: np.ndarray) -> np.ndarray:
+    def odds(self, x: Rows) -> np.ndarray:
         """Calibrated log odds."""
         weights = self.weights[1:] / self.scale
-        return self.slope * (x @ weights + (self.weights[0] - self.mean @ weights)) + self.offset
+        score = x @ weights if isinstance(x, np.ndarray) else np.concatenate([np.zeros(0), *(x[part] @ weights for part in _slices(len(x)))])
+        return self.slope * (score + (self.weights[0] - self.mean @ weights)) + self.offset
 
 
-def newton(x: np.ndarray, y: np.ndarray, decay: float, base: np.ndarray | float = 0.0, free: float = 1e-6, steps: int = 25) -> np.ndarray:
-    """Weights of a logistic regression added to the odds ``base``, the constant first.
+def newton(
+    x: Rows, y: np.ndarray, decay: float, base: np.ndarray | float = 0.0, free: float = 1e-6, steps: int = 25,
+    mean: np.ndarray | float = 0.0, scale: np.ndarray | float = 1.0,
+) -> np.ndarray:
+    """Weights of a logistic regression on standardised ``x`` added to the odds ``base``, the constant first.
 
-    ``decay`` holds the weights small, ``free`` the constant.
-    """
-    full = np.hstack((np.ones((len(x), 1)), x))
-    penalty = np.full(full.shape[1], decay)
+    ``decay`` holds the weights small, ``free`` the constant. A slice of the rows is unfolded at a time.
+    """
+    base = np.broadcast_to(base, len(x))
+    penalty = np.full(x.shape[1] + 1, decay)
     penalty[0] = free
-    weights = np.zeros(full.shape[1])
-
-    def cost(w: np.ndarray) -> float:
-        odds = full @ w + base
-        return float((np.logaddexp(0, odds) - y * odds).sum() + (penalty * w * w).sum() / 2)
-
-    now = cost(weights)
+    weights = np.zeros(len(penalty))
+
+    def parts() -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        for part in _slices(len(x)):
+            rows = (x[part] - mean) / scale
+            yield np.hstack((np.ones((len(rows), 1)), rows)), y[part], base[part]
+
+    def costs(w: np.ndarray) -> np.ndarray:
+        """Of each column of weights."""
+        total = (penalty[:, None] * w * w).sum(axis=0) / 2
+        for full, label, start in parts():
+            odds = full @ w + start[:, None]
+            total += (np.logaddexp(0, odds) - label[:, None] * odds).sum(axis=0)
+        return total
+
+    now = float(costs(weights[:, None])[0])
     for _ in range(steps):
-        p = sigmoid(full @ weights + base)
-        curve = (full * np.maximum(p * (1 - p), 1e-6)[:, None]).T @ full + np.diag(penalty)
-        step = np.linalg.solve(curve, full.T @ (y - p) - penalty * weights)
+        curve, slope = np.diag(penalty), -penalty * weights
+        for full, label, start in parts():
+            p = sigmoid(full @ weights + start)
+            curve += (full * np.maximum(p * (1 - p), 1e-6)[:, None]).T @ full
+            slope += full.T @ (label - p)
+        step = np.linalg.solve(curve, slope)
         # Shorter steps where the full one overshoots.
-        then = min((cost(weights + step / 2**k), k) for k in range(12))
-        if then[0] >= now - 1e-9 * (1 + abs(now)):
+        then = costs(weights[:, None] + step[:, None] / 2.0 ** np.arange(12))
+        k = int(then.argmin())
+        if then[k] >= now - 1e-9 * (1 + abs(now)):
             break
-        weights, now = weights + step / 2 ** then[1], then[0]
+        weights, now = weights + step / 2**k, float(then[k])
     return weights
 
 
@@ -144,7 +191,7 @@ def fitted(x: np.ndarray, y: np.ndarray) -> Logistic:
     return Logistic(mean, scale, newton((x - mean) / scale, y, decay=1.0))
 
 
-def calibrated(view: Logistic, x: np.ndarray, y: np.ndarray) -> Logistic:
+def calibrated(view: Logistic, x: Rows, y: np.ndarray) -> Logistic:
     """Slope and offset of the score that fit held-out labels best.
 
     Few labels move them little from 1 and 0, and count as slightly less than certain.
@@ -198,11 +245,15 @@ def _no_rows() -> tuple[np.ndarray, np.ndarray]:
     return np.zeros((0, TEXT_FEATURES)), np.zeros((0, META_FEATURES))
 
 
+def _packed(table: pa.RecordBatch | pa.Table) -> tuple[Packed, Packed]:
+    data = (np.frombuffer(b"".join(table.column(c).to_pylist()), np.uint8) for c in ("text", "meta"))
+    text, meta = (x.reshape(-1, width) for x, width in zip(data, (8 * _STYLE + LEXICON, META_FEATURES)))
+    return Packed(text, _STYLE), Packed(meta, 0)
+
+
 def _unfolded(table: pa.RecordBatch | pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    packed = np.frombuffer(b"".join(table.column("text").to_pylist()), np.uint8).reshape(-1, 8 * _STYLE + LEXICON)
-    style = np.ascontiguousarray(packed[:, : 8 * _STYLE]).view("<f8")
-    text = np.hstack((style, packed[:, 8 * _STYLE :].astype(np.float64)))
-    return text, np.frombuffer(b"".join(table.column("meta").to_pylist()), np.uint8).reshape(-1, META_FEATURES).astype(np.float64)
+    text, meta = _packed(table)
+    return text[:], meta[:]
 
 
 def _summed(batches: Iterator[pa.RecordBatch], step: Step) -> Iterator[pa.RecordBatch]:
@@ -213,7 +264,7 @@ def _summed(batches: Iterator[pa.RecordBatch], step: Step) -> Iterator[pa.Record
     yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(out[at])], ["i", "x"])
 
 
-def _moments(views: tuple[np.ndarray, np.ndarray], draw: np.ndarray) -> np.ndarray:
+def _moments(views: tuple[np.ndarray, ...], draw: np.ndarray) -> np.ndarray:
     return np.concatenate([[float(len(draw))], *(f for x in views for f in (x.sum(axis=0), (x * x).sum(axis=0)))])
 
 
@@ -278,16 +329,22 @@ def _slopes(views: tuple, draw: np.ndarray, models: list[Logistic], history: lis
     return np.concatenate(out)
 
 
-def _loss(model: Logistic, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    full = np.hstack((np.ones((len(x), 1)), (x - model.mean) / model.scale))
-    odds = full @ model.weights
-    p = sigmoid(odds)
-    curve = (full * np.maximum(p * (1 - p), 1e-6)[:, None]).T @ full
+def _loss(model: Logistic, x: Rows, y: np.ndarray) -> np.ndarray:
+    n = len(model.weights)
+    cost, slope, curve = 0.0, np.zeros(n), np.zeros((n, n))
+    for part in _slices(len(x)):
+        rows = (x[part] - model.mean) / model.scale
+        full, label = np.hstack((np.ones((len(rows), 1)), rows)), y[part]
+        odds = full @ model.weights
+        p = sigmoid(odds)
+        cost += (np.logaddexp(0, odds) - label * odds).sum()
+        slope += full.T @ (label - p)
+        curve += (full * np.maximum(p * (1 - p), 1e-6)[:, None]).T @ full
     # The curve is symmetric; half of it travels.
-    return np.concatenate(([(np.logaddexp(0, odds) - y * odds).sum()], full.T @ (y - p), curve[np.triu_indices(len(curve))]))
+    return np.concatenate(([cost], slope, curve[np.triu_indices(n)]))
 
 
-def _refitted(models: list[Logistic], views: list[np.ndarray], y: np.ndarray, pool: LocalPool | StagedPool, history: list[list[Handover]]) -> list[Logistic]:
+def _refitted(models: list[Logistic], views: list[Rows], y: np.ndarray, pool: LocalPool | StagedPool, history: list[list[Handover]]) -> list[Logistic]:
     """Both views by Newton's method on labelled documents and those handed over; a step is one pass over the pool."""
     models, now, steps = list(models), [np.inf, np.inf], [np.zeros(len(m.weights)) for m in models]
     open_ = [0, 1]
@@ -319,20 +376,22 @@ def _refitted(models: list[Logistic], views: list[np.ndarray], y: np.ndarray, po
 
 
 def co_trained(
-    views: tuple[np.ndarray, np.ndarray], y: np.ndarray, held_out: np.ndarray, pool: LocalPool | StagedPool | tuple[np.ndarray, np.ndarray]
+    views: tuple[Rows, Rows], y: np.ndarray, held_out: np.ndarray, pool: LocalPool | StagedPool | tuple[np.ndarray, np.ndarray]
 ) -> Model:
     """Train both views in rounds. ``held_out`` marks labelled rows for calibration only."""
     pool = LocalPool(pool) if isinstance(pool, tuple) else pool
     train = ~held_out if len(set(y[~held_out].tolist())) == 2 else np.ones(len(y), dtype=bool)
     sums, models, at = pool.total(_moments), [], 1
     n_pool = sums[0]
-    for x in (v[train] for v in views):
+    examples = [v[train] for v in views]
+    for x in examples:
         # Features are standardised over the labelled documents and the whole pool.
         n, k = len(x) + n_pool, x.shape[1]
-        mean, square = ((s + own) / n for s, own in ((sums[at : at + k], x.sum(axis=0)), (sums[at + k : at + 2 * k], (x * x).sum(axis=0))))
+        own = sum((_moments((x[part],), y[part]) for part in _slices(len(x))), np.zeros(1 + 2 * k))
+        mean, square = ((sums[a : a + k] + own[b : b + k]) / n for a, b in ((at, 1), (at + k, 1 + k)))
         at += 2 * k
         scale = np.maximum(np.sqrt(np.maximum(square - mean * mean, 0)), 1e-3)
-        models.append(Logistic(mean, scale, newton((x - mean) / scale, y[train], decay=1.0)))
+        models.append(Logistic(mean, scale, newton(x, y[train], decay=1.0, mean=mean, scale=scale)))
     history: list[list[Handover]] = [[], []]  # by the view that hands over
     most = {label: HANDED * n_pool * (y[train] == label).mean() for label, _ in _LABELS}
     for _ in range(ROUNDS if n_pool else 0):
@@ -341,7 +400,7 @@ def co_trained(
         counts = pool.total(partial(_sure, models=sure, history=history)).reshape(2, 2, _LEVELS)
         for which in (0, 1):
             history[which].append(_handover(sure[which], counts[which], most))
-        models = _refitted(models, [v[train] for v in views], y[train], pool, history)
+        models = _refitted(models, examples, y[train], pool, history)
     models = [calibrated(m, x[~train], y[~train]) for m, x in zip(models, views)]
     good = (y.sum() + 1) / (len(y) + 2)
     return Model(models[0], models[1], float(np.log(good / (1 - good))))
@@ -429,7 +488,7 @@ def train(documents: DataFrame, labels: DataFrame) -> Model | None:
     y = sample.column("label").to_numpy()
     held = sample.column("held").to_numpy(zero_copy_only=False).astype(bool)
     draw = F.xxhash64("doc_id", "text", "meta").alias("draw")
-    model = co_trained(_unfolded(sample), y, held, StagedPool(features.where("label is null").select("text", "meta", draw)))
+    model = co_trained(_packed(sample), y, held, StagedPool(features.where("label is null").select("text", "meta", draw)))
     discard(features)
     return model._replace(lexicon=lexicon)
 

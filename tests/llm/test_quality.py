@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import tracemalloc
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -207,3 +209,20 @@ def test_a_repeated_labelled_document_trains_one_model(spark):
     one, other = (quality.train(d, quality_labels(spark, SMALL)) for d in (twice, twice.repartition(5).orderBy(F.desc("text"))))
     assert one.lexicon == other.lexicon
     assert one.text.weights == pytest.approx(other.text.weights, abs=1e-6)
+
+
+def test_the_driver_unfolds_a_slice_of_the_sample_at_a_time(spark):
+    """Labelled documents stay packed (704 bytes each) on the driver; their 382 doubles would take 3056."""
+    docs = spark.range(8000).select(
+        F.col("id").alias("doc_id"), F.concat_ws(" ", F.hex(F.xxhash64("id")), F.when(F.col("id") % 3 == 0, "good words")).alias("text"),
+        F.lit("en").alias("lang"), F.when(F.col("id") % 5 < 3, "a").otherwise("b").alias("source"),
+    )
+    given = docs.select("doc_id", (F.col("doc_id") % 3 == 0).cast("int").alias("label")).where("doc_id < 7900")
+    tracemalloc.start()
+    try:
+        model = quality.train(docs, given)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert model.lexicon.keys() >= {b"good", b"words"}
+    assert peak < 50_000_000
